@@ -40,13 +40,3 @@ def inverse_document_frequencies(df: DataFrame, text: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("document_frequency"))
         .withColumn("idf", smoothed_idf(n_documents, F.col("document_frequency")))
     )
-
-
-def find_sample(df: DataFrame, sample_id: str) -> DataFrame:
-    """The rows with this id; the filter reaches the scan."""
-    return df.filter(F.col("id") == F.lit(sample_id))
-
-
-def first_n(df: DataFrame, n: int, order_by: str = "id") -> DataFrame:
-    """The first ``n`` rows by an explicit key (a per-task top-n, then one merge)."""
-    return df.orderBy(order_by).limit(n)

@@ -97,8 +97,9 @@ def read_samples(spark: SparkSession, path: str, format: str = "json") -> DataFr
             .json(path)
         )
         # An object without ``samples`` holds none: a row with every field NULL.
+        texts = [F.to_json(n) if n == "metadata" else F.col(n) for n in SAMPLE_COLUMNS]
         bare = documents.filter(
-            F.col("samples").isNull() & F.coalesce(*_as_text(RECORD.fieldNames())).isNotNull()
+            F.col("samples").isNull() & F.coalesce(*texts).isNotNull()
         )
         wrapped = documents.filter(F.col("samples").isNotNull())
         records = bare.select(*SAMPLE_COLUMNS).unionByName(
@@ -111,13 +112,6 @@ def read_samples(spark: SparkSession, path: str, format: str = "json") -> DataFr
     return conform_samples(records)
 
 
-def _as_text(names: list[str]) -> list[Column]:
-    return [
-        F.to_json(n) if n == "metadata" else F.col(n)
-        for n in names
-    ]
-
-
 def write_samples(
     df: DataFrame, path: str, format: str = "ndjson", mode: str = "errorifexists"
 ) -> None:
