@@ -7,195 +7,162 @@ indifferent to how often a text pair, an id or a source is repeated.
 Set functions such as ``array_intersect`` run as tight hash loops, lambdas are
 interpreted. So elements that occur once are handled by the former and lambdas
 only see the further copies. Everything is at worst O(n log n) in the text length.
+
+The expressions are SQL text over column names, since a tree of lambdas built
+through the Python API takes thousands of calls into the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ColumnOrName, as_column, ngrams
+from .text import ngrams_sql
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` worked out once.
+def _let(bindings: dict[str, str], body: str) -> str:
+    """``body`` with names for computed arrays, each worked out once.
 
-    Needed wherever a lambda refers to a computed array: the expression would
-    otherwise be evaluated again for every element.
+    Without, a lambda that refers to such an array evaluates it for every element.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    for name, value in reversed(bindings.items()):
+        body = f"get(transform(array({value}), {name} -> {body}), 0)"
+    return body
 
 
-def _repeats(ordered: Column) -> Column:
+def _repeats(ordered: str) -> str:
     """A sorted array without the first copy of each element."""
-    return F.filter(ordered, lambda x, i: (i > 0) & (F.get(ordered, i - 1) == x))
+    return f"filter({ordered}, (x, i) -> i > 0 AND get({ordered}, i - 1) = x)"
 
 
-def _run_lengths(ordered: Column) -> Column:
+def _run_lengths(ordered: str) -> str:
     """ARRAY<INT> with the number of copies of each element of a sorted array."""
-
-    def lengths(starts: Column) -> Column:
-        return F.transform(
-            starts, lambda s, k: F.coalesce(F.get(starts, k + 1), F.size(ordered)) - s
-        )
-
-    def starts_run(i: Column) -> Column:
-        return (i == 0) | (F.get(ordered, i - 1) != F.get(ordered, i))
-
+    starts = (
+        f"filter(sequence(0, size({ordered}) - 1), "
+        f"i -> i = 0 OR get({ordered}, i - 1) <> get({ordered}, i))"
+    )
+    lengths = f"transform(starts, (s, k) -> coalesce(get(starts, k + 1), size({ordered})) - s)"
     # ``sequence`` would count down for an empty array.
-    return F.when(
-        F.size(ordered) > 0,
-        _let(F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), starts_run), lengths),
-    ).otherwise(F.array().cast("array<int>"))
+    return (
+        f"if(size({ordered}) = 0, CAST(array() AS ARRAY<INT>), "
+        f"{_let({'starts': starts}, lengths)})"
+    )
 
 
-def _merge_count(a: Column, b: Column) -> Column:
+def _merge_count(a: str, b: str) -> str:
     """Size of the multiset intersection of two sorted arrays, by merging them."""
 
-    def state(i: Column, j: Column, n: Column) -> Column:
-        return F.struct(i.alias("i"), j.alias("j"), n.alias("n"))
-
-    def step(s: Column, _: Column) -> Column:
-        x, y = F.get(a, s.i), F.get(b, s.j)
-        return (
-            F.when(x == y, state(s.i + 1, s.j + 1, s.n + 1))
-            .when(x < y, state(s.i + 1, s.j, s.n))
-            .when(x > y, state(s.i, s.j + 1, s.n))
-            .otherwise(s)  # one side is used up
-        )
-
-    zero = F.lit(0)
-    return F.when(~F.arrays_overlap(a, b), zero).otherwise(
-        F.aggregate(
-            F.sequence(F.lit(1), F.size(a) + F.size(b)),
-            state(zero, zero, zero),
-            step,
-            lambda s: s.n,
-        )
-    )
+    def state(i: str, j: str, n: str) -> str:
+        return f"named_struct('i', {i}, 'j', {j}, 'n', {n})"
 
+    x, y = f"get({a}, s.i)", f"get({b}, s.j)"
+    step = f"""
+        CASE WHEN {x} = {y} THEN {state('s.i + 1', 's.j + 1', 's.n + 1')}
+             WHEN {x} < {y} THEN {state('s.i + 1', 's.j', 's.n')}
+             WHEN {x} > {y} THEN {state('s.i', 's.j + 1', 's.n')}
+             ELSE s END  -- one side is used up
+    """
+    return f"""
+        if(arrays_overlap({a}, {b}),
+           aggregate(sequence(1, size({a}) + size({b})), {state('0', '0', '0')},
+                     (s, k) -> {step}, s -> s.n),
+           0)
+    """
 
-def intersection_size(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Size of the multiset intersection of two string arrays (INTERSECT ALL)."""
 
-    def has_repeats(c: Column) -> Column:
-        return F.size(F.array_distinct(c)) < F.size(c)
+def _intersection_size(a: str, b: str) -> str:
+    # min(m, n) copies in common are one, plus those the repeats have in common.
+    further = _let(
+        {
+            "ao": "sort_array(a)",
+            "bo": "sort_array(b)",
+            "ar": _repeats("ao"),
+            "br": _repeats("bo"),
+        },
+        _merge_count("ar", "br"),
+    )
+    return _let(
+        {"a": a, "b": b},
+        f"""size(array_intersect(a, b))
+            + if(size(array_distinct(a)) < size(a) AND size(array_distinct(b)) < size(b),
+                 {further}, 0)""",
+    )
 
-    def further_copies(x: Column, y: Column) -> Column:
-        # min(m, n) copies in common are one, plus those the repeats have in common.
-        return _let(
-            _repeats(x), lambda xs: _let(_repeats(y), lambda ys: _merge_count(xs, ys))
-        )
 
-    def total(x: Column, y: Column) -> Column:
-        return F.size(F.array_intersect(x, y)) + F.when(
-            has_repeats(x) & has_repeats(y),
-            _let(
-                F.sort_array(x),
-                lambda xo: _let(F.sort_array(y), lambda yo: further_copies(xo, yo)),
-            ),
-        ).otherwise(F.lit(0))
+def intersection_size(a: str, b: str) -> Column:
+    """Size of the multiset intersection of two string array columns (INTERSECT ALL)."""
+    return F.expr(_intersection_size(a, b))
 
-    return _let(as_column(a), lambda x: _let(as_column(b), lambda y: total(x, y)))
 
+def ngram_matches(pred: str, ref: str, n: int) -> Column:
+    """Clipped n-gram matches of two token columns.
 
-def ngram_matches(pred: ColumnOrName, ref: ColumnOrName, n: int) -> Column:
-    """Clipped n-gram matches: each n-gram counts at most as often as in ``ref``."""
-    p, r = as_column(pred), as_column(ref)
-    return F.when(
-        (F.size(p) >= n) & (F.size(r) >= n), intersection_size(ngrams(p, n), ngrams(r, n))
-    ).otherwise(F.lit(0))
+    An n-gram counts at most as often as it occurs in ``ref``.
+    """
+    size = _intersection_size(ngrams_sql(pred, n), ngrams_sql(ref, n))
+    return F.expr(f"if(size({pred}) >= {n} AND size({ref}) >= {n}, {size}, 0)")
 
 
-def unigram_overlap(pred: ColumnOrName, ref: ColumnOrName) -> Column:
-    """STRUCT of BIGINT sums over the token counts ``cp`` and ``cr`` of both arrays.
+def unigram_overlap(pred: str, ref: str) -> Column:
+    """STRUCT of BIGINT sums over the counts ``cp`` and ``cr`` of two token columns.
 
     ``common`` sums min(cp, cr) and ``dot`` cp * cr; ``pred_sq`` and ``ref_sq`` sum
     the squares, ``shared_pred_sq`` and ``shared_ref_sq`` those of the tokens found
     on both sides. Whole numbers, so the result does not depend on any order.
     """
 
-    def sums(p: Column, r: Column, p_repeats: Column, r_repeats: Column) -> Column:
-        # With every count taken as one the sums are the set sizes; ``several``
-        # holds the tokens for which that is wrong on a side.
-        shared = F.size(F.array_intersect(p, r)).cast("bigint")
-        p_types = (F.size(p) - F.size(p_repeats)).cast("bigint")
-        r_types = (F.size(r) - F.size(r_repeats)).cast("bigint")
-
-        def counts(several: Column, side: Column, repeats: Column) -> Column:
-            # Holding each token of ``several`` once more than ``side`` does, both
-            # sides list the same tokens in the same order, also those with count 0.
-            return _let(
-                F.sort_array(
-                    F.concat(repeats, F.array_intersect(several, side), several)
-                ),
-                _run_lengths,
-            )
-
-        def pair(x: Column, y: Column) -> Column:
-            return F.struct(
-                (x - 1).cast("bigint").alias("cp"), (y - 1).cast("bigint").alias("cr")
-            )
-
-        pairs = _let(
-            F.array_union(p_repeats, r_repeats),
-            lambda several: F.zip_with(
-                counts(several, p, p_repeats), counts(several, r, r_repeats), pair
-            ),
-        )
+    def counts(side: str, repeats: str) -> str:
+        # Holding each token of ``several`` once more than ``side`` does, both sides
+        # list the same tokens in the same order, also those with count 0.
+        held = f"sort_array(concat({repeats}, array_intersect(several, {side}), several))"
+        return _let({"held": held}, _run_lengths("held"))
 
-        def corrected(
-            start: Column, both: bool, term: Callable[[Column], Column], pairs: Column
-        ) -> Column:
-            def step(acc: Column, x: Column) -> Column:
-                counted = (x.cp > 0) & (x.cr > 0) if both else F.lit(True)
-                return acc + F.when(counted, term(x)).otherwise(F.lit(0))
-
-            return F.aggregate(pairs, start, step)
-
-        def present(c: Column) -> Column:
-            return F.least(c, F.lit(1))
-
-        return _let(
-            pairs,
-            lambda xs: F.struct(
-                corrected(shared, True, lambda x: F.least(x.cp, x.cr) - 1, xs).alias("common"),
-                corrected(shared, True, lambda x: x.cp * x.cr - 1, xs).alias("dot"),
-                corrected(
-                    p_types, False, lambda x: x.cp * x.cp - present(x.cp), xs
-                ).alias("pred_sq"),
-                corrected(
-                    r_types, False, lambda x: x.cr * x.cr - present(x.cr), xs
-                ).alias("ref_sq"),
-                corrected(shared, True, lambda x: x.cp * x.cp - 1, xs).alias(
-                    "shared_pred_sq"
-                ),
-                corrected(shared, True, lambda x: x.cr * x.cr - 1, xs).alias(
-                    "shared_ref_sq"
-                ),
-            ),
-        )
+    pairs = f"""
+        zip_with({counts('p', 'pr')}, {counts('r', 'rr')},
+                 (x, y) -> named_struct('cp', CAST(x - 1 AS BIGINT), 'cr', CAST(y - 1 AS BIGINT)))
+    """
 
-    return _let(
-        F.sort_array(as_column(pred)),
-        lambda p: _let(
-            F.sort_array(as_column(ref)),
-            lambda r: _let(
-                _repeats(p), lambda ps: _let(_repeats(r), lambda rs: sums(p, r, ps, rs))
-            ),
+    # With every count taken as one the sums are set sizes; ``several`` holds the
+    # tokens for which that is wrong on a side, and ``pairs`` their counts.
+    def corrected(start: str, term: str, counted: str = "true") -> str:
+        return f"aggregate(pairs, {start}, (acc, x) -> acc + if({counted}, {term}, 0))"
+
+    both = "x.cp > 0 AND x.cr > 0"
+    sums = {
+        "common": corrected("shared", "least(x.cp, x.cr) - 1", both),
+        "dot": corrected("shared", "x.cp * x.cr - 1", both),
+        "pred_sq": corrected(
+            "CAST(size(p) - size(pr) AS BIGINT)", "x.cp * x.cp - least(x.cp, 1)"
         ),
+        "ref_sq": corrected(
+            "CAST(size(r) - size(rr) AS BIGINT)", "x.cr * x.cr - least(x.cr, 1)"
+        ),
+        "shared_pred_sq": corrected("shared", "x.cp * x.cp - 1", both),
+        "shared_ref_sq": corrected("shared", "x.cr * x.cr - 1", both),
+    }
+    fields = ", ".join(f"'{name}', {value}" for name, value in sums.items())
+    return F.expr(
+        _let(
+            {
+                "p": f"sort_array({pred})",
+                "r": f"sort_array({ref})",
+                "pr": _repeats("p"),
+                "rr": _repeats("r"),
+                "several": "array_union(pr, rr)",
+                "pairs": pairs,
+                "shared": "CAST(size(array_intersect(p, r)) AS BIGINT)",
+            },
+            f"named_struct({fields})",
+        )
     )
 
 
-def token_counts(tokens: ColumnOrName) -> Column:
-    """ARRAY<STRUCT<token, count>> of a token array, sorted by token."""
-    return _let(
-        F.sort_array(as_column(tokens)),
-        lambda t: F.zip_with(
-            F.array_distinct(t),
-            _run_lengths(t),
-            lambda token, n: F.struct(token.alias("token"), n.alias("count")),
-        ),
+def token_counts(tokens: str) -> Column:
+    """ARRAY<STRUCT<token, count>> of a token column, sorted by token."""
+    return F.expr(
+        _let(
+            {"t": f"sort_array({tokens})"},
+            f"""zip_with(array_distinct(t), {_run_lengths('t')},
+                         (x, n) -> named_struct('token', x, 'count', n))""",
+        )
     )

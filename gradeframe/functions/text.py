@@ -43,27 +43,23 @@ def tokenize(c: ColumnOrName) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def ngrams(tokens: ColumnOrName, n: int) -> Column:
-    """ARRAY<STRING> of the n-grams of a token array, tokens joined by a space.
+def ngrams_sql(tokens: str, n: int) -> str:
+    """SQL text for the n-grams of the token array ``tokens``."""
+    if n <= 0:
+        return "CAST(array() AS ARRAY<STRING>)"
+    if n == 1:
+        return tokens
+    parts = f", '{GRAM_SEPARATOR}', ".join(f"get({tokens}, i + {k})" for k in range(n))
+    # ``sequence`` would count down for a negative end.
+    return (
+        f"if(size({tokens}) < {n}, CAST(array() AS ARRAY<STRING>), "
+        f"transform(sequence(0, size({tokens}) - {n}), i -> concat({parts})))"
+    )
+
+
+def ngrams(tokens: str, n: int) -> Column:
+    """ARRAY<STRING> of the n-grams of a token column, tokens joined by a space.
 
     Empty if ``n`` is below 1 or above the number of tokens.
     """
-    t = as_column(tokens)
-    if n <= 0:
-        return F.array().cast("array<string>")
-    if n == 1:
-        return t
-    # ``sequence`` would count down for a negative end, hence the guard.
-    last = F.size(t) - F.lit(n)
-    separator = F.lit(GRAM_SEPARATOR)
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), last),
-            # ``concat`` measured faster than ``concat_ws`` or joining a slice.
-            lambda i: F.concat(
-                F.get(t, i),
-                *[part for k in range(1, n) for part in (separator, F.get(t, i + k))],
-            ),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    return F.expr(ngrams_sql(tokens, n))
