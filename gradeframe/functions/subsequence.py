@@ -2,9 +2,9 @@
 
 A fold over the rows of the table of partial lengths is expressible with
 ``aggregate`` but measured two orders of magnitude slower, so this is an Arrow
-function. It is the bit-parallel form (Crochemore et al. 2001; Hyyro 2004):
-one machine word holds 64 cells of a row of that table, O(m * n / 64) time and
-O(n) bits of memory.
+function. It is the bit-parallel form (Crochemore et al. 2001; Hyyro 2004), which
+keeps a row of that table as the bits of an integer: O(m * n / 64) time. Long texts
+are cut into blocks of bits that hand their carries on, which bounds the memory.
 """
 
 from __future__ import annotations
@@ -18,22 +18,44 @@ from pyspark.sql import functions as F
 from .text import GRAM_SEPARATOR, ColumnOrName, as_column
 
 
-def _lcs_function() -> Callable[[Column, Column], Column]:
+# Tokens per block; a block's bit masks take at most 8192 ** 2 / 16 bytes, 4 MiB.
+BLOCK = 8192
+
+
+def subsequence_kernel(block: int = BLOCK) -> Callable[[list[str], list[str]], int]:
     # Nested functions travel to the executors by value, so that the package need
     # not be installed there.
     def length(a: list[str], b: list[str]) -> int:
         if len(a) < len(b):
             a, b = b, a
-        positions: dict[str, int] = {}
-        for i, token in enumerate(a):
-            positions[token] = positions.get(token, 0) | (1 << i)
-        full = (1 << len(a)) - 1
-        free = full
-        for token in b:
-            hit = free & positions.get(token, 0)
-            if hit:
-                free = ((free + hit) | (free - hit)) & full
-        return len(a) - free.bit_count()
+        found = 0
+        carries = bytearray(len(b))
+        for start in range(0, len(a), block):
+            part = a[start : start + block]
+            masks: dict[str, int] = {}
+            for i, token in enumerate(part):
+                masks[token] = masks.get(token, 0) | (1 << i)
+            full = (1 << len(part)) - 1
+            free = full
+            handed_on = bytearray(len(b))
+            for j, token in enumerate(b):
+                mask = masks.get(token, 0)
+                carry = carries[j]
+                if mask or carry:
+                    hit = free & mask
+                    total = free + hit + carry
+                    if total > full:
+                        handed_on[j] = 1
+                    free = (total | (free - hit)) & full
+            found += len(part) - free.bit_count()
+            carries = handed_on
+        return found
+
+    return length
+
+
+def _lcs_function() -> Callable[[Column, Column], Column]:
+    length = subsequence_kernel()
 
     def lengths(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.aggregates import summarize
 from ..operators.scoring import evaluate
+from ..operators.selection import spread
 from ..sources.reports import write_report
 
 
@@ -17,7 +18,7 @@ def run_evaluation(
     Returns the stored results and their summary. Scoring runs once: the summary
     and the report read the stored table, which an executor loss cannot take away.
     """
-    evaluate(samples, threshold).write.mode("overwrite").parquet(f"{path}/scored")
+    evaluate(spread(samples), threshold).write.mode("overwrite").parquet(f"{path}/scored")
     results = spark.read.parquet(f"{path}/scored")
     summary = summarize(results)
     write_report(results, summary, f"{path}/report")

@@ -31,11 +31,17 @@ def _six(name: str | Column, alias: str | None = None) -> Column:
 
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.samples(spark, folder).select("id", "model_output", "reference")
+    pairs = tables.samples(spark, folder).select("id", "model_output", "reference")
+    return selection.spread(pairs)
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents = tables.table(spark, folder, "documents")
+    return selection.spread(documents.select("doc_id", "text"))
 
 
 def _results(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.evaluate(tables.samples(spark, folder))
+    return scoring.evaluate(selection.spread(tables.samples(spark, folder)))
 
 
 def _flat(results: DataFrame) -> DataFrame:
@@ -169,14 +175,12 @@ def cosine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    terms = corpus.term_frequencies(tables.table(spark, folder, "documents"), "doc_id", "text")
+    terms = corpus.term_frequencies(_documents(spark, folder), "doc_id", "text")
     return terms.select("doc_id", "term", F.col("count").cast("bigint").alias("n"), _six("tf"))
 
 
 def corpus_idf(spark: SparkSession, folder: str) -> DataFrame:
-    terms = corpus.inverse_document_frequencies(
-        tables.table(spark, folder, "documents"), "text"
-    )
+    terms = corpus.inverse_document_frequencies(_documents(spark, folder), "text")
     return terms.select("term", "document_frequency", _six("idf"))
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "32m",
+    # Small tables use every core too; large ones are cut by the advisory size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
