@@ -21,7 +21,7 @@ Judge = Callable[[DataFrame], DataFrame]
 VERDICT_COLUMNS = ("score", "reason", "raw")
 
 # The texts a verdict and a judge request are made of.
-RULE_REASON = ("离线规则裁判：token F1=", "，余弦相似度=", "，加权得分=")
+RULE_REASON = "离线规则裁判：token F1=%s，余弦相似度=%s，加权得分=%s"
 SYSTEM_PROMPT = (
     "你是一个严格但公正的 LLM 输出评测裁判。"
     "请阅读「题目」「参考答案」「模型输出」，判断模型输出的正确性，"
@@ -29,7 +29,7 @@ SYSTEM_PROMPT = (
     '{"score": 0到1之间的小数, "reason": "简短理由"}\n'
     "不要输出 JSON 以外的任何内容。"
 )
-PROMPT_LABELS = ("【题目】\n", "\n\n【参考答案】\n", "\n\n【模型输出】\n", "\n")
+USER_PROMPT = "【题目】\n%s\n\n【参考答案】\n%s\n\n【模型输出】\n%s\n"
 DEFAULT_MODEL = "gpt-4o-mini"
 
 # What Python's ``float`` accepts as text, apart from digit grouping.
@@ -40,7 +40,6 @@ def rule_judge(df: DataFrame) -> DataFrame:
     """Score by the mean of token F1 and cosine similarity, at 4 decimals."""
     f1, cosine = F.col("__f1"), F.col("__cosine")
     score = F.col("score")
-    first, second, third = (F.lit(part) for part in RULE_REASON)
     kept = [c for c in df.columns if c not in VERDICT_COLUMNS]
     return (
         df.select(*kept)
@@ -49,9 +48,9 @@ def rule_judge(df: DataFrame) -> DataFrame:
         .select(
             *kept,
             "score",
-            F.concat(
-                first, fixed_text(f1, 3), second, fixed_text(cosine, 3), third, fixed_text(score, 3)
-            ).alias("reason"),
+            F.format_string(RULE_REASON, *[fixed_text(c, 3) for c in (f1, cosine, score)]).alias(
+                "reason"
+            ),
             F.to_variant_object(F.struct(f1.alias("f1"), cosine.alias("cosine"))).alias("raw"),
         )
     )
@@ -93,8 +92,7 @@ def attach_verdicts(df: DataFrame, verdicts: DataFrame, on: str = "id") -> DataF
 
 
 def user_prompt() -> Column:
-    start, middle, last, end = (F.lit(part) for part in PROMPT_LABELS)
-    return F.concat(start, F.col("prompt"), middle, F.col(REF), last, F.col(PRED), end)
+    return F.format_string(USER_PROMPT, "prompt", REF, PRED)
 
 
 def judge_requests(df: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:

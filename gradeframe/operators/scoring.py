@@ -87,17 +87,18 @@ def _lcs(df: DataFrame, where: Column | None = None, common: str | None = None)
     )
 
 
-def _settled(df: DataFrame, counts: Sequence[str]) -> DataFrame:
+def _settled(df: DataFrame, counts: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Keep the working columns ``counts`` (and the sizes), each evaluated once per row.
 
     Catalyst pushes a later filter on a score below the projection that defines it
     and so evaluates the whole chain a second time, Python included. It does not
     push what a generator puts out, while filters on the input columns still reach
-    the scan.
+    the scan. What is computed above the generator from the columns ``keep`` is only
+    evaluated for the rows such a filter lets through, if at all.
     """
-    kept = [c for c in df.columns if not c.startswith("__")]
+    inputs = [c for c in df.columns if not c.startswith("__")]
     row = F.struct(_N_PRED, _N_REF, *counts)
-    return df.select(*kept, F.inline(F.array(row)))
+    return df.select(*inputs, *keep, F.inline(F.array(row)))
 
 
 def _add(df: DataFrame, output: str, score: Column) -> DataFrame:
@@ -245,11 +246,9 @@ def evaluate(samples: DataFrame, threshold: float = 0.5) -> DataFrame:
         samples.select("id", "task_type", "prompt", REF, PRED)
         .transform(_tokens, PRED, REF)
         .transform(_unigrams)
-        .transform(_ngrams, max_n, generation)
         .transform(_lcs, generation, _COMMON)
-        .transform(
-            _settled, [_COSINE, _LCS, *[_matches(n) for n in range(1, max_n + 1)]]
-        )
+        .transform(_settled, [_COMMON, _COSINE, _LCS], keep=[_P, _R, _SAME])
+        .transform(_ngrams, max_n, generation)
         .withColumns(scores)
         .select(
             F.col("id").alias("sample_id"),

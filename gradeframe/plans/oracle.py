@@ -8,7 +8,7 @@ textbook table of partial lengths.
 from __future__ import annotations
 
 from ..functions.text import STRIP_CHARACTERS, TOKEN_PATTERN
-from ..operators.judge import DEFAULT_MODEL, PROMPT_LABELS, RULE_REASON, SYSTEM_PROMPT
+from ..operators.judge import DEFAULT_MODEL, RULE_REASON, SYSTEM_PROMPT, USER_PROMPT
 from ..operators.scoring import METRICS
 from .queries import GATE_BAR, WEIGHTS
 
@@ -253,8 +253,7 @@ _REQUEST = (
     f"json_object('model', {_text(DEFAULT_MODEL)}, 'messages', json_array("
     f"json_object('role', 'system', 'content', {_text(SYSTEM_PROMPT)}), "
     "json_object('role', 'user', 'content', "
-    f"{_text(PROMPT_LABELS[0])} || prompt || {_text(PROMPT_LABELS[1])} || reference || "
-    f"{_text(PROMPT_LABELS[2])} || model_output || {_text(PROMPT_LABELS[3])})), "
+    f"printf({_text(USER_PROMPT)}, prompt, reference, model_output))), "
     "'temperature', 0)::VARCHAR"
 )
 
@@ -348,9 +347,8 @@ ORACLE_SQL: dict[str, str] = {
         *_EVALUATED,
     ),
     "rule_judge": _with(
-        f"""SELECT id, score, {_text(RULE_REASON[0])} || {_fixed('f1', 3)}
-               || {_text(RULE_REASON[1])} || {_fixed('cosine', 3)}
-               || {_text(RULE_REASON[2])} || {_fixed('score', 3)} AS reason,
+        f"""SELECT id, score, printf({_text(RULE_REASON)}, {_fixed('f1', 3)},
+                      {_fixed('cosine', 3)}, {_fixed('score', 3)}) AS reason,
                {_round('f1', 'cosine')}
         FROM (SELECT id, f1, cosine, CAST({_fixed(_MEAN, 4)} AS DOUBLE) AS score FROM prf)""",
         *_EVALUATED,

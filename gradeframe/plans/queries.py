@@ -35,11 +35,6 @@ def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     return selection.spread(pairs)
 
 
-def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    documents = tables.table(spark, folder, "documents")
-    return selection.spread(documents.select("doc_id", "text"))
-
-
 def _results(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.evaluate(selection.spread(tables.samples(spark, folder)))
 
@@ -175,12 +170,14 @@ def cosine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    terms = corpus.term_frequencies(_documents(spark, folder), "doc_id", "text")
+    documents = tables.table(spark, folder, "documents").select("doc_id", "text")
+    terms = corpus.term_frequencies(selection.spread(documents), "doc_id", "text")
     return terms.select("doc_id", "term", F.col("count").cast("bigint").alias("n"), _six("tf"))
 
 
 def corpus_idf(spark: SparkSession, folder: str) -> DataFrame:
-    terms = corpus.inverse_document_frequencies(_documents(spark, folder), "text")
+    documents = tables.table(spark, folder, "documents")
+    terms = corpus.inverse_document_frequencies(documents, "text")
     return terms.select("term", "document_frequency", _six("idf"))
 
 
