@@ -38,12 +38,12 @@ _NUMBER = r"(?i)[+-]?(inf(inity)?|nan|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)"
 
 def rule_judge(df: DataFrame) -> DataFrame:
     """Score by the mean of token F1 and cosine similarity, at 4 decimals."""
-    f1, cosine = F.col("__f1"), F.col("__cosine")
+    f1, cosine = F.col("__gf_f1"), F.col("__gf_cosine")
     score = F.col("score")
     kept = [c for c in df.columns if c not in VERDICT_COLUMNS]
     return (
         df.select(*kept)
-        .transform(with_token_f1_and_cosine, "__f1", "__cosine")
+        .transform(with_token_f1_and_cosine, "__gf_f1", "__gf_cosine")
         .withColumn("score", round_exact(F.lit(0.5) * f1 + F.lit(0.5) * cosine, 4))
         .select(
             *kept,

@@ -32,19 +32,26 @@ METRICS = (
 PRIMARY_METRIC = {CLASSIFICATION: "exact_match", GENERATION: "rouge_l_f1"}
 
 # Working columns, dropped before a result is returned.
-_P, _R, _SAME, _UNIGRAMS = "__pred_tokens", "__ref_tokens", "__same", "__unigrams"
-_N_PRED, _N_REF, _COMMON, _COSINE, _LCS = (
-    "__n_pred",
-    "__n_ref",
-    "__common",
-    "__cosine",
-    "__lcs",
+_MARK = "__gf_"
+_P, _R, _SAME, _UNIGRAMS = (
+    f"{_MARK}pred_tokens",
+    f"{_MARK}ref_tokens",
+    f"{_MARK}same",
+    f"{_MARK}unigrams",
+)
+_N_PRED, _N_REF, _COMMON, _COSINE, _LCS, _PLAIN_MATCHES = (
+    f"{_MARK}n_pred",
+    f"{_MARK}n_ref",
+    f"{_MARK}common",
+    f"{_MARK}cosine",
+    f"{_MARK}lcs",
+    f"{_MARK}matches",
 )
 
 
 def _matches(n: int) -> str:
     """Column with the clipped matches of the n-grams."""
-    return _COMMON if n == 1 else f"__matches_{n}"
+    return _COMMON if n == 1 else f"{_MARK}matches_{n}"
 
 
 def _tokens(df: DataFrame, pred: str, ref: str) -> DataFrame:
@@ -96,13 +103,13 @@ def _settled(df: DataFrame, counts: Sequence[str], keep: Sequence[str] = ()) ->
     the scan. What is computed above the generator from the columns ``keep`` is only
     evaluated for the rows such a filter lets through, if at all.
     """
-    inputs = [c for c in df.columns if not c.startswith("__")]
+    inputs = [c for c in df.columns if not c.startswith(_MARK)]
     row = F.struct(_N_PRED, _N_REF, *counts)
     return df.select(*inputs, *keep, F.inline(F.array(row)))
 
 
 def _add(df: DataFrame, output: str, score: Column) -> DataFrame:
-    kept = [c for c in df.columns if not c.startswith("__") and c != output]
+    kept = [c for c in df.columns if not c.startswith(_MARK) and c != output]
     return df.select(*kept, score.alias(output))
 
 
@@ -152,12 +159,12 @@ def with_ngram_precision(
     """Add the clipped n-gram precision; 0.0 where the prediction has no n-gram."""
     matches = ngram_matches(_P, _R, n) if n >= 1 else F.lit(0)
     score = (
-        M.ngram_precision(F.col("__matches"), F.col(_N_PRED), n) if n >= 1 else F.lit(0.0)
+        M.ngram_precision(F.col(_PLAIN_MATCHES), F.col(_N_PRED), n) if n >= 1 else F.lit(0.0)
     )
     return (
         df.transform(_tokens, pred, ref)
-        .withColumn("__matches", matches)
-        .transform(_settled, ["__matches"])
+        .withColumn(_PLAIN_MATCHES, matches)
+        .transform(_settled, [_PLAIN_MATCHES])
         .transform(_add, output or f"precision_{n}", score)
     )
 

@@ -141,7 +141,7 @@ rouge AS (
 scored AS (
   SELECT s.id AS sample_id, s.task_type, s.prompt, s.reference, s.model_output,
          CASE WHEN s.task_type = 'classification' THEN
-           CASE WHEN {_norm('s.model_output')} = {_norm('s.reference')} THEN 1.0 ELSE 0.0 END
+           CAST({_norm('s.model_output')} = {_norm('s.reference')} AS DOUBLE)
          END AS exact_match,
          g.f1 AS rouge_l_f1, g.recall AS rouge_l_recall,
          CASE WHEN s.task_type = 'generation' THEN {_bleu((0.25,) * 4)} END AS bleu,
@@ -230,7 +230,8 @@ def _cards() -> str:
             for i, m in enumerate(_SORTED, start=3)
         ],
     ]
-    return " UNION ALL ".join(rows)
+    columns = "CAST(position AS BIGINT) AS position, label, value, percent"
+    return f"SELECT {columns} FROM ({' UNION ALL '.join(rows)})"
 
 
 def _precision_recall_f1(source: str) -> str:

@@ -69,11 +69,13 @@ def conform_samples(df: DataFrame) -> DataFrame:
         )
 
     task = F.col("task_type") if "task_type" in df.columns else F.lit(None).cast("string")
-    identifier = F.coalesce(
-        F.col("id").cast("string"), F.raise_error(F.lit("sample without an id"))
+    # A condition rather than a default: it holds even where the id is not read,
+    # and leaves the id a plain column, so that filters on it reach the scan.
+    has_id = F.when(F.col("id").isNotNull(), F.lit(True)).otherwise(
+        F.raise_error(F.lit("sample without an id")).cast("boolean")
     )
-    return df.select(
-        identifier.alias("id"),
+    return df.filter(has_id).select(
+        F.col("id").cast("string").alias("id"),
         text("prompt").alias("prompt"),
         text("reference").alias("reference"),
         text("model_output").alias("model_output"),

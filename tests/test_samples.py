@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from plans import physical
 from pyspark.sql import functions as F
 
 from gradeframe.operators.aggregates import count_by_task
@@ -92,3 +93,14 @@ def test_selection(spark, samples):
     assert find_sample(samples, "g2").first().reference == "你好，世界。"
     counts = {r.task_type: r.n for r in count_by_task(samples).collect()}
     assert counts == {"classification": 4, "generation": 4}
+
+
+def test_id_filter_reaches_the_scan_and_a_missing_id_is_never_overlooked(spark, samples, tmp_path):
+    out = str(tmp_path / "s")
+    write_samples(conform_samples(samples), out, "parquet")
+    found = find_sample(read_samples(spark, out, "parquet"), "g2")
+    assert "EqualTo(id,g2)" in physical(found)
+    assert found.count() == 1
+    broken = spark.createDataFrame([("a", "p"), (None, "p")], "id string, prompt string")
+    with pytest.raises(Exception, match="without an id"):
+        count_by_task(conform_samples(broken)).collect()
