@@ -181,8 +181,10 @@ contents AS (
       WHEN 4 THEN json_object('reason', prompt)::VARCHAR
       WHEN 5 THEN '{"score": null, "reason": "none"}'
       WHEN 6 THEN 'I would say: ' || prompt
+      ELSE '```json' || chr(10) || json_object('score', 1, 'reason', prompt)::VARCHAR
+           || chr(10) || '```'
     END AS content
-  FROM turns WHERE conv_id % 8 <> 7
+  FROM turns
 ),
 parsed AS (
   SELECT id, content, CASE WHEN json_valid(content) THEN content::JSON END AS j FROM contents
@@ -393,6 +395,7 @@ ORACLE_SQL: dict[str, str] = {
     "first_n": _with(f"SELECT {_SAMPLE} FROM samples ORDER BY id LIMIT 4", _RAW),
     "find_sample": _with(f"SELECT {_SAMPLE} FROM samples WHERE id = '0-1'", _RAW),
 }
+ORACLE_SQL["stored_report"] = ORACLE_SQL["report_results"]
 # Subsequence lengths of every pair, also the labels', unlike in the evaluation.
 ORACLE_SQL["rouge_l"] = _with(
     "SELECT id, CAST(lcs AS BIGINT) AS lcs, " + _round("precision", "recall", "f1") + " FROM rouge",

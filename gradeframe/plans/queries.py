@@ -18,6 +18,7 @@ from ..session import shared_folder
 from ..sources.samples import read_samples, write_samples
 from ..streaming.scoring import read_sample_stream, start_scoring
 from . import tables
+from .evaluation import run_evaluation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,7 +273,20 @@ def attach_verdicts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_results(spark: SparkSession, folder: str) -> DataFrame:
-    rows = report.report_results(_results(spark, folder))
+    return _flat_report(report.report_results(_results(spark, folder)))
+
+
+def stored_report(spark: SparkSession, folder: str) -> DataFrame:
+    path = _scratch(spark, "run")
+    run_evaluation(spark, tables.samples(spark, folder), path)
+    schema = (
+        "sample_id string, task_type string, passed boolean, scores map<string, double>, "
+        "reference string, model_output string"
+    )
+    return _flat_report(spark.read.schema(schema).json(f"{path}/report/results"))
+
+
+def _flat_report(rows: DataFrame) -> DataFrame:
     return rows.select(
         "sample_id",
         "task_type",
@@ -349,6 +363,7 @@ QUERIES: dict[str, Query] = {
         judge_replies,
         attach_verdicts,
         report_results,
+        stored_report,
         report_statistics,
         report_rows,
         report_cards,

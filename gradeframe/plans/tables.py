@@ -104,7 +104,7 @@ def true_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reply_records(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, response): a chat reply for most answers, well formed or not."""
+    """(id, response): a chat reply for each answer, well formed or not."""
     answers = answer_records(spark, folder)
     kind = F.col("conv_id") % 8
     reason = F.col("prompt").alias("reason")
@@ -120,8 +120,9 @@ def reply_records(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 4, F.to_json(F.struct(reason)))
         .when(kind == 5, F.lit('{"score": null, "reason": "none"}'))
         .when(kind == 6, F.concat(F.lit("I would say: "), F.col("prompt")))
+        .otherwise(F.concat(F.lit("```json\n"), reply(F.lit(1)), F.lit("\n```")))
     )
     message = F.struct(F.struct(content.alias("content")).alias("message"))
-    return answers.filter(kind != 7).select(
+    return answers.select(
         "id", F.to_json(F.struct(F.array(message).alias("choices"))).alias("response")
     )

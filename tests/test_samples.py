@@ -7,7 +7,7 @@ from plans import physical
 from pyspark.sql import functions as F
 
 from gradeframe.operators.aggregates import count_by_task
-from gradeframe.operators.selection import find_sample, first_n
+from gradeframe.operators.selection import find_sample, first_n, spread
 from gradeframe.sources.samples import conform_samples, read_samples, write_samples
 
 RECORDS = [
@@ -104,3 +104,14 @@ def test_id_filter_reaches_the_scan_and_a_missing_id_is_never_overlooked(spark,
     broken = spark.createDataFrame([("a", "p"), (None, "p")], "id string, prompt string")
     with pytest.raises(Exception, match="without an id"):
         count_by_task(conform_samples(broken)).collect()
+
+
+def test_spread_evens_out_partitions(spark):
+    uneven = spark.range(20000).selectExpr("id", "sha2(string(id), 512) AS t").coalesce(1)
+    # The maximum keeps the texts in the plan; partitions are sized by their bytes.
+    sizes = spread(uneven).groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("n"), F.max("t")
+    )
+    counts = [r.n for r in sizes.collect()]
+    assert len(counts) > 1 and sum(counts) == 20000
+    assert max(counts) < 2 * min(counts)
