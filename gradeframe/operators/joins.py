@@ -39,7 +39,8 @@ def align(
 
     A table has no positions, so ``on`` names the key that says which row belongs
     to which; it must be unique on both sides. ``strict`` raises ValueError if a
-    row has no partner, ``matched`` drops such rows.
+    row has no partner, ``matched`` drops such rows. The check runs when this is
+    called.
     """
     if how not in ("strict", "matched"):
         raise ValueError(f"unknown alignment {how!r}")
@@ -77,7 +78,8 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: str = "id") -> DataFrame:
 
     Hashing would send all rows of a hot key to one task. The few lookup rows of
     hot keys are broadcast instead, if their measured size allows; all other rows
-    are joined by a shuffle.
+    are joined by a shuffle. Counting keys and measuring sizes runs small jobs over
+    the key columns when this is called.
     """
     repeated = lookup.groupBy(on).count().filter("count > 1")
     if not repeated.isEmpty():

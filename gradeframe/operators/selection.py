@@ -21,7 +21,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     Scoring happens where a row was read, so it is as uneven as the files are: few
     of them, or row groups in which many copies of a text take hardly any space.
-    Moving a pair once costs about a hundredth of scoring it. The number and size of
+    Moving a pair once costs a few hundredths of scoring it. The number and size of
     partitions is adaptive.
     """
     return df.hint("rebalance")
