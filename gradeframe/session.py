@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +21,10 @@ SETTINGS = {
 }
 
 
+# Folders made by this process in local mode, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app: str = "gradeframe", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **settings}.items():
@@ -27,9 +33,20 @@ def build_session(app: str = "gradeframe", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, named by the cluster.
+    """The folder all executors see, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where none is set, as in tests on one machine, a local one is made.
+    Only in local mode, as in tests, one folder per application is made where none is
+    set, and removed when the process ends. Elsewhere a folder of one machine would
+    lose rows, so a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
+    return _LOCAL_FOLDERS[app]
