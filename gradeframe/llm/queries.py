@@ -7,15 +7,91 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from ..plans.tables import table
-from . import simhash
+from . import decontamination, html, mixing, quality, rules, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with what it shares with the benchmark."""
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op2_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its counts and the verdict of risk-controlled rules."""
+    judged = rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page with its main text."""
+    texts = html.extract(table(spark, folder, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def _joined(spans: str) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with the secrets found in it."""
+    found = secrets.secret_spans(table(spark, folder, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.SURE],
+        F.sha2(_joined("base"), 256).alias("base_sha256"),
+        _joined("spans").alias("spans"),
+    )
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its quality score."""
+    scored = quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        quality.in_split(F.col("doc_id"), 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, F.lit(1)).otherwise(F.lit(0)).alias("predicted"),
+    )
+
+
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its calibrated weight, and whether it is in the sample."""
+    documents = mixing.with_margins(table(spark, folder, "documents"))
+    mixed = mixing.mix(documents, ["source", "lang", "topic"])
+    return mixed.select(
+        "doc_id",
+        "source",
+        "lang",
+        "topic",
+        "n_tokens",
+        F.round("weight", 6).alias("weight"),
+        F.round("probability", 6).alias("probability"),
+        "sampled",
+    )
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with its SimHash fingerprint and near-duplicate group."""
     groups = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -26,5 +102,10 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op8_simhash,)}
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline from raw documents to the weighted sample."""
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op8_simhash, pipeline)}
 ORACLE_SQL: dict[str, str] = {}

@@ -6,11 +6,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import Batches, map_texts, pairs, ship_by_value, stored
+from .store import Batches, column, map_texts, ship_by_value, stored
 
 BITS = 64
 _HASHES_AT_ONCE = 65_536
@@ -48,13 +48,13 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(packed.view(np.int64)[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """Rows (key, fingerprint BIGINT), one for each row; a NULL text counts as empty."""
+def with_fingerprint(df: DataFrame, shingle: int = 3) -> DataFrame:
+    """Replace ``text`` by its ``fingerprint`` BIGINT; a NULL text counts as empty."""
 
     def run(texts: list[str]) -> list[pa.Array]:
         return [pa.array([fingerprint(t, shingle) for t in texts], pa.int64())]
 
-    return map_texts(pairs(df, key, text), run, "fingerprint bigint")
+    return map_texts(df, run, "fingerprint bigint")
 
 
 def block_masks(distance: int, blocks: int) -> list[int]:
@@ -127,6 +127,31 @@ def fingerprint_links(
     return buckets.filter(F.size("values") > 1).select("values").mapInArrow(run, "a bigint, b bigint")
 
 
+def _identity(key: Column, text: Column) -> list[Column]:
+    """96 bits that tell rows apart by key and text, NULLs included."""
+    both = key, text, key.isNull(), text.isNull()
+    return [F.xxhash64(*both).alias("__id"), F.hash(*both).alias("__check")]
+
+
+def _grouped(df: DataFrame, key: str, text: str, shingle: int, distance: int, blocks: int) -> DataFrame:
+    """Rows (key, __id, __check, fingerprint, root, component), as many as in ``df``."""
+    source = df.select(
+        column(df, key).alias("key"),
+        *_identity(column(df, key), column(df, text)),
+        column(df, text).cast("string").alias("text"),
+    )
+    rows = stored(with_fingerprint(source, shingle), "fingerprints")
+    nodes = rows.groupBy("fingerprint").agg(F.min("key").alias("first"))
+    links = fingerprint_links(nodes.select("fingerprint"), distance=distance, blocks=blocks)
+    roots = connected_components(links)
+    labelled = nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+    groups = labelled.groupBy("root").agg(F.min("first").alias("component"))
+    named = labelled.join(groups, "root").select("fingerprint", "root", "component")
+    return rows.join(named, "fingerprint")
+
+
 def near_duplicates(
     df: DataFrame,
     key: str = "doc_id",
@@ -146,16 +171,29 @@ def near_duplicates(
     ``blocks`` blocks, of which ``blocks - distance`` form a key: with 6 and 3 a key has
     32 bits, under 20 masks. More blocks mean longer keys for more rows.
     """
-    rows = stored(fingerprints(df, key, text, shingle), "fingerprints")
-    nodes = rows.groupBy("fingerprint").agg(F.min("key").alias("first"))
-    links = fingerprint_links(nodes.select("fingerprint"), distance=distance, blocks=blocks)
-    roots = connected_components(links)
-    labelled = nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    groups = labelled.groupBy("root").agg(F.min("first").alias("component"))
-    named = labelled.join(groups, "root").select("fingerprint", "component")
-    return rows.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component")
+    rows = _grouped(df, key, text, shingle, distance, blocks)
+    return rows.select(F.col("key").alias(key), "fingerprint", "component")
+
+
+def without_near_duplicates(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    distance: int = 3,
+    blocks: int = 6,
+) -> DataFrame:
+    """One row of each group of ``near_duplicates``, with the columns of ``df``.
+
+    The row with the smallest key stays, NULL keys last; rows that repeat key and text
+    count once. The texts are shuffled once, to meet the list of those that stay.
+    """
+    rows = _grouped(df, key, text, shingle, distance, blocks)
+    order = F.struct(F.col("key").isNull(), "key", "__id", "__check")
+    kept = rows.groupBy("root").agg(F.min(order).alias("best")).select("best.__id", "best.__check")
+    marked = df.select("*", *_identity(column(df, key), column(df, text)))
+    same = ["__id", "__check"]
+    return marked.join(kept, same, "left_semi").dropDuplicates(same).drop(*same)
 
 
 ship_by_value(__name__)

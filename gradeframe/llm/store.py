@@ -64,14 +64,18 @@ def pairs(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def map_texts(
-    df: DataFrame, function: Callable[[list[str]], list[pa.Array]], schema: str, chunk_chars: int = 4_000_000
+    df: DataFrame,
+    function: Callable[[list[str]], list[pa.Array]],
+    schema: str,
+    keep_text: bool = False,
+    chunk_chars: int = 4_000_000,
 ) -> DataFrame:
-    """Add columns that Python works out from ``text``; ``text`` itself is dropped.
+    """Add columns that Python works out from ``text``, and drop ``text`` unless it is kept.
 
-    Texts are handed over in slices of about ``chunk_chars`` characters, so that memory
+    NULL texts count as empty. Texts are handed over in slices of about ``chunk_chars`` characters, so that memory
     is bounded by the longest text, not by the batch. One row in, one row out.
     """
-    kept = [f for f in df.schema.fields if f.name != "text"]
+    kept = [f for f in df.schema.fields if keep_text or f.name != "text"]
     out = T.StructType([*kept, *T._parse_datatype_string(schema).fields])
     names = [f.name for f in kept]
 
