@@ -13,7 +13,18 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from ..plans.tables import table
-from . import decontamination, html, mixing, quality, rules, secrets, simhash
+from . import (
+    decontamination,
+    html,
+    language,
+    licenses,
+    mixing,
+    pseudo_likelihood,
+    quality,
+    rules,
+    secrets,
+    simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +103,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its masked pseudo-log-likelihood."""
+    return pseudo_likelihood.scored(table(spark, folder, "documents"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with its SimHash fingerprint and near-duplicate group."""
     groups = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -102,10 +118,31 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its licence sentences and licences."""
+    found = licenses.license_scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("bigint").alias("n_sentences"),
+        F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its main language."""
+    documents = table(spark, folder, "documents")
+    held_out = quality.in_split(F.col("doc_id"), 2)
+    model = language.fit(documents, ~held_out)
+    source = documents.select("doc_id", held_out.alias("held_out"), "text")
+    found = language.with_language(source, model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline from raw documents to the weighted sample."""
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op8_simhash, pipeline)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op7_pseudo_likelihood, op8_simhash, op9_licenses, op10_language, pipeline)}
 ORACLE_SQL: dict[str, str] = {}
