@@ -25,6 +25,7 @@ from . import (
     secrets,
     simhash,
 )
+from .oracle import ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,4 +146,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op7_pseudo_likelihood, op8_simhash, op9_licenses, op10_language, pipeline)}
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

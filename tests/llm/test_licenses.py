@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import re
+
+from helpers import ODD, documents
+from plans import physical
+
+from gradeframe.llm import licenses, queries
+
+SF = "/root/testdata/sf0.001"
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0"""
+
+
+def slow(text):
+    """(identifiers, licences) by the definitions, in plain Python."""
+    known = {v: k for k, v in licenses.SENTENCES.items()}
+    readings = []
+    for ends in licenses.ENDS:
+        pieces = re.split(ends, text or "")
+        lower = [p.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for p in pieces]
+        plain = [re.sub("[^a-z0-9\x80-\U0010ffff]+", " ", p).strip(" ") for p in lower]
+        readings.append([known[p] for p in plain if p in known])
+    found = set()
+    for ids in readings:
+        here = {
+            name
+            for name, rule in licenses.RULES
+            if any(tuple(ids[i : i + len(rule)]) == rule for i in range(len(ids)))
+        }
+        found |= here - {small for large, small in licenses.INCLUDES if large in here}
+    longest = readings[1] if len(readings[1]) > len(readings[0]) else readings[0]
+    return longest, sorted(found)
+
+
+def scan(spark, texts):
+    rows = licenses.license_scan(documents(spark, texts)).collect()
+    assert len(rows) == len(texts)
+    return {r.doc_id: (r.sentences, r.licences) for r in rows}
+
+
+def test_notices_and_texts(spark):
+    texts = [
+        "prose.\nReleased under the MIT License.\nmore prose",
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under the GNU General Public License, version 3.",
+        "a | b | Licensed under the Apache License, Version 2.0. | c",
+        "end. Licensed under the Apache License, Version 2.0. And on.",
+        MIT,
+        APACHE,
+        MIT + "\n\n" + APACHE,
+        "The license is mine. All permissions are reserved.",
+        "Relicensed under the MIT license",
+        *ODD,
+    ]
+    got = scan(spark, texts)
+    for i, text in enumerate(texts):
+        assert got[i] == slow(text), text
+    assert got[0][1] == ["MIT"] and got[1][1] == ["CC-BY-NC-4.0"] and got[2][1] == ["GPL-3.0"]
+    assert got[4][1] == got[6][1] == ["Apache-2.0"] and got[5][1] == ["MIT"]
+    assert got[7][1] == ["Apache-2.0", "MIT"] and got[8] == got[9] == ([], [])
+
+
+def test_rules_need_their_sentences_in_order(spark):
+    grant, notice = licenses.SENTENCES["mit-grant"], licenses.SENTENCES["mit-notice"]
+    bsd = [licenses.SENTENCES[f"bsd-{k}"] for k in ("use", "source", "binary", "names")]
+    other = licenses.SENTENCES["gpl-hope"]
+    texts = [
+        f"{grant}.\n{notice}.",
+        f"{notice}.\n{grant}.",
+        f"{grant}.\nno known sentence.\n{notice}.",
+        f"{grant}.\n{other}.\n{notice}.",
+        grant,
+        ".\n".join(bsd),
+        ".\n".join(bsd[:3]),
+        ".\n".join(bsd[:2]),
+    ]
+    got = scan(spark, texts)
+    assert [got[i][1] for i in range(8)] == [["MIT"], [], ["MIT"], [], [], ["BSD-3-Clause"], ["BSD-2-Clause"], []]
+
+
+def test_every_sentence_is_found_as_it_stands(spark):
+    names = list(licenses.SENTENCES)
+    got = scan(spark, [licenses.SENTENCES[n].capitalize() + "." for n in names])
+    assert [got[i][0] for i in range(len(names))] == [[n] for n in names]
+
+
+def test_rows_stay_rows_and_nothing_moves(spark):
+    rows = [(None, None), (None, "Released under the MIT License."), (1, ""), (1, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS key", "2 AS ids_0", "3 AS licences")
+    got = sorted(map(str, licenses.license_scan(df).collect()))
+    assert len(got) == 4 and "['mit-released'], licences=['MIT']" in "".join(got)
+    assert licenses.license_scan(df.filter("false")).count() == 0
+    plan = physical(licenses.license_scan(spark.read.parquet(f"{SF}/documents.parquet")))
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_registered_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op9_licenses(spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        ids, found = slow(texts[r.doc_id])
+        assert tuple(r) == (r.doc_id, len(ids), ",".join(ids), ",".join(found))

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from helpers import ODD, documents
+
+from gradeframe.llm import pseudo_likelihood as P
+from gradeframe.llm import queries
+
+SF = "/root/testdata/sf0.001"
+SMALL = P.Shape(classes=3, per_class=4, unknown=4, side=2, width=5)
+
+
+def network(seed=1):
+    words = [b"the", b"of", b"a", b"tide", b"salt", b"rope", b"x", b"y"]
+    return P.Network.start(SMALL, words, np.arange(1.0, 13.0), seed)
+
+
+def slow_score(text, net):
+    """Token by token, from the definition."""
+    words = text.encode().lower().split()
+    ids = [net.words.get(w, 8 + zlib.crc32(w) % 4) for w in words]
+    padded = [12, 12, *ids, 12, 12]
+    tables, bias, class_w, class_b, word_w, word_b = (w.astype(float) for w in net.weights)
+    total = 0.0
+    for i, token in enumerate(ids):
+        around = [padded[i], padded[i + 1], padded[i + 3], padded[i + 4]]
+        h = np.tanh(bias + sum(tables[k][t] for k, t in enumerate(around)))
+        group, member = divmod(token, 4)
+        for logits, at in ((h @ class_w + class_b, group), (h @ word_w[group] + word_b[group], member)):
+            total += logits[at] - np.log(np.exp(logits).sum())
+    return len(ids), total
+
+
+def test_scores_by_the_definition():
+    net, rng = network(), random.Random(2)
+    texts = [" ".join(rng.choice(["the", "OF", "tide", "unknown", "é"]) for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    n, sums = P.pseudo_log_likelihood([*texts, ""], net, batch=7)
+    for text, count, total in zip([*texts, ""], n, sums):
+        expected = slow_score(text, net)
+        assert count == expected[0] and total == pytest.approx(expected[1], abs=1e-3)
+
+
+def test_probabilities_of_all_tokens_sum_to_one():
+    net = network()
+    for left in range(13):
+        streams = [np.array([12, left, t, 3, 12]) for t in range(12)]
+        assert sum(np.exp(net.log_probabilities(s, np.array([2]))[0]) for s in streams) == pytest.approx(1, abs=1e-5)
+
+
+def test_slopes():
+    net, rng = network(), np.random.default_rng(0)
+    net.weights = [w.astype(np.float64) for w in net.weights]
+    stream = np.array([12, 12, *rng.integers(0, 12, 25), 12, 12])
+    at = np.flatnonzero(stream < 12)
+    back = [np.zeros_like(w) for w in net.weights]
+    net.log_probabilities(stream, at, back)
+    for w, b in zip(net.weights, back):
+        for _ in range(8):
+            i = tuple(rng.integers(0, n) for n in w.shape)
+            old, step = w[i], 1e-5
+            losses = []
+            for value in (old + step, old - step):
+                w[i] = value
+                losses.append(-net.log_probabilities(stream, at).mean())
+            w[i] = old
+            assert (losses[0] - losses[1]) / (2 * step) == pytest.approx(b[i], abs=1e-6)
+
+
+def patterned(spark, n=240):
+    rng = random.Random(3)
+    pairs = [("salt", "water"), ("high", "tide"), ("long", "rope"), ("deep", "harbour")]
+    return documents(spark, [" ".join(w for _ in range(60) for w in rng.choice(pairs)) for _ in range(n)])
+
+
+def test_vocabulary_counts_all_documents(spark):
+    df = documents(spark, ["b b B a", "a É", "é c", None, ""])
+    words, counts = P.vocabulary(df.select("text").fillna(""), SMALL)
+    assert words == [b"b", b"a", "c".encode(), "É".encode(), "é".encode()]
+    assert counts.tolist() == [3, 2, 1, 1, 1, 0, 0, 0] + [0] * 4
+    few = P.Shape(classes=1, per_class=4, unknown=2)
+    words, counts = P.vocabulary(df.select("text").fillna(""), few)
+    assert words == [b"b", b"a"] and counts.tolist() == [3, 2, 1.5, 1.5]
+
+
+def test_training_learns_both_sides(spark):
+    df = patterned(spark).repartition(3)
+    shape = P.Shape(classes=2, per_class=8, unknown=4)
+    net = P.fit(df, shape=shape, rounds=8)
+    rng = random.Random(4)
+    text = patterned(spark, 1).first().text.split()
+    mixed = rng.sample(text, len(text))
+    (n, m), (good, bad) = P.pseudo_log_likelihood([" ".join(text), " ".join(mixed)], net)
+    assert n == m and good / n > bad / m + 0.5
+
+
+def test_averaging_weighs_by_tokens(spark):
+    """Two tasks of unequal size against the same two networks averaged here."""
+    texts = ["the of a tide " * 30, "salt rope x y unknown " * 70]
+    df = documents(spark, texts).select("text").repartitionByRange(2, "text")
+    assert df.rdd.getNumPartitions() == 2
+    net = network()
+    weights, tokens = [], []
+    for text in texts:
+        own = P.Network(SMALL, net.words, [w.copy() for w in net.weights])
+        tokens.append(own.train(iter([own.encode(text)])))
+        weights.append(own.weights)
+    for got, a, b in zip(P._average(df, net), *weights):
+        np.testing.assert_allclose(got, (a * tokens[0] + b * tokens[1]) / sum(tokens), rtol=1e-4, atol=1e-6)
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    df = documents(spark, [*ODD, "again", "again"]).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "1 AS n_tokens", "2 AS key")
+    rows = P.scored(df).collect()
+    assert len(rows) == len(ODD) + 2
+    for r in rows:
+        assert (r.mean_log_prob is None) == (r.n_tokens == 0)
+        assert np.isfinite(r.log_prob) and r.log_prob <= 0
+    assert P.scored(df.filter("false")).count() == 0
+    assert [r.log_prob for r in P.scored(df.filter("text IS NULL")).collect()] == [0.0]
+
+
+def test_registered_query(spark):
+    rows = queries.op7_pseudo_likelihood(spark, SF).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(t.encode().split()) for i, t in texts.items()}
+    assert all(r.log_prob < 0 for r in rows if r.n_tokens)

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+from math import comb
+
+import pytest
+from helpers import ODD, documents
+
+from gradeframe.llm import queries, rules
+
+SF = "/root/testdata/sf0.001"
+
+
+def slow(text):
+    """The counts, straight from their definitions."""
+    words = [w.encode() for w in (text or "").translate(str.maketrans("\t\n\x0b\x0c\r", " " * 5)).split(" ") if w]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    lines = [line for line in (text or "").split("\n") if line.strip(" \t\n\x0b\x0c\r")]
+    return (
+        len(words),
+        sum(len(w.decode()) for w in words),
+        sum((text or "").count(c) for c in "#*$%&|<>"),
+        sum(line in lines[:i] for i, line in enumerate(lines)),
+        len(repeated),
+    )
+
+
+def test_measure():
+    rng = random.Random(1)
+    texts = ["", " \n", "a", "a a a a", "a b c a b c d", "x\nx\n\ny\nx", "Ü#|<é> z\x85", "a b a b a b a"]
+    texts += ["".join(rng.choice("ab \n#\t") for _ in range(rng.randint(0, 80))) for _ in range(300)]
+    for text in texts:
+        assert rules.measure(text)[:5] == slow(text), repr(text)
+
+
+def test_binomial_tail():
+    for n, k, p in ((10, 3, 0.2), (50, 0, 0.01), (30, 30, 0.5), (40, -1, 0.5), (200, 7, 0.03)):
+        exact = sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+        assert rules.binomial_tail(k, n, p) == pytest.approx(exact, rel=1e-9, abs=1e-15)
+
+
+def test_certified_stops_at_the_first_failure():
+    # 0 of 299 at 1 %: 0.99**299 = 0.0495; one rejected already needs more.
+    assert rules.certified(299, [0, 0, 1, 0], 0.01, 0.05) == 2
+    assert rules.certified(298, [0], 0.01, 0.05) == 0
+    assert rules.certified(0, [0], 0.01, 0.05) == 0
+
+
+def test_guarantee_holds_on_fresh_documents():
+    """Cutoffs picked on one sample reject more than alpha of the good in few repetitions."""
+    rng, alpha, delta, broken = random.Random(5), 0.05, 0.1, 0
+    for _ in range(300):
+        draws = sorted(rng.random() for _ in range(400))
+        lost = [sum(d > c / 100 for d in draws) for c in range(100, -1, -1)]
+        passed = rules.certified(400, lost, alpha, delta)
+        if passed and (passed - 1) / 100 > alpha:  # a uniform share lies above cutoff c with 1 - c
+            broken += 1
+    assert broken <= 300 * delta
+
+
+def clean(i):
+    return " ".join(f"word{i}x{k}" for k in range(60))
+
+
+def noisy(i):
+    return " ".join(f"w{i}y{k}$$$" for k in range(60))
+
+
+def test_rules_reject_noise_where_enough_is_labelled(spark):
+    texts = [clean(i) for i in range(700)] + [noisy(i) for i in range(100)] + ODD
+    docs = documents(spark, texts).unionByName(documents(spark, [clean(1), noisy(1)], lang="xx", first=5000))
+    docs = docs.unionByName(documents(spark, [noisy(7)], lang=None, first=6000))
+    labels = spark.createDataFrame([(i, int(i < 700)) for i in range(750)] + [(None, 1), (750, None)], "doc_id bigint, quality int")
+    rows = {r.doc_id: r for r in rules.judged(docs, labels).collect()}
+    assert len(rows) == len(texts) + 3
+    for i, text in enumerate(texts):
+        assert tuple(rows[i])[1:6] == slow(text)
+        words, repeated = slow(text)[0], slow(text)[4]
+        assert rows[i].base_failed == (words < 50 or 2 * repeated > words)
+        assert rows[i].kept == (i < 700)
+    # No labels in these strata, so no cutoff.
+    assert rows[5000].kept and rows[5001].kept and rows[6000].kept
+    none = rules.judged(docs, labels.filter("false"))
+    assert none.filter("kept").count() == 803
+    assert rules.judged(docs.filter("false"), labels).count() == 0
+
+
+def test_nulls_repeats_and_clashing_names(spark):
+    docs = documents(spark, [clean(1), clean(1)]).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "1 AS n_words", "2 AS kept", "3 AS key")
+    rows = rules.judged(docs, spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")).collect()
+    assert [(r.doc_id, r.n_words, r.kept) for r in rows] == [(None, 60, True)] * 2
+
+
+def test_registered_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op2_rules(spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        assert tuple(r)[1:6] == slow(texts[r.doc_id])
+        assert not (r.kept and r.base_failed)
