@@ -28,6 +28,7 @@ from .operators.scoring import (
     with_bleu,
     with_cosine_similarity,
     with_exact_match,
+    with_metrics,
     with_ngram_precision,
     with_rouge_l,
     with_token_f1,
@@ -76,6 +77,7 @@ __all__ = [
     "with_bleu",
     "with_cosine_similarity",
     "with_exact_match",
+    "with_metrics",
     "with_ngram_precision",
     "with_rouge_l",
     "with_token_f1",

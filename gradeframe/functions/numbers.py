@@ -16,8 +16,13 @@ from .text import ColumnOrName, as_column
 _SPLIT = 134217729.0
 
 
+# From here on a double has no more than one decimal to round, and products overflow.
+_LARGEST = float(2**52)
+
+
 def _scaled(c: Column, digits: int) -> Column:
-    """``c * 10**digits`` rounded to a whole BIGINT, for ``c`` in [0, 1e6]."""
+    """``|c| * 10**digits`` rounded to a whole BIGINT, for ``c`` within the range."""
+    c = F.abs(c)
     scale = F.lit(float(10**digits))
     product = c * scale
     carried = c * F.lit(_SPLIT)
@@ -34,17 +39,35 @@ def _scaled(c: Column, digits: int) -> Column:
     return whole + F.when(up, F.lit(1)).otherwise(F.lit(0))
 
 
+def _in_range(c: Column, digits: int, value: Column) -> Column:
+    """``value``, or an error where ``c`` is too large to be scaled (or is no number)."""
+    limit = _LARGEST / 10**digits
+    error = F.raise_error(F.format_string(f"%s is not within {limit:g} of zero", c.cast("string")))
+    return F.when(c.isNull() | (F.abs(c) <= F.lit(limit)), value).otherwise(error.cast("double"))
+
+
 def round_exact(c: ColumnOrName, digits: int) -> Column:
-    """DOUBLE rounded to ``digits`` decimals (non-negative input)."""
-    return _scaled(as_column(c), digits).cast("double") / F.lit(float(10**digits))
+    """DOUBLE rounded to ``digits`` decimals.
+
+    Values beyond 2**52 / 10**digits, infinities and NaN fail the query.
+    """
+    c = as_column(c)
+    size = _scaled(c, digits).cast("double") / F.lit(float(10**digits))
+    return _in_range(c, digits, F.when(c < 0, -size).otherwise(size))
 
 
 def fixed_text(c: ColumnOrName, digits: int) -> Column:
-    """STRING with exactly ``digits`` decimals (non-negative input)."""
-    scaled = _scaled(as_column(c), digits)
+    """STRING with exactly ``digits`` decimals; as in Python, -0.004 at two is '-0.00'.
+
+    Values beyond 2**52 / 10**digits, infinities and NaN fail the query.
+    """
+    c = as_column(c)
+    # The checked value, so that what follows only meets numbers in range.
+    scaled = _scaled(_in_range(c, digits, c), digits)
     scale = 10**digits
     return F.concat(
-        F.floor(scaled / scale).cast("string"),
+        F.when(c < 0, F.lit("-")).otherwise(F.lit("")),
+        ((scaled - scaled % scale) / scale).cast("bigint").cast("string"),
         F.lit("."),
         F.lpad((scaled % scale).cast("string"), digits, "0"),
     )

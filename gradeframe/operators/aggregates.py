@@ -46,7 +46,7 @@ def failed_rows(results: DataFrame) -> DataFrame:
     return results.filter("NOT passed")
 
 
-def _metric_map(value: Column | None = None) -> Column:
+def _metric_map() -> Column:
     entries = [part for m in sorted(METRICS) for part in (F.lit(m), F.col(m))]
     return F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
 

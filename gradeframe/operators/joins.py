@@ -4,19 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is hot from this share of the rows on, so at most 200 keys are.
-_HOT_SHARE = 0.005
-_SKETCH_COUNTERS = 8192
-_BROADCAST_BYTES = 64 * 1024 * 1024
 
-
-def _repeated_or_unmatched(
-    preds: DataFrame, refs: DataFrame, on: Sequence[str]
-) -> tuple[int, int]:
-    """How many keys occur twice on a side, and how many on one side only.
+def _checked(preds: DataFrame, refs: DataFrame, on: Sequence[str]) -> tuple[int, int, int]:
+    """How many keys occur twice on a side, how many on one side only, and how many rows
+    have a NULL in their key.
 
     Reads the key columns alone, and counts before it shuffles.
     """
@@ -25,11 +20,15 @@ def _repeated_or_unmatched(
         refs.select(*on, none.alias("p"), one.alias("r"))
     )
     counts = keys.groupBy(*on).agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+    whole = F.lit(True)
+    for name in on:
+        whole = whole & F.col(name).isNotNull()
     row = counts.agg(
-        F.count_if((F.col("p") > 1) | (F.col("r") > 1)).alias("repeated"),
-        F.count_if((F.col("p") == 0) | (F.col("r") == 0)).alias("unmatched"),
+        F.count_if(whole & ((F.col("p") > 1) | (F.col("r") > 1))).alias("repeated"),
+        F.count_if(whole & ((F.col("p") == 0) | (F.col("r") == 0))).alias("unmatched"),
+        F.coalesce(F.sum(F.when(~whole, F.col("p") + F.col("r"))), F.lit(0)).alias("nulls"),
     ).first()
-    return row.repeated, row.unmatched
+    return row.repeated, row.unmatched, row.nulls
 
 
 def align(
@@ -39,59 +38,46 @@ def align(
 
     A table has no positions, so ``on`` names the key that says which row belongs
     to which; it must be unique on both sides. ``strict`` raises ValueError if a
-    row has no partner, ``matched`` drops such rows. The check runs when this is
-    called.
+    row has no partner, ``matched`` drops such rows. A key with a NULL names no row, so
+    its row has no partner. The check runs when this is called.
     """
     if how not in ("strict", "matched"):
         raise ValueError(f"unknown alignment {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    repeated, unmatched = _repeated_or_unmatched(preds, refs, keys)
+    repeated, unmatched, nulls = _checked(preds, refs, keys)
     if repeated:
         raise ValueError(f"{repeated} keys occur more than once on a side")
+    if how == "strict" and nulls:
+        raise ValueError(f"{nulls} rows have a NULL key")
     if how == "strict" and unmatched:
         raise ValueError(f"predictions and references differ: {unmatched} keys unmatched")
     return preds.join(refs, keys, "inner")
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that hold more than 0.5 % of the rows, by a mergeable frequency sketch.
+def left_lookup(df: DataFrame, lookup: DataFrame, on: str = "id", salts: int = 16) -> DataFrame:
+    """Left join to a table with at most one row per key; several fail the query.
 
-    The result only steers which join carries a row, never whether it is kept.
+    Hashing by key alone would send all rows of a hot key to one task. So a row also gets
+    a salt from a hash of its other columns, a lookup row is repeated for each of the
+    ``salts`` values, and both are joined on key and salt: a key is split whatever its
+    share of the rows, by the same plan at any size. It costs ``salts`` copies of the
+    lookup table in its shuffle. Rows that are alike in all columns share a salt.
     """
-    limit = int(1 / _HOT_SHARE)
-    row = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {limit}, {_SKETCH_COUNTERS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    return [
-        e["item"] for e in row.top if e["item"] is not None and e["count"] > _HOT_SHARE * row.n
+    rest = [
+        f.name
+        for f in df.schema.fields
+        if f.name != on and isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType))
     ]
-
-
-def _payload_bytes(df: DataFrame) -> int:
-    size = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first().n
-
-
-def left_lookup(df: DataFrame, lookup: DataFrame, on: str = "id") -> DataFrame:
-    """Left join to a table with at most one row per key.
-
-    Hashing would send all rows of a hot key to one task. The few lookup rows of
-    hot keys are broadcast instead, if their measured size allows; all other rows
-    are joined by a shuffle. Counting keys and measuring sizes runs small jobs over
-    the key columns when this is called.
-    """
-    repeated = lookup.groupBy(on).count().filter("count > 1")
-    if not repeated.isEmpty():
-        raise ValueError(f"the lookup table holds several rows for a value of {on!r}")
-    hot = hot_keys(df, on)
-    few = lookup.filter(F.col(on).isin(hot))
-    if not hot or _payload_bytes(few) > _BROADCAST_BYTES:
-        return df.join(lookup, on, "left")
-
-    def is_hot() -> Column:
-        return F.coalesce(F.col(on).isin(hot), F.lit(False))
-
-    usual = df.filter(~is_hot()).join(lookup.filter(~is_hot()), on, "left")
-    crowded = df.filter(is_hot()).join(F.broadcast(few), on, "left")
-    return usual.unionByName(crowded)
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0))
+    values = [c for c in lookup.columns if c != on]
+    single = F.when(F.col("__n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"the lookup table holds several rows for a value of {on!r}")).cast("boolean")
+    )
+    once = (
+        lookup.filter(F.col(on).isNotNull())
+        .groupBy(on)
+        .agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*values)).alias("__v"))
+        .filter(single)
+        .select(on, "__v.*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
+    )
+    return salted.join(once, [on, "__salt"], "left").drop("__salt").select(*df.columns, *values)

@@ -19,6 +19,7 @@ from .scoring import PRED, REF, with_token_f1_and_cosine
 
 Judge = Callable[[DataFrame], DataFrame]
 VERDICT_COLUMNS = ("score", "reason", "raw")
+ANSWERED, NO_CONTENT, NOT_JSON = "answered", "no content", "not json"
 
 # The texts a verdict and a judge request are made of.
 RULE_REASON = "离线规则裁判：token F1=%s，余弦相似度=%s，加权得分=%s"
@@ -70,7 +71,9 @@ def row_judge(judge: Callable[[str, str, str], tuple[float, str, str | None]]) -
     def apply(df: DataFrame) -> DataFrame:
         call = F.pandas_udf(verdicts, "score double, reason string, raw string")
         kept = [c for c in df.columns if c not in VERDICT_COLUMNS]
-        return df.select(*kept, call("prompt", REF, PRED).alias("__v")).select(
+        # The generator keeps later filters above the call, which would else run twice.
+        called = df.select(*kept, F.explode(F.array(call("prompt", REF, PRED))).alias("__v"))
+        return called.select(
             *kept, "__v.score", "__v.reason", F.parse_json("__v.raw").alias("raw")
         )
 
@@ -115,20 +118,38 @@ def judge_requests(df: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
     return df.select("id", F.to_json(request).alias("request"))
 
 
-def read_replies(replies: DataFrame, response: str = "response", on: str = "id") -> DataFrame:
-    """Rows (id, score, reason, raw) from whole chat replies as JSON text.
+def read_replies(
+    replies: DataFrame, response: str = "response", on: str = "id", mode: str = "keep"
+) -> DataFrame:
+    """Rows (id, score, reason, raw, status) from whole chat replies as JSON text.
 
     The first choice should hold a JSON object with ``score`` and ``reason``. If it
-    does not, the score is 0.0 and the reason its text.
+    does not, the score is 0.0 and the reason its text; ``status`` is ``answered`` either
+    way. A reply without any such content (an API error, no choices) is ``no content``, one
+    that is not JSON at all (NULL included) ``not json``: there is no verdict, so score and
+    reason are NULL and means leave it out. With ``mode="fail"`` such a reply fails the
+    query instead.
     """
-    content = F.variant_get("raw", "$.choices[0].message.content", "string")
-    return (
-        replies.select(on, F.parse_json(response).alias("raw"))
-        .withColumn("__content", F.coalesce(content, F.lit("")))
+    if mode not in ("keep", "fail"):
+        raise ValueError(f"unknown mode {mode!r}")
+    content = "$.choices[0].message.content"
+    answered = F.col("status") == ANSWERED
+    read = (
+        replies.select(on, F.try_parse_json(response).alias("raw"))
+        .withColumn(
+            "status",
+            F.when(F.col("raw").isNull(), F.lit(NOT_JSON))
+            .when(F.try_variant_get("raw", content, "variant").isNull(), F.lit(NO_CONTENT))
+            .otherwise(F.lit(ANSWERED)),
+        )
+        .withColumn("__content", F.coalesce(F.try_variant_get("raw", content, "string"), F.lit("")))
         .withColumn("__parsed", F.try_parse_json("__content"))
-        .select(on, _verdict(F.col("__parsed"), F.col("__content")).alias("__v"), "raw")
-        .select(on, "__v.score", "__v.reason", "raw")
+        .withColumn("__v", F.when(answered, _verdict(F.col("__parsed"), F.col("__content"))))
     )
+    if mode == "fail":
+        broken = F.raise_error(F.concat(F.lit("a judge reply is "), "status")).cast("boolean")
+        read = read.filter(F.when(answered, F.lit(True)).otherwise(broken))
+    return read.select(on, "__v.score", "__v.reason", "raw", "status")
 
 
 def _verdict(parsed: Column, content: Column) -> Column:

@@ -147,7 +147,8 @@ def with_rouge_l(
     score = _overlap_scores(_LCS).withField("lcs", F.col(_LCS))
     return (
         df.transform(_tokens, pred, ref)
-        .transform(_lcs)
+        .withColumn(_COMMON, intersection_size(_P, _R))
+        .transform(_lcs, None, _COMMON)
         .transform(_settled, [_LCS])
         .transform(_add, output, score)
     )
@@ -221,6 +222,34 @@ def with_token_f1_and_cosine(
     )
 
 
+def with_metrics(
+    df: DataFrame, metrics: Sequence[str], pred: str = PRED, ref: str = REF
+) -> DataFrame:
+    """Add several metrics, each as its own ``with_...`` would, from one pass over the tokens.
+
+    ``metrics`` may name ``token_f1``, ``rouge_l``, ``bleu`` (up to 4-grams, equal weights)
+    and ``cosine_similarity``; columns of these names are replaced.
+    """
+    scores = {
+        "token_f1": _overlap_scores(_COMMON),
+        "rouge_l": _overlap_scores(_LCS).withField("lcs", F.col(_LCS)),
+        "bleu": _bleu(M.bleu_weights(M.BLEU_ORDER, None)),
+        "cosine_similarity": F.col(_COSINE),
+    }
+    unknown = [m for m in metrics if m not in scores]
+    if unknown:
+        raise ValueError(f"unknown metrics {', '.join(unknown)}")
+    rows = df.transform(_tokens, pred, ref).transform(_unigrams)
+    counts = [_COMMON, _COSINE]
+    if "rouge_l" in metrics:
+        rows, counts = rows.transform(_lcs, None, _COMMON), [*counts, _LCS]
+    rows = rows.transform(_settled, counts, keep=[_P, _R, _SAME])
+    if "bleu" in metrics:
+        rows = rows.transform(_ngrams, M.BLEU_ORDER)
+    kept = [c for c in df.columns if c not in metrics]
+    return rows.select(*kept, *[scores[m].alias(m) for m in dict.fromkeys(metrics)])
+
+
 def evaluate(samples: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Score samples with the metrics of their task type and decide pass or fail.
 

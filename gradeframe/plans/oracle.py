@@ -7,12 +7,18 @@ textbook table of partial lengths.
 
 from __future__ import annotations
 
-from ..functions.text import STRIP_CHARACTERS, TOKEN_PATTERN
 from ..operators.judge import DEFAULT_MODEL, RULE_REASON, SYSTEM_PROMPT, USER_PROMPT
 from ..operators.scoring import METRICS
 from .queries import GATE_BAR, WEIGHTS
 
 
+# Written out again, so that a slip in the operators shows.
+STRIP_CHARACTERS = "".join(
+    map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
+)
+TOKEN_PATTERN = "[a-z0-9]+|[一-鿿]"
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -171,9 +177,17 @@ aligned AS (
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id
 )"""
 
+_REFERENCE_LABELS = f"""
+aligned AS (
+  SELECT d.doc_id, CASE WHEN d.n_chars >= 500 THEN {_LONG} ELSE 'Low' END AS pred,
+         CASE WHEN l.quality = 1 THEN 'high' WHEN l.quality = 0 THEN 'low'
+              WHEN d.lang = 'en' THEN ' High' ELSE 'low' END AS label
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+)"""
+
 _REPLIES = """
 contents AS (
-  SELECT id, conv_id % 8 AS kind, CASE conv_id % 8
+  SELECT id, conv_id % 11 AS kind, CASE conv_id % 11
       WHEN 0 THEN json_object('score', 0.75, 'reason', prompt)::VARCHAR
       WHEN 1 THEN json_object('score', '0.5', 'reason', prompt)::VARCHAR
       WHEN 2 THEN json_object('score', 3, 'reason', prompt)::VARCHAR
@@ -181,17 +195,18 @@ contents AS (
       WHEN 4 THEN json_object('reason', prompt)::VARCHAR
       WHEN 5 THEN '{"score": null, "reason": "none"}'
       WHEN 6 THEN 'I would say: ' || prompt
-      ELSE '```json' || chr(10) || json_object('score', 1, 'reason', prompt)::VARCHAR
+      WHEN 7 THEN '```json' || chr(10) || json_object('score', 1, 'reason', prompt)::VARCHAR
            || chr(10) || '```'
     END AS content
   FROM turns
 ),
 parsed AS (
-  SELECT id, content, CASE WHEN json_valid(content) THEN content::JSON END AS j FROM contents
+  SELECT id, kind, content, CASE WHEN json_valid(content) THEN content::JSON END AS j FROM contents
 ),
 verdicts AS (
   SELECT id,
-         CASE WHEN usable THEN
+         CASE WHEN kind = 10 THEN 'not json' WHEN kind >= 8 THEN 'no content' ELSE 'answered' END AS status,
+         CASE WHEN kind >= 8 THEN NULL WHEN usable THEN
            greatest(0.0, least(1.0, coalesce(CAST(j->>'$.score' AS DOUBLE), 0.0)))
          ELSE 0.0 END AS score,
          CASE WHEN usable THEN coalesce(j->>'$.reason', '') ELSE content END AS reason
@@ -260,9 +275,19 @@ _REQUEST = (
     "'temperature', 0)::VARCHAR"
 )
 
+_OFF = {
+    "bleu": "CASE WHEN sample_id LIKE '%-3' THEN bleu + 2 ELSE bleu END",
+    "token_f1": "CASE WHEN sample_id LIKE 'doc-%7' THEN token_f1 - 2 ELSE token_f1 END",
+}
+
 ORACLE_SQL: dict[str, str] = {
     "load_samples": _SAMPLES_SQL,
     "stored_samples": _SAMPLES_SQL,
+    "wrapped_samples": _with(
+        f"SELECT {_SAMPLE} FROM samples UNION ALL SELECT id || '-swapped', 'classification', prompt, "
+        "model_output, reference FROM samples",
+        _RAW,
+    ),
     "task_type_counts": _with(
         "SELECT task_type, count(*) AS n FROM samples GROUP BY task_type", _RAW
     ),
@@ -283,7 +308,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "accuracy": _with(
         f"SELECT round(avg(CASE WHEN {_HIT} THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM aligned",
-        _LABELS,
+        _REFERENCE_LABELS,
     ),
     "label_scores": _with(
         f"""SELECT {_round('precision', 'recall')},
@@ -294,7 +319,7 @@ ORACLE_SQL: dict[str, str] = {
                            count(*) FILTER (NOT ({_HIT})) AS fn FROM aligned))""",
         _LABELS,
     ),
-    "align_strict": _ALIGNED_SQL,
+    "align_strict": _with("SELECT doc_id, pred, label FROM aligned", _REFERENCE_LABELS),
     "align_matched": _ALIGNED_SQL,
     "token_f1": _with(_precision_recall_f1("prf"), *_EVALUATED),
     "token_overlap": _with(
@@ -342,9 +367,10 @@ ORACLE_SQL: dict[str, str] = {
         _SUMMARY,
     ),
     "score_range_violations": _with(
-        "SELECT sample_id, metric, score FROM ("
+        "SELECT sample_id, metric, round(score, 6) AS score FROM ("
         + " UNION ALL ".join(
-            f"SELECT sample_id, '{m}' AS metric, {m} AS score FROM results" for m in METRICS
+            f"SELECT sample_id, '{m}' AS metric, {_OFF.get(m, m)} AS score FROM results"
+            for m in METRICS
         )
         + ") WHERE score < 0 OR score > 1",
         *_EVALUATED,
@@ -365,7 +391,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "judge_requests": _with(f"SELECT id, {_REQUEST} AS request FROM samples", _RAW),
     "judge_replies": _with(
-        "SELECT id, round(score, 6) AS score, reason FROM verdicts", _RAW, _REPLIES
+        "SELECT id, round(score, 6) AS score, reason, status FROM verdicts", _RAW, _REPLIES
     ),
     "attach_verdicts": _with(
         "SELECT s.id, s.task_type, round(v.score, 6) AS score, v.reason "
@@ -393,6 +419,11 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "report_cards": _with(_cards(), *_EVALUATED, _SUMMARY),
     "first_n": _with(f"SELECT {_SAMPLE} FROM samples ORDER BY id LIMIT 4", _RAW),
+    "first_n_repeated": _with(
+        f"SELECT {_SAMPLE} FROM (SELECT * REPLACE (split_part(id, '-', 1) AS id) FROM samples) "
+        "ORDER BY id, prompt, reference, model_output, task_type LIMIT 12",
+        _RAW,
+    ),
     "find_sample": _with(f"SELECT {_SAMPLE} FROM samples WHERE id = '0-1'", _RAW),
 }
 ORACLE_SQL["stored_report"] = ORACLE_SQL["report_results"]

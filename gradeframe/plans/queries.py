@@ -63,7 +63,24 @@ def load_samples(spark: SparkSession, folder: str) -> DataFrame:
 def stored_samples(spark: SparkSession, folder: str) -> DataFrame:
     path = _scratch(spark, "samples")
     write_samples(tables.samples(spark, folder), path)
-    return read_samples(spark, path, "ndjson").withColumn("metadata", F.to_json("metadata"))
+    return read_samples(spark, path).withColumn("metadata", F.to_json("metadata"))
+
+
+def wrapped_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that each wrap a sample and its counterpart with the texts swapped."""
+    path = _scratch(spark, "wrapped")
+    pair = F.array(
+        F.struct("id", "prompt", "reference", "model_output", "task_type"),
+        F.struct(
+            F.concat("id", F.lit("-swapped")).alias("id"),
+            "prompt",
+            F.col("model_output").alias("reference"),
+            F.col("reference").alias("model_output"),
+            F.lit("cls").alias("task_type"),
+        ),
+    )
+    tables.samples(spark, folder).select(F.lit("v1").alias("version"), pair.alias("samples")).write.json(path)
+    return read_samples(spark, path).drop("metadata")
 
 
 def task_type_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,9 +88,9 @@ def task_type_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def normalize_tokenize(spark: SparkSession, folder: str) -> DataFrame:
+    documents = selection.spread(tables.table(spark, folder, "documents").select("doc_id", "text"))
     return (
-        tables.table(spark, folder, "documents")
-        .select("doc_id", normalize_text("text").alias("normalized"), tokenize("text").alias("t"))
+        documents.select("doc_id", normalize_text("text").alias("normalized"), tokenize("text").alias("t"))
         .select(
             "doc_id",
             "normalized",
@@ -84,7 +101,7 @@ def normalize_tokenize(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ngram_lists(spark: SparkSession, folder: str) -> DataFrame:
-    turns = tables.table(spark, folder, "conversations")
+    turns = selection.spread(tables.table(spark, folder, "conversations").select("conv_id", "turn", "text"))
     tokens = turns.select("conv_id", "turn", tokenize("text").alias("t"))
     return tokens.select(
         "conv_id",
@@ -95,7 +112,8 @@ def ngram_lists(spark: SparkSession, folder: str) -> DataFrame:
 
 def exact_match(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        _pairs(spark, folder)
+        tables.samples(spark, folder)
+        .select("id", "model_output", "reference")
         .transform(scoring.with_exact_match)
         .transform(scoring.with_exact_match, normalize=False, output="exact_match_raw")
         .select("id", "exact_match", "exact_match_raw")
@@ -114,8 +132,7 @@ def label_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def align_strict(spark: SparkSession, folder: str) -> DataFrame:
-    labels = tables.true_labels(spark, folder)
-    preds = tables.predicted_labels(spark, folder).join(labels, "doc_id", "left_semi")
+    preds, labels = tables.predicted_labels(spark, folder), tables.reference_labels(spark, folder)
     return joins.align(preds, labels, on="doc_id")
 
 
@@ -177,7 +194,7 @@ def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def corpus_idf(spark: SparkSession, folder: str) -> DataFrame:
-    documents = tables.table(spark, folder, "documents")
+    documents = selection.spread(tables.table(spark, folder, "documents").select("text"))
     terms = corpus.inverse_document_frequencies(documents, "text")
     return terms.select("term", "document_frequency", _six("idf"))
 
@@ -198,7 +215,8 @@ def evaluate(spark: SparkSession, folder: str) -> DataFrame:
 def evaluate_stream(spark: SparkSession, folder: str) -> DataFrame:
     source, scored, log = (_scratch(spark, name) for name in ("source", "scored", "log"))
     write_samples(tables.samples(spark, folder), source)
-    start_scoring(read_sample_stream(spark, source), scored, log).awaitTermination()
+    stream = read_sample_stream(spark, source, max_files=1000)
+    start_scoring(stream, scored, log).awaitTermination()
     return _flat(spark.read.parquet(scored))
 
 
@@ -231,7 +249,14 @@ def gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_range_violations(spark: SparkSession, folder: str) -> DataFrame:
-    return aggregates.score_range_violations(_results(spark, folder))
+    """Scores of some samples are first put out of range, by a rule on their ids."""
+    off = _results(spark, folder).withColumns(
+        {
+            "bleu": F.when(F.col("sample_id").endswith("-3"), F.col("bleu") + 2).otherwise(F.col("bleu")),
+            "token_f1": F.when(F.col("sample_id").like("doc-%7"), F.col("token_f1") - 2).otherwise(F.col("token_f1")),
+        }
+    )
+    return aggregates.score_range_violations(off).select("sample_id", "metric", _six("score"))
 
 
 def rule_judge(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,7 +288,7 @@ def judge_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 def judge_replies(spark: SparkSession, folder: str) -> DataFrame:
     replies = judge.read_replies(tables.reply_records(spark, folder))
-    return replies.select("id", _six("score"), "reason")
+    return replies.select("id", _six("score"), "reason", "status")
 
 
 def attach_verdicts(spark: SparkSession, folder: str) -> DataFrame:
@@ -321,6 +346,13 @@ def first_n(spark: SparkSession, folder: str) -> DataFrame:
     return first.select("id", "task_type", "prompt", "reference", "model_output")
 
 
+def first_n_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """All answers of a conversation share an id here, so other columns settle the ties."""
+    shared = tables.samples(spark, folder).withColumn("id", F.split_part("id", F.lit("-"), F.lit(1)))
+    first = selection.first_n(shared.drop("metadata"), 12)
+    return first.select("id", "task_type", "prompt", "reference", "model_output")
+
+
 def find_sample(spark: SparkSession, folder: str) -> DataFrame:
     found = selection.find_sample(tables.samples(spark, folder), "0-1")
     return found.select("id", "task_type", "prompt", "reference", "model_output")
@@ -331,6 +363,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         load_samples,
         stored_samples,
+        wrapped_samples,
         task_type_counts,
         normalize_tokenize,
         ngram_lists,
@@ -368,6 +401,7 @@ QUERIES: dict[str, Query] = {
         report_rows,
         report_cards,
         first_n,
+        first_n_repeated,
         find_sample,
     )
 }

@@ -103,10 +103,23 @@ def true_labels(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def reference_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, label) for every document: by its quality, or else by its language."""
+    quality = table(spark, folder, "labels").select("doc_id", "quality")
+    label = F.when(F.col("quality") == 1, F.lit("high")).when(F.col("quality") == 0, F.lit("low"))
+    other = F.when(F.col("lang") == "en", F.lit(" High")).otherwise(F.lit("low"))
+    return (
+        table(spark, folder, "documents")
+        .select("doc_id", "lang")
+        .join(quality, "doc_id", "left")
+        .select("doc_id", F.coalesce(label, other).alias("label"))
+    )
+
+
 def reply_records(spark: SparkSession, folder: str) -> DataFrame:
     """(id, response): a chat reply for each answer, well formed or not."""
     answers = answer_records(spark, folder)
-    kind = F.col("conv_id") % 8
+    kind = F.col("conv_id") % 11
     reason = F.col("prompt").alias("reason")
 
     def reply(score: Column) -> Column:
@@ -123,6 +136,10 @@ def reply_records(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat(F.lit("```json\n"), reply(F.lit(1)), F.lit("\n```")))
     )
     message = F.struct(F.struct(content.alias("content")).alias("message"))
-    return answers.select(
-        "id", F.to_json(F.struct(F.array(message).alias("choices"))).alias("response")
+    response = (
+        F.when(kind == 8, F.lit('{"error": {"code": "rate_limit", "message": "slow down"}}'))
+        .when(kind == 9, F.lit('{"choices": []}'))
+        .when(kind == 10, F.lit("<html><body>502 Bad Gateway</body></html>"))
+        .otherwise(F.to_json(F.struct(F.array(message).alias("choices"))))
     )
+    return answers.select("id", response.alias("response"))

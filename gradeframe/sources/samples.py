@@ -6,6 +6,10 @@ metadata). Ids need not be unique.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +29,8 @@ RECORD = T.StructType(
 )
 SAMPLE_COLUMNS = RECORD.fieldNames()
 
-# A document is a list of records, or an object that wraps the list.
-DOCUMENT = T.StructType([*RECORD.fields, T.StructField("samples", T.ArrayType(RECORD))])
+# A line is a record, or an object that wraps a list of them.
+LINE = T.StructType([*RECORD.fields, T.StructField("samples", T.VariantType())])
 
 # Spellings that mean classification. All others mean generation.
 CLASSIFICATION_NAMES = ("classification", "classify", "cls")
@@ -84,31 +88,62 @@ def conform_samples(df: DataFrame) -> DataFrame:
     )
 
 
-def read_samples(spark: SparkSession, path: str, format: str = "json") -> DataFrame:
+def _document_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of whole-file JSON documents.
+
+    A file is read by one task and parsed once. Whether it is a list or a wrapper is told
+    from the document itself; anything after the document, a record that is no object and
+    broken JSON fail the query.
+    """
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("value").to_pylist():
+                document = json.loads(text)
+                if isinstance(document, dict):
+                    document = document.get("samples", [])
+                if not isinstance(document, list) or not all(isinstance(r, dict) for r in document):
+                    raise ValueError("an evaluation set is a list of objects, or an object with such a list as samples")
+                lines = [json.dumps(r, ensure_ascii=False) for r in document]
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["line"])
+
+    texts = spark.read.text(path, wholetext=True)
+    parsed = F.from_json("line", RECORD, {"mode": "FAILFAST"})
+    return texts.mapInArrow(records, "line string").select(parsed.alias("r")).select("r.*")
+
+
+def line_records(lines: DataFrame) -> DataFrame:
+    """The records of JSON lines, read with ``LINE``.
+
+    A line is a record, or a wrapper: an object with a list as ``samples`` and no ``id``.
+    In a record, ``samples`` is a key like any other unknown one.
+    """
+    is_list = F.coalesce(F.schema_of_variant("samples").startswith("ARRAY"), F.lit(False))
+    wrapper = F.col("id").isNull() & is_list
+    itself = F.array(F.lit(None).cast("variant"))
+    inner = F.when(wrapper, F.try_variant_get("samples", "$", "array<variant>")).otherwise(itself)
+    rows = lines.withColumn("__wrapper", wrapper).withColumn("__item", F.explode(inner))
+
+    def field(f: T.StructField) -> Column:
+        kind = f.dataType.simpleString()
+        own = F.try_variant_get("__item", f"$.{f.name}", kind)
+        return F.when(F.col("__wrapper"), own).otherwise(F.col(f.name)).alias(f.name)
+
+    return rows.select(*[field(f) for f in RECORD.fields])
+
+
+def read_samples(spark: SparkSession, path: str, format: str = "ndjson") -> DataFrame:
     """Read an evaluation set.
 
-    ``json`` is one document per file: a list of records, or ``{"samples": [...]}``.
-    Such a file is read by one task, so large sets belong in ``ndjson`` (a record
-    per line), ``parquet`` or ``orc``, which split.
+    ``ndjson`` holds a record per line, or a wrapper ``{"samples": [...]}`` per line.
+    ``json`` is one document per file, a list of records or one wrapper; such a file is
+    read by one task, so large sets belong in ``ndjson``, ``parquet`` or ``orc``, which
+    split. A file that is not of the given format fails the query.
     """
     if format == "json":
-        documents = (
-            spark.read.schema(DOCUMENT)
-            .option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .json(path)
-        )
-        # An object without ``samples`` holds none: a row with every field NULL.
-        texts = [F.to_json(n) if n == "metadata" else F.col(n) for n in SAMPLE_COLUMNS]
-        bare = documents.filter(
-            F.col("samples").isNull() & F.coalesce(*texts).isNotNull()
-        )
-        wrapped = documents.filter(F.col("samples").isNotNull())
-        records = bare.select(*SAMPLE_COLUMNS).unionByName(
-            wrapped.select(F.inline("samples"))
-        )
+        records = _document_records(spark, path)
     elif format == "ndjson":
-        records = spark.read.schema(RECORD).option("mode", "FAILFAST").json(path)
+        records = line_records(spark.read.schema(LINE).option("mode", "FAILFAST").json(path))
     else:
         records = spark.read.format(format).load(path)
     return conform_samples(records)
@@ -117,7 +152,13 @@ def read_samples(spark: SparkSession, path: str, format: str = "json") -> DataFr
 def write_samples(
     df: DataFrame, path: str, format: str = "ndjson", mode: str = "errorifexists"
 ) -> None:
-    """Write the six sample columns, as a directory of part files."""
+    """Write the six sample columns, as a directory of part files.
+
+    ``read_samples`` with the same format reads them back. Whole-file ``json`` documents
+    are not written, as part files of lines would not be such documents.
+    """
+    if format == "json":
+        raise ValueError("samples are not written as json documents, but as ndjson")
     writer = df.select(*SAMPLE_COLUMNS).write.mode(mode)
     if format == "ndjson":
         writer.option("ignoreNullFields", False).json(path)

@@ -9,12 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.scoring import evaluate
-from ..sources.samples import RECORD, conform_samples
+from ..sources.samples import LINE, conform_samples, line_records
 
 
-def read_sample_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Samples from JSON-lines files as they arrive in a folder."""
-    return conform_samples(spark.readStream.schema(RECORD).json(path))
+def read_sample_stream(
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+) -> DataFrame:
+    """Samples from JSON-lines files as they arrive in a folder.
+
+    ``max_files`` or ``max_bytes`` (such as ``"10g"``), not both, bound what a micro-batch
+    takes on. A broken line fails the query.
+    """
+    reader = spark.readStream.schema(LINE).option("mode", "FAILFAST")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return conform_samples(line_records(reader.json(path)))
 
 
 def start_scoring(

@@ -67,7 +67,7 @@ def main() -> None:
     from gradeframe.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(e.queries())
+    names = sys.argv[2:] or list(e.oracle_sql())
     spark = build_session(
         **{
             "spark.master": "local[8]",

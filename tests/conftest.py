@@ -36,27 +36,23 @@ def spark():
 
 @pytest.fixture(scope="session")
 def samples(spark):
-    """Eight samples: half labels, half free answers, with known outcomes."""
+    """Eleven samples of both kinds; what they score follows from the formulas."""
     rows = [
-        ("c1", "好评还是差评？", "好评", "好评", "classification"),
-        ("c2", "好评还是差评？", "好评", "差评", "classification"),
-        ("c3", "spam or ham?", "Spam", "  spam　", "classification"),
-        ("c4", "which section?", "sports", "finance", "classification"),
-        ("g1", "Summarise.", "the cat sat on the mat today", "the cat sat on a mat", "generation"),
-        ("g2", "Translate.", "你好，世界。", "你好世界", "generation"),
-        ("g3", "Which capital?", "巴黎", "巴黎是法国的首都", "generation"),
-        ("g4", "Which capital?", "Rome", "Milan", "generation"),
+        ("n01", "Where do ships anchor?", "harbour", " Harbour\n", "classification"),
+        ("n02", "What does the map show?", "river delta", "river", "classification"),
+        ("n03", "Tell what happened.", "seven ships left the port before dawn", "seven ships left before dawn", "generation"),
+        ("n04", "改写。", "桥梁结构安全", "桥梁结构不安全", "generation"),
+        ("n05", "Which metal?", "copper", "tin and zinc", "generation"),
+        ("n06", "Say nothing.", "", "", "classification"),
+        ("n07", "Say nothing.", "", "", "generation"),
+        ("n08", "Colour of the flag?", "Blue", "blue", "classification"),
+        ("n09", "Describe the wind.", "wind from the north west", "north", "generation"),
+        ("n10", "Is it raining?", "yes", "no", "classification"),
+        ("n11", "Count.", "one two three four five", "one two three four five", "generation"),
     ]
     return spark.createDataFrame(rows, SAMPLE_SCHEMA)
 
 
-EXPECTED_PASS = {
-    "c1": True,
-    "c2": False,
-    "c3": True,
-    "c4": False,
-    "g1": True,
-    "g2": True,
-    "g3": False,
-    "g4": False,
-}
+# Equal labels pass. ROUGE-L F1: n03 2*5/(5+7), n04 2*6/(7+6), n09 2*1/(1+5), n11 1.
+PASSING = {"n01", "n03", "n04", "n06", "n08", "n11"}
+EXPECTED_PASS = {f"n{i:02}": f"n{i:02}" in PASSING for i in range(1, 12)}

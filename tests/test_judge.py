@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+import math
 
 import pytest
+from plans import physical
 from pyspark.sql import functions as F
 
 from gradeframe.operators import judge as J
@@ -10,20 +12,14 @@ from gradeframe.operators import judge as J
 
 def test_rule_judge(spark, samples):
     rows = {r.id: r for r in J.rule_judge(samples).withColumn("raw", F.to_json("raw")).collect()}
-    assert rows["c1"].score == rows["g2"].score == rows["c3"].score == 1.0
-    assert rows["c2"].score < 1.0
-    assert rows["g4"].score == rows["c4"].score == 0.0
-    assert rows["g3"].score == 0.39
-    assert rows["g3"].reason == "离线规则裁判：token F1=0.400，余弦相似度=0.380，加权得分=0.390"
-    assert json.loads(rows["g3"].raw) == pytest.approx({"f1": 0.4, "cosine": 0.37997836159100784})
-
-
-def test_rule_judge_on_a_partial_answer(spark):
-    df = spark.createDataFrame(
-        [("p", "公司营收增长百分之二十", "公司营收增长")],
-        "prompt string, reference string, model_output string",
-    )
-    assert 0.0 < J.rule_judge(df).first().score < 1.0
+    assert rows["n01"].score == rows["n08"].score == rows["n11"].score == 1.0
+    assert 0.0 < rows["n02"].score < 1.0
+    assert rows["n05"].score == rows["n07"].score == rows["n10"].score == 0.0
+    # One word of five: token F1 is 2 * 1 / (1 + 5).
+    cosine = 1 / math.sqrt(1 + 4 * (math.log(1.5) + 1) ** 2)
+    assert rows["n09"].score == round(0.5 / 3 + 0.5 * cosine, 4) == 0.3343
+    assert rows["n09"].reason == "离线规则裁判：token F1=0.333，余弦相似度=0.335，加权得分=0.334"
+    assert json.loads(rows["n09"].raw) == pytest.approx({"f1": 1 / 3, "cosine": cosine})
 
 
 def test_row_judge(spark, samples):
@@ -32,22 +28,23 @@ def test_row_judge(spark, samples):
 
     judged = J.apply_judge(samples, J.row_judge(judge))
     rows = {r.id: r for r in judged.withColumn("raw", F.to_json("raw")).collect()}
-    assert rows["c1"].score == 1.0 and rows["c2"].score == 0.0
-    assert rows["g3"].reason == "Which capital?"
-    assert rows["c1"].raw == '{"n":2}'
+    assert rows["n11"].score == 1.0 and rows["n01"].score == 0.0
+    assert rows["n05"].reason == "Which metal?"
+    assert rows["n10"].raw == '{"n":2}'
+    assert physical(judged.filter("score > 0.5").select("id", "score")).count("ArrowEvalPython") == 1
     with pytest.raises(ValueError, match="score, reason, raw"):
         J.apply_judge(samples, lambda df: df)
 
 
 def test_requests(samples):
-    row = J.judge_requests(samples, model="m").filter("id = 'g4'").first()
+    row = J.judge_requests(samples, model="m").filter("id = 'n05'").first()
     request = json.loads(row.request)
     assert list(request) == ["model", "messages", "temperature"]
     assert request["model"] == "m" and request["temperature"] == 0
     assert [m["role"] for m in request["messages"]] == ["system", "user"]
     assert request["messages"][0]["content"] == J.SYSTEM_PROMPT
     assert request["messages"][1]["content"] == (
-        "【题目】\nWhich capital?\n\n【参考答案】\nRome\n\n【模型输出】\nMilan\n"
+        "【题目】\nWhich metal?\n\n【参考答案】\ncopper\n\n【模型输出】\ntin and zinc\n"
     )
 
 
@@ -93,11 +90,34 @@ def test_replies(spark):
         assert json.loads(row.raw) == json.loads(response(content))
 
 
+def test_replies_without_a_verdict(spark):
+    table = [
+        ("error", '{"error": {"code": "rate_limit"}}', J.NO_CONTENT),
+        ("none", '{"choices": []}', J.NO_CONTENT),
+        ("html", "<html>502</html>", J.NOT_JSON),
+        ("null", None, J.NOT_JSON),
+        ("list", "[1]", J.NO_CONTENT),
+        ("null content", '{"choices": [{"message": {"content": null}}]}', J.ANSWERED),
+        ("good", response('{"score": 1, "reason": "r"}'), J.ANSWERED),
+    ]
+    df = spark.createDataFrame([r[:2] for r in table], "id string, response string")
+    rows = {r.id: r for r in J.read_replies(df).collect()}
+    assert {k: r.status for k, r in rows.items()} == {k: status for k, _, status in table}
+    for r in rows.values():
+        assert (r.score is None and r.reason is None) == (r.status != J.ANSWERED)
+    assert (rows["null content"].score, rows["null content"].reason) == (0.0, "")
+    good = J.read_replies(df.filter("id = 'good'"), mode="fail")
+    assert good.first().score == 1.0
+    for name in ("error", "html"):
+        with pytest.raises(Exception, match="a judge reply is"):
+            J.read_replies(df.filter(F.col("id") == name), mode="fail").collect()
+
+
 def test_attach_verdicts_keeps_every_sample(spark, samples):
-    df = samples.unionByName(samples.filter("id = 'g1'"))
-    table = [("g1", response('{"score": 0.9, "reason": "r"}')), ("zz", response("{}"))]
+    df = samples.unionByName(samples.filter("id = 'n03'"))
+    table = [("n03", response('{"score": 0.9, "reason": "r"}')), ("zz", response("{}"))]
     verdicts = J.read_replies(spark.createDataFrame(table, "id string, response string"))
     rows = J.attach_verdicts(df, verdicts).collect()
-    assert len(rows) == 9
-    assert [r.score for r in rows if r.id == "g1"] == [0.9, 0.9]
-    assert all(r.score is None for r in rows if r.id != "g1")
+    assert len(rows) == 12
+    assert [r.score for r in rows if r.id == "n03"] == [0.9, 0.9]
+    assert all(r.score is None for r in rows if r.id != "n03")

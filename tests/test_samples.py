@@ -13,7 +13,7 @@ from gradeframe.sources.samples import conform_samples, read_samples, write_samp
 RECORDS = [
     {"id": "a", "prompt": "p", "reference": "好", "model_output": "o", "task_type": " CLS "},
     {"id": 1, "prompt": "p", "task_type": "Classify", "metadata": {"level": "easy", "n": [1]}},
-    {"id": "b", "reference": "r", "task_type": "unknown-type", "metadata": None, "other": 5},
+    {"id": "b", "reference": "r", "task_type": "ranking", "metadata": None, "other": 5},
     {"id": "b", "reference": "r", "task_type": None, "metadata": {}},
     {"id": "c", "task_type": "classification", "metadata": False},
 ]
@@ -37,36 +37,38 @@ def write(path, content):
 
 
 def test_list_and_wrapper(spark, tmp_path):
-    assert rows(read_samples(spark, write(tmp_path / "l.json", RECORDS))) == EXPECTED
+    assert rows(read_samples(spark, write(tmp_path / "l.json", RECORDS), "json")) == EXPECTED
     wrapped = write(tmp_path / "w.json", {"name": "x", "samples": RECORDS})
-    assert rows(read_samples(spark, wrapped)) == EXPECTED
+    assert rows(read_samples(spark, wrapped, "json")) == EXPECTED
 
 
 def test_object_without_samples_holds_none(spark, tmp_path):
-    assert rows(read_samples(spark, write(tmp_path / "o.json", {"items": [1]}))) == []
-    assert rows(read_samples(spark, write(tmp_path / "e.json", []))) == []
+    assert rows(read_samples(spark, write(tmp_path / "o.json", {"items": [1]}), "json")) == []
+    assert rows(read_samples(spark, write(tmp_path / "e.json", []), "json")) == []
 
 
 def test_missing_id_and_broken_json_fail(spark, tmp_path):
     for i, content in enumerate([[{"prompt": "x"}], [{"id": None, "prompt": "x"}]]):
         with pytest.raises(Exception, match="without an id"):
-            read_samples(spark, write(tmp_path / f"{i}.json", content)).collect()
+            read_samples(spark, write(tmp_path / f"{i}.json", content), "json").collect()
     broken = tmp_path / "b.json"
     broken.write_text('[{"id": "a"', encoding="utf-8")
+    with pytest.raises(Exception, match="JSONDecodeError"):
+        read_samples(spark, str(broken), "json").collect()
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
         read_samples(spark, str(broken)).collect()
 
 
 @pytest.mark.parametrize("format", ["ndjson", "parquet"])
 def test_round_trip(spark, tmp_path, format):
-    samples = read_samples(spark, write(tmp_path / "l.json", RECORDS))
+    samples = read_samples(spark, write(tmp_path / "l.json", RECORDS), "json")
     out = str(tmp_path / "out")
     write_samples(samples, out, format)
     assert rows(read_samples(spark, out, format)) == EXPECTED
 
 
 def test_json_lines_keep_text_and_all_fields(spark, tmp_path):
-    samples = read_samples(spark, write(tmp_path / "l.json", RECORDS[:1]))
+    samples = read_samples(spark, write(tmp_path / "l.json", RECORDS[:1]), "json")
     write_samples(samples.coalesce(1), str(tmp_path / "out"))
     (part,) = (tmp_path / "out").glob("part-*")
     line = part.read_text(encoding="utf-8")
@@ -89,17 +91,71 @@ def test_conform_takes_any_table_with_ids(spark):
 
 
 def test_selection(spark, samples):
-    assert [r.id for r in first_n(samples, 4).collect()] == ["c1", "c2", "c3", "c4"]
-    assert find_sample(samples, "g2").first().reference == "你好，世界。"
+    assert [r.id for r in first_n(samples, 3).collect()] == ["n01", "n02", "n03"]
+    assert find_sample(samples, "n05").first().reference == "copper"
     counts = {r.task_type: r.n for r in count_by_task(samples).collect()}
-    assert counts == {"classification": 4, "generation": 4}
+    assert counts == {"classification": 5, "generation": 6}
+
+
+def test_first_n_settles_ties(spark):
+    rows = [("a", f"p{i:02}") for i in range(30)] + [("b", "p")]
+    df = spark.createDataFrame(rows, "id string, prompt string")
+    for parts in (1, 7):
+        first = first_n(df.orderBy(F.desc("prompt")).repartition(parts), 3).collect()
+        assert [r.prompt for r in first] == ["p00", "p01", "p02"]
+    assert [r.id for r in first_n(df, 1, ["prompt", "id"]).collect()] == ["b"]
+
+
+def test_default_round_trip_keeps_every_row(spark, tmp_path):
+    df = spark.range(100).selectExpr("string(id) AS id", "concat('p', id, '\\n\\u2028') AS prompt")
+    samples = conform_samples(df.coalesce(2))
+    write_samples(samples, str(tmp_path / "s"))
+    assert rows(read_samples(spark, str(tmp_path / "s"))) == rows(samples)
+    with pytest.raises(ValueError, match="ndjson"):
+        write_samples(samples, str(tmp_path / "j"), "json")
+
+
+def test_json_documents_are_read_whole_or_not_at_all(spark, tmp_path):
+    lines = tmp_path / "lines.json"
+    lines.write_text('{"id": "a"}\n{"id": "b"}\n', encoding="utf-8")
+    with pytest.raises(Exception, match="Extra data"):
+        read_samples(spark, str(lines), "json").collect()
+    with pytest.raises(Exception, match="without an id"):
+        read_samples(spark, write(tmp_path / "x.json", [{"id": "a"}, {"other": 5}]), "json").collect()
+    extra = write(tmp_path / "y.json", [{"id": "a", "samples": [{"id": "inner"}]}, {"id": "b", "samples": 3}])
+    assert [r.id for r in read_samples(spark, extra, "json").orderBy("id").collect()] == ["a", "b"]
+    assert read_samples(spark, write(tmp_path / "z.json", {"id": "a"}), "json").isEmpty()
+    for i, content in enumerate([[1], "text", {"samples": {"id": "a"}}]):
+        with pytest.raises(Exception, match="list of objects"):
+            read_samples(spark, write(tmp_path / f"w{i}.json", content), "json").collect()
+
+
+def test_lines_may_be_wrappers(spark, tmp_path):
+    lines = [
+        {"samples": RECORDS[:2], "name": "x"},
+        {"samples": []},
+        {"id": "own", "samples": [{"id": "inner"}]},
+        {"id": "three", "samples": 3},
+        *RECORDS[2:],
+    ]
+    path = tmp_path / "w.jsonl"
+    path.write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in lines), encoding="utf-8")
+    got = rows(read_samples(spark, str(path)))
+    assert [r for r in got if r[0] not in ("own", "three")] == EXPECTED
+    assert [r[0] for r in got if r[0] in ("own", "three")] == ["own", "three"]
+    assert physical(read_samples(spark, str(path))).count("FileScan") == 1
+    for i, bad in enumerate([{"samples": [{"prompt": "x"}]}, {"samples": [5]}, {"name": "x"}]):
+        path = tmp_path / f"bad{i}.jsonl"
+        path.write_text(json.dumps(bad), encoding="utf-8")
+        with pytest.raises(Exception, match="without an id"):
+            read_samples(spark, str(path)).collect()
 
 
 def test_id_filter_reaches_the_scan_and_a_missing_id_is_never_overlooked(spark, samples, tmp_path):
     out = str(tmp_path / "s")
     write_samples(conform_samples(samples), out, "parquet")
-    found = find_sample(read_samples(spark, out, "parquet"), "g2")
-    assert "EqualTo(id,g2)" in physical(found)
+    found = find_sample(read_samples(spark, out, "parquet"), "n05")
+    assert "EqualTo(id,n05)" in physical(found)
     assert found.count() == 1
     broken = spark.createDataFrame([("a", "p"), (None, "p")], "id string, prompt string")
     with pytest.raises(Exception, match="without an id"):

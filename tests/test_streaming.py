@@ -11,7 +11,11 @@ def test_stream_scores_each_file_once(spark, samples, tmp_path):
     for part in ("task_type = 'classification'", "task_type = 'generation'"):
         write_samples(full.filter(part), source, mode="append")
         start_scoring(read_sample_stream(spark, source), output, log).awaitTermination()
+    # Everything is there already, so a bounded stream does the same in more batches.
+    again = read_sample_stream(spark, source, max_files=1)
+    start_scoring(again, f"{output}-2", f"{log}-2").awaitTermination()
+    assert spark.read.parquet(f"{output}-2").count() == 11
     streamed = spark.read.parquet(output).drop("details")
     batch = evaluate(full).drop("details")
-    assert streamed.count() == 8
+    assert streamed.count() == 11
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()

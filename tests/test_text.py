@@ -24,7 +24,7 @@ def test_normalize_text(spark):
 
 
 def test_tokenize(spark):
-    texts = ["Hello 世界 123", "", "  ", "naïve_word", "K ß Σας İx", "ｆｕｌｌ かな 한글", "a-b.c"]
+    texts = ["Ünder 12 Bridges 桥下", "", "  ", "naïve_word", "K ß Σας İx", "ｆｕｌｌ かな 한글", "a-b.c"]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     rows = df.select("s", tokenize("s").alias("t")).collect()
     for r in rows:
