@@ -51,15 +51,16 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 def rake(
     cells: DataFrame,
     targets: Mapping[str, DataFrame],
-    tolerance: float = 1e-9,
-    max_sweeps: int = 100,
+    sweeps: int = 10,
+    tolerance: float | None = None,
 ) -> DataFrame:
     """Add ``weight`` to the cells: their tokens, raked until every margin has its share.
 
     ``cells`` are rows (margins..., mass); ``targets`` gives for each margin its rows
     (value, share), a NULL value being a value like others. A sweep scales the cells to one
-    margin after the other, and sweeps go on until no share is off by more than
-    ``tolerance`` (or ``max_sweeps`` are done, if the targets contradict each other).
+    margin after the other; the error falls by a factor each time, which is large where
+    the margins are nearly independent. ``sweeps`` are made, fewer if no share is off by
+    more than a ``tolerance`` (looking after each sweep costs a job).
     Values without a target get weight 0, targets without tokens are left out, and the
     shares of the others are scaled up. Weights add up to 1.
 
@@ -72,7 +73,7 @@ def rake(
         seen = cells.filter("mass > 0").select(F.col(margin).alias("v")).distinct()
         known = shares.join(seen, shares[margin].eqNullSafe(seen["v"]), "left_semi")
         goals[margin] = stored(_shares(known.select(F.col(margin).alias("v"), F.col("share").alias("goal")), "goal"), "goals")
-    for _ in range(max_sweeps):
+    for _ in range(sweeps):
         for margin, goal in goals.items():
             totals = current.groupBy(F.col(margin).alias("v")).agg(F.sum("weight").alias("total"))
             scales = totals.join(goal, totals["v"].eqNullSafe(goal["v"])).select(
@@ -83,13 +84,13 @@ def rake(
                 *cells.columns, scaled.alias("weight")
             )
         current = stored(current, "raked")
-        if _largest_gap(current, goals) <= tolerance:
+        if tolerance is not None and _largest_gap(current, goals) <= tolerance:
             break
     return current
 
 
 def _largest_gap(cells: DataFrame, goals: Mapping[str, DataFrame]) -> float:
-    """How far the share of any value is from its goal."""
+    """How far the share of any value is from its goal; all goals sum to 1."""
     gaps = []
     for margin, goal in goals.items():
         totals = cells.groupBy(F.col(margin).alias("v")).agg(F.sum("weight").alias("total"))
@@ -106,6 +107,7 @@ def mix(
     text: str = "text",
     tokens: str = "n_tokens",
     exponent: float = 0.85,
+    sweeps: int = 10,
 ) -> DataFrame:
     """Add ``weight``, ``probability`` and ``sampled`` to documents with margins and tokens.
 
@@ -122,7 +124,7 @@ def mix(
     cells = stored(cells, "cells")
     if targets is None:
         targets = {m: tempered_targets(cells, m, exponent) for m in margins}
-    raked = rake(cells, targets)
+    raked = rake(cells, targets, sweeps)
     share = F.try_divide("weight", "mass")
     sums = raked.agg(F.sum("mass").alias("all"), F.max(share).alias("top")).first()
     rates = raked.select(
