@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from math import comb
 
 import pytest
@@ -15,7 +16,8 @@ def slow(text):
     """The counts, straight from their definitions."""
     words = [w.encode() for w in (text or "").translate(str.maketrans("\t\n\x0b\x0c\r", " " * 5)).split(" ") if w]
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    seen = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(3)}
     lines = [line for line in (text or "").split("\n") if line.strip(" \t\n\x0b\x0c\r")]
     return (
         len(words),
