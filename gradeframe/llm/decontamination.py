@@ -13,19 +13,26 @@ from pyspark.sql import functions as F
 from .store import column, pairs, small, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A word is a run of ASCII digits, lower-case ASCII letters and anything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# The same for a text whose A-Z are not lowered yet.
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# A word is a run of ASCII letters and digits and anything beyond ASCII.
+WORD = r"[a-z0-9A-Z\x{80}-\x{10FFFF}]++"
 
 DOC = ["key", "print"]
 
 
 def words(text: Column) -> Column:
-    """ARRAY<STRING>: the words of a text with A-Z lowered, and no other letter changed."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    """ARRAY<STRING>: the words of a text as they are written."""
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def lowered(written: Column) -> Column:
+    """Words with A-Z lowered and no other letter changed, which is what counts as equal."""
+    return F.transform(written, lambda w: F.translate(w, _UPPER, _LOWER))
+
+
+def term(word: Column) -> Column:
+    """What a word is indexed by: lowered by Unicode's rules, which is cheaper on whole
+    texts. Equal words have equal terms; what has equal terms is checked for equal words."""
+    return F.lower(word)
 
 
 def _whole(df: DataFrame, text: str) -> Column:
@@ -52,7 +59,7 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
     Equal windows are searched once, whichever items they come from. Items without words
     (NULL, empty) have no window.
     """
-    listed = pairs(benchmark, item, text).select("key", words(F.col("text")).alias("w")).filter(F.size("w") > 0)
+    listed = pairs(benchmark, item, text).select("key", lowered(words(F.col("text"))).alias("w")).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - F.lit(length - 1), F.lit(1)))
     runs = listed.select("key", F.explode(F.transform(starts, lambda i: F.slice("w", i, length))).alias("words"))
     runs = stored(runs.withColumn("phrase", F.array_join("words", " ")).distinct(), "item-windows")
@@ -69,10 +76,12 @@ def rarest_terms(documents: DataFrame, phrases: Phrases, lists: int = 2) -> Data
     A window with a term that no text has cannot occur and is left out; one of a single
     word has it twice.
     """
-    terms = small(phrases.windows.select(F.explode("words").alias("term")).distinct(), "terms")
-    said = documents.select(F.explode(words(F.col("text"))).alias("term")).join(terms, "term", "left_semi")
+    listed = phrases.windows.select("window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "word"))
+    places = listed.select("window", "length", "offset", term(F.col("word")).alias("term"))
+    terms = small(places.select("term").distinct(), "terms")
+    written = documents.select(F.explode(words(F.col("text"))).alias("word"))
+    said = written.select(term(F.col("word")).alias("term")).join(terms, "term", "left_semi")
     counts = stored(said.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
-    places = phrases.windows.select("window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "term"))
     ranked = (
         places.join(counts, "term")
         .groupBy("window", "length")
@@ -91,13 +100,14 @@ def build_index(documents: DataFrame, rarest: DataFrame, length: int) -> DataFra
     match is checked against without going back to the text.
     """
     terms = rarest.groupBy("term").agg((F.min("rank") == 0).alias("leads"))
-    said = documents.select(*DOC, words(F.col("text")).alias("w")).select(*DOC, "w", F.posexplode("w").alias("position", "term"))
+    said = documents.select(*DOC, words(F.col("text")).alias("w")).select(*DOC, "w", F.posexplode("w").alias("position", "word"))
     left = F.greatest(F.col("position") - F.lit(length - 1), F.lit(0))
     around = F.slice("w", left + 1, 2 * length - 1)
-    postings = said.select("term", *DOC, "position", left.alias("left"), around.alias("around"))
+    postings = said.select(term(F.col("word")).alias("term"), *DOC, "position", left.alias("left"), around.alias("around"))
     found = postings.join(small(terms, "index-terms"), "term")
     return stored(
-        found.select("term", *DOC, "position", "left", F.when(F.col("leads"), F.col("around")).alias("around")), "postings"
+        found.select("term", *DOC, "position", "left", F.when(F.col("leads"), lowered(F.col("around"))).alias("around")),
+        "postings",
     )
 
 
@@ -198,7 +208,7 @@ def contamination(
     owned = found.select("window", *DOC).distinct().join(small(phrases.owners, "owned"), "window")
     items = owned.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
 
-    counted = docs.select(*DOC, F.regexp_count("text", F.lit(ANY_WORD)).cast("bigint").alias("n_words"))
+    counted = docs.select(*DOC, F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("n_words"))
     none = F.array().cast("array<string>")
 
     return _joined(_joined(counted, hits, "left"), items, "left").select(
