@@ -51,7 +51,7 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 def rake(
     cells: DataFrame,
     targets: Mapping[str, DataFrame],
-    sweeps: int = 10,
+    sweeps: int = 8,
     tolerance: float | None = None,
 ) -> DataFrame:
     """Add ``weight`` to the cells: their tokens, raked until every margin has its share.
@@ -60,32 +60,45 @@ def rake(
     (value, share), a NULL value being a value like others. A sweep scales the cells to one
     margin after the other; the error falls by a factor each time, which is large where
     the margins are nearly independent. ``sweeps`` are made, fewer if no share is off by
-    more than a ``tolerance`` (looking after each sweep costs a job).
-    Values without a target get weight 0, targets without tokens are left out, and the
-    shares of the others are scaled up. Weights add up to 1.
-
-    Every step is a partial aggregate per value and a join with those totals. A sweep is
-    written to the shared folder.
+    more than a ``tolerance`` (looking after each sweep costs a job). Values without a
+    target get weight 0, targets without tokens are left out, and the shares of the others
+    are scaled up. Weights add up to 1.
+
+    A weight is the mass of a cell times one factor for each of its values. What an
+    iteration changes are the factors of one margin: the cells meet the other margins'
+    factors, are summed by value (partly before the shuffle), and goal over sum is written
+    to the shared folder. So a step reads the cells once, however many there have been.
     """
-    current = cells.withColumn("weight", F.col("mass").cast("double"))
+    cells = stored(cells, "cells")
+    factors = {}
     goals = {}
     for margin, shares in targets.items():
         seen = cells.filter("mass > 0").select(F.col(margin).alias("v")).distinct()
         known = shares.join(seen, shares[margin].eqNullSafe(seen["v"]), "left_semi")
         goals[margin] = stored(_shares(known.select(F.col(margin).alias("v"), F.col("share").alias("goal")), "goal"), "goals")
+        factors[margin] = goals[margin].select("v", F.lit(1.0).alias("factor"))
     for _ in range(sweeps):
         for margin, goal in goals.items():
-            totals = current.groupBy(F.col(margin).alias("v")).agg(F.sum("weight").alias("total"))
-            scales = totals.join(goal, totals["v"].eqNullSafe(goal["v"])).select(
-                totals["v"], F.try_divide("goal", "total").alias("scale")
-            )
-            scaled = F.col("weight") * F.coalesce("scale", F.lit(0.0))
-            current = current.join(scales, current[margin].eqNullSafe(scales["v"]), "left").select(
-                *cells.columns, scaled.alias("weight")
+            others = {m: f for m, f in factors.items() if m != margin}
+            totals = _weighted(cells, others).groupBy(F.col(margin).alias("t")).agg(F.sum("weight").alias("total"))
+            scaled = goal.join(totals, goal["v"].eqNullSafe(totals["t"]), "left")
+            factors[margin] = stored(
+                scaled.select("v", F.coalesce(F.try_divide("goal", "total"), F.lit(0.0)).alias("factor")), "factors"
             )
-        current = stored(current, "raked")
-        if tolerance is not None and _largest_gap(current, goals) <= tolerance:
+        if tolerance is not None and _largest_gap(_weighted(cells, factors), goals) <= tolerance:
             break
+    return _weighted(cells, factors)
+
+
+def _weighted(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
+    """Cells with ``weight``, their mass times the factors of their values (0 where there is none)."""
+    current = cells.withColumn("weight", F.col("mass").cast("double"))
+    for margin, factor in factors.items():
+        named = factor.select(F.col("v").alias("__v"), F.col("factor").alias("__factor"))
+        scaled = F.col("weight") * F.coalesce("__factor", F.lit(0.0))
+        current = current.join(named, F.col(margin).eqNullSafe(F.col("__v")), "left").select(
+            *cells.columns, scaled.alias("weight")
+        )
     return current
 
 
@@ -93,8 +106,8 @@ def _largest_gap(cells: DataFrame, goals: Mapping[str, DataFrame]) -> float:
     """How far the share of any value is from its goal; all goals sum to 1."""
     gaps = []
     for margin, goal in goals.items():
-        totals = cells.groupBy(F.col(margin).alias("v")).agg(F.sum("weight").alias("total"))
-        met = totals.join(goal, totals["v"].eqNullSafe(goal["v"]))
+        totals = cells.groupBy(F.col(margin).alias("t")).agg(F.sum("weight").alias("total"))
+        met = totals.join(goal, totals["t"].eqNullSafe(goal["v"]))
         gaps.append(met.agg(F.max(F.abs(F.col("total") - F.col("goal"))).alias("gap")))
     return reduce(DataFrame.unionByName, gaps).agg(F.max("gap").alias("gap")).first().gap or 0.0
 
@@ -107,7 +120,7 @@ def mix(
     text: str = "text",
     tokens: str = "n_tokens",
     exponent: float = 0.85,
-    sweeps: int = 10,
+    sweeps: int = 8,
 ) -> DataFrame:
     """Add ``weight``, ``probability`` and ``sampled`` to documents with margins and tokens.
 
@@ -124,7 +137,7 @@ def mix(
     cells = stored(cells, "cells")
     if targets is None:
         targets = {m: tempered_targets(cells, m, exponent) for m in margins}
-    raked = rake(cells, targets, sweeps)
+    raked = stored(rake(cells, targets, sweeps), "raked")
     share = F.try_divide("weight", "mass")
     sums = raked.agg(F.sum("mass").alias("all"), F.max(share).alias("top")).first()
     rates = raked.select(

@@ -36,13 +36,12 @@ def test_rake_against_plain_python(spark):
     targets = [{"x": 0.5, "y": 0.3, "z": 0.2, "unseen": 0.4}, {"p": 1.0, "q": 2.0, None: 3.0}, {"u": 0.5, "v": 0.5}]
     df = frame(spark, [(*k, m) for k, m in cells.items()], "a string, b string, c string, mass bigint")
     frames = {n: frame(spark, list(t.items()), f"{n} string, share double") for n, t in zip("abc", targets)}
-    got = {(r.a, r.b, r.c): r.weight for r in mixing.rake(df, frames, sweeps=200, tolerance=1e-10).collect()}
-    expected = slow_rake(cells, targets)
-    assert set(got) == set(cells)
-    assert all(got[k] == pytest.approx(expected[k], abs=1e-7) for k in cells)
+    got = {(r.a, r.b, r.c): r.weight for r in mixing.rake(df, frames, sweeps=3).collect()}
+    assert got == pytest.approx(slow_rake(cells, targets, 3))
     assert sum(got.values()) == pytest.approx(1)
-    few = {(r.a, r.b, r.c): r.weight for r in mixing.rake(df, frames, sweeps=2).collect()}
-    assert few == pytest.approx(slow_rake(cells, targets, 2))
+    near = mixing.rake(df, frames, sweeps=30, tolerance=0.01).collect()
+    full = slow_rake(cells, targets)
+    assert all(r.weight == pytest.approx(full[(r.a, r.b, r.c)], abs=0.02) for r in near)
 
 
 def test_values_without_a_target_and_contradictions(spark):
@@ -54,7 +53,7 @@ def test_values_without_a_target_and_contradictions(spark):
         "a": frame(spark, [("x", 0.9), ("y", 0.1)], "a string, share double"),
         "b": frame(spark, [("p", 0.1), ("q", 0.9)], "b string, share double"),
     }
-    assert mixing.rake(df.filter("a != 'z'"), clash, sweeps=3).count() == 2
+    assert mixing.rake(df.filter("a != 'z'"), clash, sweeps=2).count() == 2
 
 
 def docs(spark):
@@ -110,7 +109,7 @@ def test_registered_query(spark):
     for k, m in cells.items():
         for axis in range(3):
             sums[axis][k[axis]] = sums[axis].get(k[axis], 0) + m
-    weights = slow_rake(cells, [{v: m**0.85 for v, m in s.items()} for s in sums], 10)
+    weights = slow_rake(cells, [{v: m**0.85 for v, m in s.items()} for s in sums], 8)
     top = max(weights[k] / m for k, m in cells.items() if m)
     total = sum(cells.values())
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
