@@ -122,11 +122,10 @@ def train(
     from unlabelled rows, which is what the prior is estimated with.
     """
     rng = np.random.default_rng(seed)
-    both = np.concatenate([positive, unlabelled])
-    d = both.shape[1]
+    d = unlabelled.shape[1]
     net = Network(
-        both.mean(0),
-        both.std(0) + 1e-3,
+        unlabelled.mean(0),
+        unlabelled.std(0) + 1e-3,
         rng.normal(0, d**-0.5, (d, hidden)).astype(np.float32),
         np.zeros(hidden, np.float32),
         rng.normal(0, hidden**-0.5, hidden).astype(np.float32),
@@ -189,8 +188,8 @@ def fit(
     text: str = "text",
     label: str = "quality",
     held_out: int = 2,
-    max_positive: int = 10_000,
-    max_unlabelled: int = 20_000,
+    max_positive: int = 6_000,
+    max_unlabelled: int = 12_000,
 ) -> Network | None:
     """Learn from a bounded sample of trusted positives and of unlabelled documents.
 
@@ -214,8 +213,8 @@ def fit(
             return [pa.array([features(t).tobytes() for t in texts], pa.binary())]
 
         vectors = map_texts(rows, run, "vector binary").orderBy(*order, "vector").limit(bound)
-        found = [r.vector for r in vectors.select("vector").collect()]
-        return np.frombuffer(b"".join(found), np.float32).reshape(-1, N_FEATURES)
+        found = b"".join(r.vector for r in vectors.select("vector").toLocalIterator())
+        return np.frombuffer(found, np.float32).reshape(-1, N_FEATURES)
 
     positive = sample(trusted.join(keys.distinct(), "key", "left_semi"), max_positive)
     unlabelled = sample(keys, max_unlabelled)
