@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -9,10 +10,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from .store import Batches, column, map_texts, pairs, ship_by_value
+from .store import Batches, column, map_texts, pairs, ship_by_value, stored
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,7 +21,8 @@ _WORD = r"[^\x20\x09-\x0D]+"
 @dataclass(frozen=True)
 class Shape:
     """Sizes of the network. Tokens are ``classes * per_class`` words by frequency, the last
-    ``unknown`` of them shared by all rarer words, which a hash deals out."""
+    ``unknown`` of them shared by all rarer words, which a hash deals out; ``Tail`` tells
+    the words of such a bucket apart."""
 
     classes: int = 32
     per_class: int = 64
@@ -32,6 +34,14 @@ class Shape:
     def tokens(self) -> int:
         return self.classes * self.per_class
 
+    @classmethod
+    def of(cls, distinct: int) -> Shape:
+        """The shape for so many distinct words: 3 times their sixth root in classes (32 at
+        least), twice as many tokens in each, an eighth of all for rare words. So tokens
+        grow with the cube root, the outputs a token costs with the sixth root."""
+        classes = max(32, math.ceil(3 * distinct ** (1 / 6)))
+        return cls(classes, 2 * classes, classes * classes // 4)
+
 
 @dataclass
 class Network:
@@ -146,42 +156,95 @@ class Network:
         return total
 
 
+@dataclass
+class Tail:
+    """How the probability of a bucket is shared out among the rare words in it: a word of
+    ``n`` occurrences has ``n / (mass + 1)`` of it, ``mass`` being those of all words of the
+    bucket; a word that was not counted has the remaining one. ``words`` are the rows
+    (word, n) of rare words that occur more than once, a Spark table of any size."""
+
+    words: DataFrame
+    masses: np.ndarray
+
+
+# A-Z is lowered and no other letter changed, as in the tokens, which are made of bytes.
+_CASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(F.col(text), F.lit(_WORD), F.lit(0))
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """Rows (word, n) of all documents; words are counted before they are shuffled."""
+    lowered = F.translate("word", *_CASES)
+    return documents.select(F.explode(_words("text")).alias("word")).groupBy(lowered.alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def vocabulary(documents: DataFrame, shape: Shape) -> tuple[list[bytes], np.ndarray]:
     """The words of all documents that get a token of their own, and the counts of all tokens.
 
-    The most frequent words do, ties by the word. Words are counted before they are
-    shuffled; only those with a token come to the driver, with one sum for the rest.
+    The most frequent words do, ties by the word. Only they come to the driver, with one
+    sum for the rest.
     """
-    known = shape.tokens - shape.unknown
-    words = F.regexp_extract_all(F.col("text"), F.lit(_WORD), F.lit(0))
-    # The tokens are made of bytes with A-Z lowered and no other letter changed.
-    lowered = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    counts = documents.select(F.explode(words).alias("word")).groupBy(lowered.alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    counts = word_counts(documents)
     seen = Observation()
-    top = counts.observe(seen, F.sum("n").alias("total")).orderBy(F.desc("n"), "word").limit(known).collect()
+    top = _most_frequent(counts.observe(seen, F.sum("n").alias("total")), shape)
+    return _tokens(top, seen.get["total"] or 0, shape)
+
+
+def _most_frequent(counts: DataFrame, shape: Shape) -> list[Row]:
+    return counts.orderBy(F.desc("n"), "word").limit(shape.tokens - shape.unknown).collect()
+
+
+def _tokens(top: list[Row], total: int, shape: Shape) -> tuple[list[bytes], np.ndarray]:
     own = [r.n for r in top]
-    rest = max(0, (seen.get["total"] or 0) - sum(own)) / shape.unknown
-    spare = [0.0] * (known - len(own))
+    rest = max(0, total - sum(own)) / shape.unknown
+    spare = [0.0] * (shape.tokens - shape.unknown - len(own))
     return [r.word.encode() for r in top], np.array([*own, *spare, *[rest] * shape.unknown], np.float64)
 
 
-def fit(documents: DataFrame, text: str = "text", shape: Shape = Shape(), rounds: int = 1) -> Network | None:
-    """Learn from every token of all documents; None if they have no word.
-
-    In a round every task starts from the same network, makes one pass over its documents
-    and hands in its weights, which are averaged by the number of tokens behind them
-    (parameter mixing, McDonald et al. 2010). What is gathered grows with the number of
-    tasks; it is summed up as it streams in, block by block, first within one of 16 shares
-    of the tasks, so that no task holds more than one network. The driver gets one.
+def _tail(counts: DataFrame, top: list[Row], shape: Shape) -> Tail:
+    """The rare words, which all come after the last of ``top``; the driver gets one number per bucket."""
+    last = top[-1]
+    rare = counts.filter((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("word") > last.word)))
+    bucket = (F.crc32(F.col("word").cast("binary")) % shape.unknown).cast("int").alias("bucket")
+    masses = np.zeros(shape.unknown)
+    for r in rare.groupBy(bucket).agg(F.sum("n").alias("mass")).collect():
+        masses[r.bucket] = r.mass
+    return Tail(rare.filter("n > 1"), masses)
+
+
+def learn(
+    documents: DataFrame, text: str = "text", shape: Shape | None = None, rounds: int = 2
+) -> tuple[Network, Tail] | None:
+    """Learn a network and its tail from every token of all documents; None if they have no word.
+
+    The network has the shape that ``Shape.of`` gives for the distinct words, unless one is
+    given. In a round every task starts from the same network, makes one pass over its
+    documents and hands in its weights, which are averaged by the number of tokens behind
+    them (parameter mixing, McDonald et al. 2010); the next round starts from the average.
+    What is gathered grows with the number of tasks and with the network; it is summed up
+    as it streams in, block by block, first within one of 16 shares of the tasks, so that
+    no task holds more than one network. The driver gets one.
     """
     source = documents.select(F.coalesce(column(documents, text).cast("string"), F.lit("")).alias("text"))
-    words, counts = vocabulary(source, shape)
-    if not words:
+    counts = stored(word_counts(source), "words")
+    seen = counts.agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("total")).first()
+    if not seen.distinct:
         return None
-    network = Network.start(shape, words, counts)
+    shape = shape or Shape.of(seen.distinct)
+    top = _most_frequent(counts, shape)
+    network = Network.start(shape, *_tokens(top, seen.total, shape))
     for _ in range(rounds):
         network.weights = _average(source, network)
-    return network
+    return network, _tail(counts, top, shape)
+
+
+def fit(documents: DataFrame, text: str = "text", shape: Shape | None = None, rounds: int = 2) -> Network | None:
+    """The network alone, for which the words of a bucket are one."""
+    learned = learn(documents, text, shape, rounds)
+    return learned and learned[0]
 
 
 _SHARES = 16
@@ -237,8 +300,14 @@ def _batch(sums: dict[int, tuple[int, np.ndarray]], share: int) -> pa.RecordBatc
     )
 
 
-def pseudo_log_likelihood(texts: list[str], network: Network, batch: int = 32_768) -> tuple[np.ndarray, np.ndarray]:
-    """The number of tokens of each text, and the sum of their log-probabilities."""
+def pseudo_log_likelihood(
+    texts: list[str], network: Network, batch: int = 32_768, masses: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The number of tokens of each text, and the sum of their log-probabilities.
+
+    With the ``masses`` of a tail, a rare word has the share of its bucket that a word of
+    one occurrence has, otherwise all of it.
+    """
     streams = [network.encode(t) for t in texts]
     stream = np.concatenate(streams)
     owner = np.repeat(np.arange(len(texts)), [len(s) for s in streams])
@@ -247,25 +316,64 @@ def pseudo_log_likelihood(texts: list[str], network: Network, batch: int = 32_76
     for first in range(0, len(places), batch):
         at = places[first : first + batch]
         sums += np.bincount(owner[at], network.log_probabilities(stream, at).astype(np.float64), len(texts))
+    if masses is not None:
+        low = network.shape.tokens - network.shape.unknown
+        rare = places[stream[places] >= low]
+        sums -= np.bincount(owner[rare], np.log1p(masses)[stream[rare] - low], len(texts))
     return np.bincount(owner[places], minlength=len(texts)), sums
 
 
-def scored(documents: DataFrame, key: str = "doc_id", text: str = "text", network: Network | None = None) -> DataFrame:
+def _occurrences(rows: DataFrame, network: Network, tail: Tail) -> DataFrame:
+    """Rows (__id, __check, extra): the log of the count of each rare word of a row, summed up.
+
+    Words with a token are taken out first, by a broadcast of the network's size. No other
+    word has more occurrences than the least frequent of them, so the join is even.
+    """
+    known = rows.sparkSession.createDataFrame([(w.decode(),) for w in network.words], "word string")
+    words = rows.select(*_ID, F.explode(_words("text")).alias("word")).withColumn("word", F.translate("word", *_CASES))
+    rare = words.join(F.broadcast(known), "word", "left_anti")
+    return rare.join(tail.words, "word").groupBy(*_ID).agg(F.sum(F.ln("n")).alias("extra"))
+
+
+_ID = ["__id", "__check"]
+
+
+def scored(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    network: Network | None = None,
+    tail: Tail | None = None,
+) -> DataFrame:
     """Rows (key, n_tokens, log_prob, mean_log_prob), one for each document.
 
-    The network is learned from the same documents unless one is given. Repeated rows and
+    Network and tail are learned from the same documents unless a network is given; without
+    a tail, a rare word then has the probability of its whole bucket. Repeated rows and
     NULL keys are kept; a text without words (NULL, empty) has 0 tokens, log_prob 0 and
-    mean NULL.
+    mean NULL. Texts stay where they are read; rare words are shuffled, to meet their counts.
     """
-    network = network or fit(documents, text)
+    if network is None:
+        network, tail = learn(documents, text) or (None, None)
+    masses = None if tail is None else tail.masses
 
     def run(texts: list[str]) -> list[pa.Array]:
         if network is None or not texts:
             return [pa.array([0] * len(texts), pa.int64()), pa.array([0.0] * len(texts), pa.float64())]
-        n, sums = pseudo_log_likelihood(texts, network)
+        n, sums = pseudo_log_likelihood(texts, network, masses=masses)
         return [pa.array(n, pa.int64()), pa.array(sums, pa.float64())]
 
-    found = map_texts(pairs(documents, key, text), run, "n_tokens bigint, log_prob double")
+    rows = pairs(documents, key, text)
+    if tail is not None:
+        # 96 bits that tell rows apart; rows that share them are equal and have equal scores.
+        same = "key", "text", F.col("key").isNull()
+        rows = rows.select(F.xxhash64(*same).alias("__id"), F.hash(*same).alias("__check"), "key", "text")
+    found = map_texts(rows, run, "n_tokens bigint, log_prob double")
+    if tail is not None:
+        found = stored(found, "scores")
+        copies = found.groupBy(*_ID).agg(F.count(F.lit(1)).alias("copies"))
+        extra = _occurrences(rows, network, tail).join(copies, _ID).select(*_ID, (F.col("extra") / F.col("copies")).alias("extra"))
+        total = F.col("log_prob") + F.coalesce("extra", F.lit(0.0))
+        found = found.join(extra, _ID, "left").withColumn("log_prob", total)
     mean = F.try_divide("log_prob", "n_tokens").alias("mean_log_prob")
     return found.select(F.col("key").alias(key), "n_tokens", "log_prob", mean)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -112,6 +113,38 @@ def test_averaging_weighs_by_tokens(spark):
         np.testing.assert_allclose(got, (a * tokens[0] + b * tokens[1]) / sum(tokens), rtol=1e-4, atol=1e-6)
 
 
+def test_rare_words_share_their_bucket(spark):
+    """Each word's share of its bucket, counted in plain Python; a rarer word scores lower."""
+    texts = ["a a a b b b tide TIDE tide tide", "tide salt rope rope", "salt x y z é", "never " * 3 + "once"]
+    df = documents(spark, [*texts, texts[0]], first=0)
+    df = df.unionByName(df.filter("doc_id = 1"))
+    shape = P.Shape(classes=1, per_class=4, unknown=2)
+    net, tail = P.learn(df, shape=shape)
+    seen = [r.text for r in df.collect()]
+    counts = Counter(w for t in seen for w in t.encode().lower().split())
+    rare = {w: n for w, n in counts.items() if w not in net.words}
+    assert len(net.words) == 2 and len(rare) == len(counts) - 2
+    masses = Counter()
+    for w, n in rare.items():
+        masses[zlib.crc32(w) % 2] += n
+    for r in P.scored(df, network=net, tail=tail).collect():
+        words = texts[r.doc_id % 4].encode().lower().split()
+        _, whole = P.pseudo_log_likelihood([texts[r.doc_id % 4]], net)
+        share = sum(np.log(rare[w] / (masses[zlib.crc32(w) % 2] + 1)) for w in words if w in rare)
+        assert r.n_tokens == len(words) and r.log_prob == pytest.approx(whole[0] + share, abs=1e-4)
+    other = documents(spark, ["unheard of"])
+    (got,) = P.scored(other, network=net, tail=tail).collect()
+    _, whole = P.pseudo_log_likelihood(["unheard of"], net)
+    share = -sum(np.log(masses[zlib.crc32(w) % 2] + 1) for w in (b"unheard", b"of"))
+    assert got.log_prob == pytest.approx(whole[0] + share, abs=1e-4)
+
+
+def test_shape_follows_the_distinct_words():
+    shapes = [P.Shape.of(n) for n in (1, 10**5, 10**7, 10**9)]
+    assert [s.classes for s in shapes] == [32, 32, 45, 95]
+    assert all(s.tokens == 2 * s.classes**2 and s.unknown == s.tokens // 8 for s in shapes)
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     df = documents(spark, [*ODD, "again", "again"]).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "1 AS n_tokens", "2 AS key")
     rows = P.scored(df).collect()
