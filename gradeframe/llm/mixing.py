@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Callable, Mapping
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,13 @@ from .store import column, small, stored
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+# Raking ends when every share is this close to its goal, in parts of the goal.
+TOLERANCE = 1e-9
+MOST_SWEEPS = 20_000
+_SWEEPS_A_LOOK = 4
+# Factors for up to so many cells are worked out on the driver.
+CELLS_ON_DRIVER = 200_000
+
 
 def token_count(text: Column) -> Column:
     """Words between ASCII white space; a NULL text has none."""
@@ -51,43 +60,123 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 def rake(
     cells: DataFrame,
     targets: Mapping[str, DataFrame],
-    sweeps: int = 8,
+    sweeps: int | None = None,
     tolerance: float | None = None,
+    on_driver: int = CELLS_ON_DRIVER,
 ) -> DataFrame:
     """Add ``weight`` to the cells: their tokens, raked until every margin has its share.
 
     ``cells`` are rows (margins..., mass); ``targets`` gives for each margin its rows
     (value, share), a NULL value being a value like others. A sweep scales the cells to one
     margin after the other; the error falls by a factor each time, which is large where
-    the margins are nearly independent. ``sweeps`` are made, fewer if no share is off by
-    more than a ``tolerance`` (looking after each sweep costs a job). Values without a
+    the margins are nearly independent and close to 1 where each source is mostly of one
+    language. Sweeps are made until no share is off by more than ``tolerance`` of its goal;
+    if that does not come about in ``MOST_SWEEPS``, or the error no longer falls, as
+    where the targets contradict each other, a warning tells by how much. With ``sweeps`` as many
+    are made, fewer only if a ``tolerance`` is given too. Values without a
     target get weight 0, targets without tokens are left out, and the shares of the others
     are scaled up. Weights add up to 1.
 
     A weight is the mass of a cell times one factor for each of its values. What an
-    iteration changes are the factors of one margin: the cells meet the other margins'
+    iteration changes are the factors of one margin. Of up to ``on_driver`` cells (counted)
+    the driver works the factors out. Of more, the cells meet the other margins'
     factors, are summed by value (partly before the shuffle), and goal over sum is written
-    to the shared folder. So a step reads the cells once, however many there have been.
+    to the shared folder; a step reads the cells once, however many there have been.
     """
     cells = stored(cells, "cells")
-    factors = {}
     goals = {}
     for margin, shares in targets.items():
         seen = cells.filter("mass > 0").select(F.col(margin).alias("v")).distinct()
         known = shares.join(seen, shares[margin].eqNullSafe(seen["v"]), "left_semi")
-        goals[margin] = stored(_shares(known.select(F.col(margin).alias("v"), F.col("share").alias("goal")), "goal"), "goals")
-        factors[margin] = goals[margin].select("v", F.lit(1.0).alias("factor"))
-    for _ in range(sweeps):
-        for margin, goal in goals.items():
-            others = {m: f for m, f in factors.items() if m != margin}
-            totals = _weighted(cells, others).groupBy(F.col(margin).alias("t")).agg(F.sum("weight").alias("total"))
+        value = F.col(margin).cast(cells.schema[margin].dataType)
+        goals[margin] = stored(_shares(known.select(value.alias("v"), F.col("share").alias("goal")), "goal"), "goals")
+    steps = _DriverSteps if cells.count() <= on_driver else _TableSteps
+    raking = steps(cells, goals)
+    most = MOST_SWEEPS if sweeps is None else sweeps
+    bound = TOLERANCE if sweeps is None and tolerance is None else tolerance
+    _sweep(raking.sweep, raking.gap, most, bound)
+    return _weighted(cells, raking.factors())
+
+
+def _sweep(sweep: Callable[[], None], gap: Callable[[], float], most: int, tolerance: float | None) -> None:
+    """Make sweeps until the gap is within the tolerance; warn if it is not in the end."""
+    before = np.inf
+    for n in range(1, most + 1):
+        sweep()
+        if tolerance is None or (n % _SWEEPS_A_LOOK and n < most):
+            continue
+        now = gap()
+        if now <= tolerance:
+            return
+        if n == most or now > before * (1 - 1e-7):
+            warnings.warn(f"after {n} sweeps a share is still off by {now:.3g} of its goal", stacklevel=3)
+            return
+        before = now
+
+
+class _DriverSteps:
+    """Sweeps over cells in arrays."""
+
+    def __init__(self, cells: DataFrame, goals: Mapping[str, DataFrame]) -> None:
+        rows = cells.select(*[F.col(m) for m in goals], F.col("mass").cast("double").alias("mass")).collect()
+        self.session = cells.sparkSession
+        self.mass = np.array([r[-1] or 0.0 for r in rows], np.float64)
+        self.schemas = [goal.select("v").schema.add("factor", "double") for goal in goals.values()]
+        self.margins = list(goals)
+        self.values, self.goals, self.codes, self.scales = [], [], [], []
+        for i, goal in enumerate(goals.values()):
+            found = goal.collect()
+            places = {repr(r.v): j for j, r in enumerate(found)}
+            # The last place is for values without a target.
+            self.codes.append(np.array([places.get(repr(r[i]), len(found)) for r in rows], np.int64))
+            self.values.append([r.v for r in found])
+            self.goals.append(np.array([*(r.goal for r in found), 0.0], np.float64))
+            self.scales.append(np.array([1.0] * len(found) + [0.0]))
+
+    def _totals(self, axis: int, but: int | None = None) -> np.ndarray:
+        weights = self.mass.copy()
+        for i, (code, scale) in enumerate(zip(self.codes, self.scales)):
+            if i != but:
+                weights *= scale[code]
+        return np.bincount(self.codes[axis], weights, len(self.goals[axis]))
+
+    def sweep(self) -> None:
+        for axis, goal in enumerate(self.goals):
+            totals = self._totals(axis, axis)
+            self.scales[axis] = np.divide(goal, totals, out=np.zeros_like(goal), where=totals > 0)
+
+    def gap(self) -> float:
+        gaps = [np.abs(self._totals(i)[g > 0] / g[g > 0] - 1) for i, g in enumerate(self.goals)]
+        return max((float(g.max()) for g in gaps if len(g)), default=0.0)
+
+    def factors(self) -> dict[str, DataFrame]:
+        return {
+            m: self.session.createDataFrame([(v, float(f)) for v, f in zip(values, scale)], schema)
+            for m, values, scale, schema in zip(self.margins, self.values, self.scales, self.schemas)
+        }
+
+
+class _TableSteps:
+    """Sweeps over cells in a stored table."""
+
+    def __init__(self, cells: DataFrame, goals: Mapping[str, DataFrame]) -> None:
+        self.cells, self.goals = cells, goals
+        self.current = {m: goal.select("v", F.lit(1.0).alias("factor")) for m, goal in goals.items()}
+
+    def sweep(self) -> None:
+        for margin, goal in self.goals.items():
+            others = {m: f for m, f in self.current.items() if m != margin}
+            totals = _weighted(self.cells, others).groupBy(F.col(margin).alias("t")).agg(F.sum("weight").alias("total"))
             scaled = goal.join(totals, goal["v"].eqNullSafe(totals["t"]), "left")
-            factors[margin] = stored(
+            self.current[margin] = stored(
                 scaled.select("v", F.coalesce(F.try_divide("goal", "total"), F.lit(0.0)).alias("factor")), "factors"
             )
-        if tolerance is not None and _largest_gap(_weighted(cells, factors), goals) <= tolerance:
-            break
-    return _weighted(cells, factors)
+
+    def gap(self) -> float:
+        return _largest_gap(_weighted(self.cells, self.current), self.goals)
+
+    def factors(self) -> dict[str, DataFrame]:
+        return self.current
 
 
 def _weighted(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
@@ -103,12 +192,13 @@ def _weighted(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _largest_gap(cells: DataFrame, goals: Mapping[str, DataFrame]) -> float:
-    """How far the share of any value is from its goal; all goals sum to 1."""
+    """How far the share of any value is from its goal, in parts of the goal."""
     gaps = []
     for margin, goal in goals.items():
         totals = cells.groupBy(F.col(margin).alias("t")).agg(F.sum("weight").alias("total"))
-        met = totals.join(goal, totals["t"].eqNullSafe(goal["v"]))
-        gaps.append(met.agg(F.max(F.abs(F.col("total") - F.col("goal"))).alias("gap")))
+        met = goal.join(totals, totals["t"].eqNullSafe(goal["v"]), "left")
+        off = F.try_divide(F.abs(F.coalesce("total", F.lit(0.0)) - F.col("goal")), "goal")
+        gaps.append(met.agg(F.max(off).alias("gap")))
     return reduce(DataFrame.unionByName, gaps).agg(F.max("gap").alias("gap")).first().gap or 0.0
 
 
@@ -120,7 +210,7 @@ def mix(
     text: str = "text",
     tokens: str = "n_tokens",
     exponent: float = 0.85,
-    sweeps: int = 8,
+    sweeps: int | None = None,
 ) -> DataFrame:
     """Add ``weight``, ``probability`` and ``sampled`` to documents with margins and tokens.
 
