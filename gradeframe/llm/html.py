@@ -44,9 +44,18 @@ _DROPPED_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|promo\w*|sponsor\w*|comments?|commentlist|disqus|respond|replies|"
     r"cookies?|consent|gdpr|notices?|alert|newsletter|subscri\w+|sidebar|side-bar|menu|nav|navbar|navigation|"
     r"breadcrumbs?|share|sharing|social|related|recommend\w*|footer|popup|modal|pagination|pager|masthead|"
-    r"site-header|page-header|topbar|toolbar|skip-link|widget)(?=$|[\s_-])",
+    r"site-header|page-header|topbar|toolbar|skip-link)(?=$|[\s_-])|^widget$",
     re.I,
 )
+# Words by which a class says that something else is around, or how a page is laid out.
+_WRAPPERS = re.compile(
+    r"(?:.*[_-])?(?:has|have|no|not|with|without|hide)[_-].*|layout[_-].*|.*[_-](?:layout|page|body)", re.I
+)
+# What may stay open in a head.
+_HEAD = frozenset("base link meta title style script noscript template head".split())
+# An unwanted element with less plain text than this is never the article.
+_LEAST = 140
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _EXEMPT = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
@@ -75,24 +84,65 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "role" and value.lower() in _DROPPED_ROLES or name in ("class", "id") and _DROPPED_WORDS.search(value):
+        if name == "role" and value.lower() in _DROPPED_ROLES:
+            return True
+        if name in ("class", "id") and any(_DROPPED_WORDS.search(w) and not _WRAPPERS.fullmatch(w) for w in value.split()):
             return True
     return False
 
 
+_HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?true)", re.I)
+
+
+class Dropped:
+    """An unwanted element that its class, role or being a form makes one, or one inside it:
+    where it starts, its plain text, and what says that an article is in it."""
+
+    __slots__ = ("at", "chars", "marks")
+
+    def __init__(self, at: int, chars: int, marks: int) -> None:
+        self.at, self.chars, self.marks = at, -chars, -marks
+
+
 def parse(page: str) -> tuple[list[Node], list[str | None]]:
     """The elements of a page in order, and its text runs (None: a block ends or starts).
 
     Comments, unwanted elements and markup are left out. Elements that are never closed
-    end where HTML lets them, at the latest with the page.
+    end where HTML lets them, at the latest with the page. A form, or an element unwanted
+    by class, id or role, stays if it holds most of the page's plain text (that of no link
+    and no unwanted element of another kind) and either little is left
+    without it, or only inside it there is an ``article``, ``main`` or ``h1``.
     """
+    nodes, runs, dropped, chars, marks = _parse(page, frozenset())
+    if not dropped:
+        return nodes, runs
+    kept = sum(len("".join(r.split())) for r in runs if r)
+    kept_marks = any(n.tag in _MARKS for n in nodes)
+    spared = frozenset(
+        d.at
+        for d in dropped
+        if 2 * d.chars > chars and d.chars >= _LEAST and (kept < _LEAST or d.marks and not kept_marks)
+    )
+    return _parse(page, spared)[:2] if spared else (nodes, runs)
+
+
+_MARKS = frozenset(["article", "main", "h1"])
+
+
+def _parse(page: str, spared: frozenset[int]) -> tuple[list[Node], list[str | None], list[Dropped], int, int]:
+    """One reading of a page in which the elements that start at ``spared`` are not dropped;
+    also what was dropped by class, role or as a form, and the plain text and marks of all."""
+    dropped: list[Dropped] = []
+    open_dropped: list[tuple[int, Dropped]] = []
+    chars = marks = 0
+    barred = 0  # how deep the stack was when a link or an element that always goes began
     nodes, runs = [Node("html", None, 0)], []
     stack, at, size = [nodes[0]], 0, len(page)
     skipped = 0  # how deep the stack was when an unwanted element began, 0 outside
     articles = 0
 
     def close(depth: int) -> None:
-        nonlocal skipped, articles
+        nonlocal skipped, articles, barred
         while len(stack) > depth:
             node = stack.pop()
             node.last = len(runs)
@@ -102,12 +152,22 @@ def parse(page: str) -> tuple[list[Node], list[str | None]]:
                 runs.append(None)
             if skipped and len(stack) < skipped:
                 skipped = 0
+            if barred and len(stack) < barred:
+                barred = 0
+            while open_dropped and len(stack) < open_dropped[-1][0]:
+                d = open_dropped.pop()[1]
+                d.chars += chars
+                d.marks += marks
 
     while at < size:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else size
+        if stop > at and stack[-1].tag == "head" and not page[at:stop].isspace():
+            close(len(stack) - 1)
         if stop > at and not skipped:
             runs.append(html.unescape(page[at:stop]))
+        if stop > at and not barred:
+            chars += len("".join(page[at:stop].split()))
         if not m:
             break
         at = m.end()
@@ -122,6 +182,8 @@ def parse(page: str) -> tuple[list[Node], list[str | None]]:
                 if tag not in _BLOCK and stack[depth].tag in _BLOCK:
                     break
             continue
+        if stack[-1].tag == "head" and tag not in _HEAD:
+            close(len(stack) - 1)
         if tag in ("html", "head", "body") and tag != "head":
             if tag == "body" and not any(n.tag == "body" for n in stack):
                 stack.append(Node(tag, stack[-1], len(runs)))
@@ -135,7 +197,8 @@ def parse(page: str) -> tuple[list[Node], list[str | None]]:
                 break
             if stack[depth].tag in _KEEPS:
                 break
-        unwanted = not skipped and _unwanted(tag, m[3], articles > 0)
+        bad = not barred and m.start() not in spared and _unwanted(tag, m[3], articles > 0)
+        unwanted = bad and not skipped
         if tag in _RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
@@ -150,12 +213,18 @@ def parse(page: str) -> tuple[list[Node], list[str | None]]:
         node = Node(tag, stack[-1], len(runs))
         stack.append(node)
         articles += tag == "article"
+        if bad and (tag not in _DROPPED or tag == "form") and tag != "header" and not _HIDDEN.search(m[3]):
+            dropped.append(Dropped(m.start(), chars, marks))
+            open_dropped.append((len(stack), dropped[-1]))
+        elif not barred and (bad or tag == "a"):
+            barred = len(stack)
+        marks += tag in _MARKS and not barred
         if unwanted:
             skipped = len(stack)
         elif not skipped:
             nodes.append(node)
     close(0)
-    return nodes, runs
+    return nodes, runs, dropped, chars, marks
 
 
 def _measure(nodes: list[Node], runs: list[str | None]) -> Node:
@@ -216,12 +285,32 @@ def select(nodes: list[Node], runs: list[str | None]) -> Node:
     return best
 
 
+def _leads(best: Node, nodes: list[Node]) -> list[Node]:
+    """Headings and paragraphs before the chosen element, beside it, and an ``h1`` further up."""
+    if best.tag in ("html", "body", "article", "main"):
+        return []
+    around, up = {}, best.parent
+    while up:
+        around[id(up)] = up is best.parent
+        up = up.parent
+    found = []
+    for n in nodes:
+        if n is best:
+            break
+        beside = around.get(id(n.parent))
+        plain = n.chars and 2 * n.link_chars < n.chars
+        if plain and (n.tag == "h1" and beside is not None or beside and (n.tag in _HEADINGS or n.tag == "p")):
+            found.append(n)
+    return found
+
+
 def main_text(page: str) -> str:
     """The article of a page: blocks joined by line feeds, white space within one made single."""
     nodes, runs = parse(page)
     node = select(nodes, runs)
     blocks, open_block = [], []
-    for run in [*runs[node.first : node.last], None]:
+    lead = [r for n in _leads(node, nodes) for r in [*runs[n.first : n.last], None]]
+    for run in [*lead, *runs[node.first : node.last], None]:
         if run is None:
             block = " ".join("".join(open_block).split())
             if block:

@@ -36,6 +36,31 @@ def test_the_article_and_nothing_else(page):
     assert html.main_text(page) == "\n".join(PARAGRAPHS)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><meta charset=x><body>{NOISE}<article>{BODY}</article>{TAIL}",
+        f"<head><link rel=x><div><div>{BODY}</div></div>{TAIL}",
+        *[f"<body>{NOISE}<div class='{c}'><div>{BODY}</div></div>{TAIL}" for c in ("content no-sidebar", "post has-banner", "elementor-widget elementor-widget-text", "sidebar-wrapper")],
+        f"<body><form id=aspnetForm>{NOISE}<div><div>{BODY}</div></div>{TAIL.replace('form', 'div class=respond')}</form>",
+        f"<body><form><div class=social><a href=x>Share</a></div><div class=menu>{NOISE}</div><div>{BODY}</div></form>",
+    ],
+)
+def test_wrappers_and_open_heads_keep_the_article(page):
+    assert html.main_text(page) == "\n".join(PARAGRAPHS)
+
+
+def test_long_comments_are_no_article():
+    remarks = "<article>" + "<p>I have read this and have something long to say about it.</p>" * 40 + "</article>"
+    page = f"<body><article>{BODY}</article><section id=comments>{remarks}</section>"
+    assert html.main_text(page) == "\n".join(PARAGRAPHS)
+
+
+def test_heading_and_lead_beside_the_body_stay():
+    page = f"<body>{NOISE}<div><h1>The title</h1><p>A short lead.</p><div class=body>{BODY}</div></div>{TAIL}"
+    assert html.main_text(page) == "\n".join(["The title", "A short lead.", *PARAGRAPHS])
+
+
 def test_blocks_and_white_space():
     page = "<article><h1> A \n title</h1><p>one<b>two</b>\tthree<br>four<ul><li>x<li>y &lt;z&gt;</ul>tail<p></p></article>"
     assert html.main_text(page) == "A title\nonetwo three four\nx\ny <z>\ntail"
