@@ -18,7 +18,9 @@ from . import (
     html,
     language,
     licenses,
+    merkle,
     mixing,
+    pieces,
     pseudo_likelihood,
     quality,
     rules,
@@ -140,11 +142,42 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
 
 
+def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its SentencePiece ids and what they decode to."""
+    import public_tokenizers
+
+    model = pieces.Pieces.read(public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.decoded(pieces.encoded(table(spark, folder, "documents"), model), model)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its Merkle proof, and whether a copy that was tampered with passes."""
+    documents = table(spark, folder, "documents")
+
+    def fields(n_chars: Column) -> list[Column]:
+        return [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + F.when(tampered, F.lit(1)).otherwise(F.lit(0))
+    found = merkle.manifest(documents, fields(F.col("n_chars")), fields(more))
+    root = merkle.folded(F.col("claimed"), F.col("path"))
+    rows = found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), root.alias("folded_root")
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline from raw documents to the weighted sample."""
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op7_pseudo_likelihood, op8_simhash, op9_licenses, op10_language, pipeline)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op7_pseudo_likelihood, op8_simhash, op9_licenses, op10_language, op12_pieces, op13_merkle, pipeline)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
