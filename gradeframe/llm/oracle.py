@@ -1,6 +1,6 @@
 """The queries of this package as plain SQL for a second engine, where SQL can express them.
 
-Fingerprints (XXH64), trained networks, page trees, places of regular matches and exact
+Fingerprints (XXH64), trained networks, page trees, merges of pieces, places of regular matches and exact
 binomial bounds are beyond it; those queries are tested against brute force.
 """
 
@@ -139,8 +139,114 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, array_to_string(s, ',') AS
        array_to_string(l, ',') AS licences FROM found"""
 
 
+_COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex({_lowered('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i
+        FROM pieces, (SELECT unnest(range(1, 6)) AS m))
+  GROUP BY ALL HAVING count(*) >= 100
+),
+cuts AS (
+  SELECT lang, phrase, m, f AS a, k, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM counts WHERE m > 1)
+),
+scores AS (
+  SELECT c.lang, c.phrase, c.m, c.a, c.k, x.f AS l, y.f AS r, t.n,
+         CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+  JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang
+),
+best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM counts o WHERE o.lang = b.lang AND o.m > b.m AND o.f >= b.a
+      AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+       a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000"""
+
+
+def _merkle() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def row(n_chars: str) -> str:
+        return "sha256(" + " || ".join(field(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+    # CRC-32 by bits: the polynomial is a fixed value.
+    shift = "CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), range(8)), lambda y, i: {shift})"
+    crc = (
+        "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split("
+        "CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))), lambda c, b: "
+        f"{byte}), 4294967295)"
+    )
+    return f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, {row('n_chars')} AS leaf,
+         {row(f"(n_chars + CASE WHEN {crc} % 7 = 0 THEN CAST(1 AS HUGEINT) ELSE 0 END)")} AS claimed
+  FROM documents
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n FROM rows
+),
+nodes AS (
+  SELECT lang, 0 AS level, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2, n
+),
+tops AS (
+  SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+),
+top_nodes AS (
+  SELECT 0 AS level, pos, n, h FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM top_nodes WHERE n > 1 GROUP BY level, pos // 2, n
+),
+top_steps AS (
+  SELECT t.lang, list(CASE WHEN s.pos < o.pos THEN '<' ELSE '>' END || coalesce(s.h, '') ORDER BY o.level) AS steps
+  FROM tops t JOIN top_nodes o ON o.n > 1 AND o.pos = t.pos >> o.level
+  LEFT JOIN top_nodes s ON s.level = o.level AND s.pos = xor(o.pos, 1) GROUP BY t.lang
+),
+ids AS (SELECT *, row_number() OVER () AS id FROM leaves),
+steps AS (
+  SELECT i.id, list(CASE WHEN s.pos < o.pos THEN '<' ELSE '>' END || coalesce(s.h, '') ORDER BY o.level) AS steps
+  FROM ids i JOIN nodes o ON o.n > 1 AND o.lang IS NOT DISTINCT FROM i.lang AND o.pos = i.pos >> o.level
+  LEFT JOIN nodes s ON s.level = o.level AND s.lang IS NOT DISTINCT FROM i.lang AND s.pos = xor(o.pos, 1)
+  GROUP BY i.id
+),
+proofs AS (
+  SELECT i.doc_id, i.leaf, i.claimed, t.h AS subroot, (SELECT h FROM top_nodes WHERE n = 1) AS root,
+         list_concat(coalesce(s.steps, []), coalesce(u.steps, [])) AS path
+  FROM ids i JOIN tops t ON t.lang IS NOT DISTINCT FROM i.lang LEFT JOIN steps s ON s.id = i.id
+  LEFT JOIN top_steps u ON u.lang IS NOT DISTINCT FROM i.lang
+),
+folded AS (
+  SELECT *, list_reduce(list_prepend(claimed, path), lambda h, step:
+           sha256(CASE WHEN step[1] = '<' THEN step[2:] || h ELSE h || step[2:] END)) AS folded_root
+  FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM folded"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": _DECONTAMINATION,
     "op6_mixing": _mixing(),
     "op9_licenses": _licenses(),
+    "op11_collocations": _COLLOCATIONS,
+    "op13_merkle": _merkle(),
 }

@@ -17,6 +17,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .store import map_texts, pairs, ship_by_value
 
@@ -382,7 +383,7 @@ def decoded(rows: DataFrame, pieces: Pieces, ids: str = "ids", text: str = "text
     """Add the text of a column of packed ids, as ``encoded`` makes them (NULL: NULL)."""
     if text in rows.columns:
         raise ValueError(f"there is a column {text} already")
-    out = rows.limit(0).selectExpr("*", f"'' AS `{text}`").schema
+    out = T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())])
     at = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,7 @@ import corpus_pipeline
 
 from ..plans.tables import table
 from . import (
+    collocations,
     decontamination,
     html,
     language,
@@ -142,6 +143,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocations of each language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with its SentencePiece ids and what they decode to."""
     import public_tokenizers
@@ -178,6 +184,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op7_pseudo_likelihood, op8_simhash, op9_licenses, op10_language, op12_pieces, op13_merkle, pipeline)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_decontamination, op2_rules, op3_html, op4_secrets, op5_quality, op6_mixing, op7_pseudo_likelihood, op8_simhash, op9_licenses, op10_language, op11_collocations, op12_pieces, op13_merkle, pipeline)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
