@@ -9,12 +9,14 @@ phrase, and only its leaf totals are kept: a phrase occurs as often as the leave
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import Batches, column, ship_by_value, stored
@@ -30,8 +32,9 @@ _NO_LANG = "und"
 
 
 def split(text: str) -> list[bytes]:
-    """The words of a text, A-Z lowered, with ``.`` between pieces."""
-    return text.encode("utf-8", "surrogatepass").lower().translate(_ENDS).replace(_END, b" . ").split()
+    """The words of a text, A-Z lowered, with ``.`` after each piece."""
+    found = text.encode("utf-8", "surrogatepass").lower().translate(_ENDS).replace(_END, b" . ").split()
+    return [*found, _END]
 
 
 @dataclass(frozen=True)
@@ -103,52 +106,50 @@ class _Words(dict):
         self.names: list[bytes] = [b""]
         self.hashes: list[int] = [0]
 
-    def __missing__(self, word: bytes) -> int:
-        h = _word_hash(self.lang, word)
-        number = 0
-        if self.keep.has(np.array([h], np.uint64))[0]:
-            number = len(self.names)
-            self.names.append(word)
-            self.hashes.append(h)
-        self[word] = number
-        return number
+    def learn(self, words: list[bytes]) -> None:
+        new = [w for w in set(words) if w not in self]
+        hashes = np.array([_word_hash(self.lang, w) for w in new], np.uint64)
+        for word, h, kept in zip(new, hashes.tolist(), self.keep.has(hashes).tolist()):
+            self[word] = len(self.names) if kept else 0
+            if kept:
+                self.names.append(word)
+                self.hashes.append(h)
 
 
-def _gather(batches: Batches, count: Callable[[str, list[list[bytes]]], Iterator[tuple]], names: list[str]) -> Batches:
-    """Hand texts to ``count`` by language, when ``_FLUSH`` words of it have come together."""
-    waiting: dict[str, list[list[bytes]]] = {}
-    sizes: dict[str, int] = {}
+def _gather(batches: Batches, count: Callable[[str, list[bytes]], Iterator[tuple]], names: list[str]) -> Batches:
+    """Hand the words of texts to ``count`` by language, when ``_FLUSH`` have come together."""
+    waiting: dict[str, list[bytes]] = {}
 
-    def flush(lang: str) -> Iterator[pa.RecordBatch]:
-        for columns in count(lang, waiting.pop(lang)):
-            langs = pa.array([lang] * len(columns[0]), pa.string())
-            yield pa.RecordBatch.from_arrays([langs, *columns], names=names)
-        sizes[lang] = 0
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, words in waiting.items():
+            for columns in count(lang, words):
+                langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(columns[0]), np.int32)))
+                yield pa.RecordBatch.from_arrays([langs, *columns], names=names)
+        waiting.clear()
 
+    gathered = 0
     for batch in batches:
-        langs = batch.column(0).to_pylist()
-        for i, lang in enumerate(langs):
-            words = split(batch.column(1)[i].as_py())
-            waiting.setdefault(lang, []).append(words)
-            sizes[lang] = sizes.get(lang, 0) + len(words)
-            if sum(sizes.values()) >= _FLUSH:
-                for full in list(waiting):
-                    yield from flush(full)
-    for lang in list(waiting):
-        yield from flush(lang)
-
-
-def _rows(phrases: list[bytes], counts: np.ndarray, *more: pa.Array) -> Iterator[tuple]:
+        texts = batch.column(1)
+        for i, lang in enumerate(batch.column(0).to_pylist()):
+            words = split(texts[i].as_py())
+            waiting.setdefault(lang, []).extend(words)
+            gathered += len(words)
+            if gathered >= _FLUSH:
+                yield from flush()
+                gathered = 0
+    yield from flush()
+
+
+def _rows(phrases: pa.Array, counts: np.ndarray, *more: pa.Array) -> Iterator[tuple]:
     """Columns in batches that Arrow and Spark can take whatever the phrases' length."""
+    sizes = np.cumsum(pc.binary_length(phrases).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(phrases):
-        stop, size = start, 0
-        while stop < len(phrases) and stop - start < 50_000 and (stop == start or size < 16_000_000):
-            size += len(phrases[stop])
-            stop += 1
-        part = slice(start, stop)
-        texts = [p.decode("utf-8", "surrogatepass") for p in phrases[part]]
-        yield pa.array(texts, pa.string()), pa.array(counts[part], pa.int64()), *[m[part] for m in more]
+        before = sizes[start - 1] if start else 0
+        stop = int(np.searchsorted(sizes, before + 16_000_000, "right"))
+        stop = min(max(stop, start + 1), start + 50_000)
+        texts = [m[start:stop].cast(pa.string()) for m in (phrases, *more)]
+        yield texts[0], pa.array(counts[start:stop], pa.int64()), *texts[1:]
         start = stop
 
 
@@ -159,14 +160,11 @@ def _summed(parts: DataFrame) -> DataFrame:
 def word_counts(texts: DataFrame) -> DataFrame:
     """Rows (lang, phrase, n): each word of (lang, text), and all words of a language as ''."""
 
-    def count(lang: str, texts: list[list[bytes]]) -> Iterator[tuple]:
-        seen: dict[bytes, int] = {}
-        for words in texts:
-            for w in words:
-                seen[w] = seen.get(w, 0) + 1
+    def count(lang: str, words: list[bytes]) -> Iterator[tuple]:
+        seen = Counter(words)
         seen.pop(_END, None)
         counts = np.array([sum(seen.values()), *seen.values()], np.int64)
-        yield from _rows([b"", *seen], counts)
+        yield from _rows(_strings([b"", *seen]), counts)
 
     def run(batches: Batches) -> Batches:
         return _gather(batches, count, ["lang", "phrase", "n"])
@@ -174,15 +172,34 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return _summed(texts.mapInArrow(run, "lang string, phrase string, n bigint"))
 
 
-def _numbered(words: _Words, texts: list[list[bytes]]) -> np.ndarray:
-    """The words of the texts in a row, 0 after each."""
-    size = sum(map(len, texts)) + len(texts)
-    return np.fromiter((words[w] for text in texts for w in (*text, _END)), np.int64, size)
+def _strings(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.large_binary()).cast(pa.large_string())
 
 
-def _joined(words: _Words, table: np.ndarray) -> list[bytes]:
-    names = words.names
-    return [b" ".join([names[i] for i in row if i]) for row in table.tolist()]
+def _numbered(words: _Words, some: list[bytes]) -> np.ndarray:
+    words.learn(some)
+    return np.fromiter(map(words.__getitem__, some), np.int64, len(some))
+
+
+def _joined(names: pa.Array, table: np.ndarray) -> pa.Array:
+    """The phrases of rows of word numbers; 0 is no word."""
+    parts = [names.take(pa.array(c, mask=c == 0)) for c in table.T]
+    return pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()), null_handling="skip")
+
+
+def _distinct(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of a table, in order, and how often each occurs."""
+    keys = list(table.T)
+    if len(table) and table.max() < 1 << 21:  # three numbers in one key
+        keys = []
+        for first in range(0, table.shape[1], 3):
+            key = np.zeros(len(table), np.int64)
+            for c in table.T[first : first + 3]:
+                key = key << 21 | c
+            keys.append(key)
+    table = table[np.lexsort(keys[::-1])]
+    fresh = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(1)]))
+    return table[fresh], np.diff(np.append(fresh, len(table)))
 
 
 def pair_counts(texts: DataFrame, keep: Filter) -> DataFrame:
@@ -191,19 +208,20 @@ def pair_counts(texts: DataFrame, keep: Filter) -> DataFrame:
     def run(batches: Batches) -> Batches:
         langs: dict[str, _Words] = {}
 
-        def count(lang: str, texts: list[list[bytes]]) -> Iterator[tuple]:
+        def count(lang: str, some: list[bytes]) -> Iterator[tuple]:
             words = langs.setdefault(lang, _Words(lang, keep))
-            ids = _numbered(words, texts)
+            ids = _numbered(words, some)
             both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
             pairs, n = np.unique(ids[both] << 32 | ids[both + 1], return_counts=True)
-            yield from _rows(_joined(words, np.stack([pairs >> 32, pairs & 0xFFFFFFFF], 1)), n)
+            table = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], 1)
+            yield from _rows(_joined(_strings(words.names), table), n)
 
         return _gather(batches, count, ["lang", "phrase", "n"])
 
     return _summed(texts.mapInArrow(run, "lang string, phrase string, n bigint"))
 
 
-def suffixes(texts: DataFrame, keep: Filter, pairs: Filter, large: frozenset[tuple[str, str]], most_words: int) -> DataFrame:
+def suffixes(texts: DataFrame, keep: Filter, pairs: Filter, large: dict[str, list[str]], most_words: int) -> DataFrame:
     """Rows (lang, phrase, n, prefix): suffixes of pieces from three words on, and how often
     they were seen. A suffix ends with its piece, before a pair of words that is rare, or
     after ``most_words``. ``prefix`` is its first two words, or three if those are ``large``.
@@ -213,30 +231,27 @@ def suffixes(texts: DataFrame, keep: Filter, pairs: Filter, large: frozenset[tup
     def run(batches: Batches) -> Batches:
         langs: dict[str, _Words] = {}
 
-        def count(lang: str, texts: list[list[bytes]]) -> Iterator[tuple]:
+        def count(lang: str, some: list[bytes]) -> Iterator[tuple]:
             words = langs.setdefault(lang, _Words(lang, keep))
-            ids = _numbered(words, texts)
+            ids = _numbered(words, some)
             hashes = np.array(words.hashes, np.uint64)
             good = (ids[:-1] > 0) & (ids[1:] > 0)
             good[good] = pairs.has(_pair_hash(hashes[ids[:-1][good]], hashes[ids[1:][good]]))
             good = np.concatenate([good, np.zeros(width, bool)])
             at = np.flatnonzero(good[:-1] & good[1:])
+            if not len(at):
+                return
             table = np.zeros((len(at), width), np.int64)
             alive = np.ones(len(at), bool)
             table[:, 0] = ids[at]
             for j in range(1, width):
                 alive &= good[at + j - 1]
                 table[alive, j] = ids[at[alive] + j]
-            if not len(table):
-                return
-            table = table[np.lexsort(table.T[::-1])]
-            fresh = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(1)]))
-            n = np.diff(np.append(fresh, len(table)))
-            table = table[fresh]
-            phrases = _joined(words, table)
-            split_three = np.array([(lang, p.decode("utf-8", "surrogatepass")) in large for p in _joined(words, table[:, :2])], bool)
-            prefix = [b" ".join(p.split(b" ", 3)[: 3 if t else 2]) for p, t in zip(phrases, split_three.tolist())]
-            yield from _rows(phrases, n, pa.array([p.decode("utf-8", "surrogatepass") for p in prefix], pa.string()))
+            table, n = _distinct(table)
+            names = _strings(words.names)
+            two, three = _joined(names, table[:, :2]), _joined(names, table[:, :3])
+            split_more = pc.is_in(two, value_set=pa.array(large.get(lang, []), pa.large_string()))
+            yield from _rows(_joined(names, table), n, pc.if_else(split_more, three, two))
 
         return _gather(batches, count, ["lang", "phrase", "n", "prefix"])
 
@@ -322,7 +337,9 @@ def phrase_counts(
         found = found.unionByName(two)
     if most_words > 2:
         pairs = Filter.of(two)
-        large = frozenset((r.lang, r.phrase) for r in two.filter(F.col("n") > budget).collect())
+        large: dict[str, list[str]] = {}
+        for r in two.filter(F.col("n") > budget).collect():
+            large.setdefault(r.lang, []).append(r.phrase)
         total = two.agg(F.sum("n").alias("n")).first().n or 0
         # Prefixes of at most a budget are dealt out by hash; half of it is left for chance.
         groups = max(1, 2 * total // budget)

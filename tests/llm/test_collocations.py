@@ -66,7 +66,7 @@ def random_rows(seed, n=60, words="a b c d e f é A. b, c d", langs=("en", "de",
     ]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 @pytest.mark.parametrize("min_count", [2, 6])
 def test_against_brute_force(spark, monkeypatch, seed, min_count):
     monkeypatch.setattr(module, "_FLUSH", 50)  # many flushes a task
@@ -77,13 +77,13 @@ def test_against_brute_force(spark, monkeypatch, seed, min_count):
 def test_small_budget_splits_prefixes_and_groups(spark):
     rows = random_rows(7, words="x y x x z")
     wanted = slow(rows, 3)
-    for budget in (1, 20, 10**6):
+    for budget in (1, 20):
         assert run(spark, rows, min_count=3, budget=budget) == wanted
 
 
 def test_other_sizes_and_top(spark):
     rows = random_rows(8)
-    for most_words in (2, 3, 4):
+    for most_words in (2, 4):
         assert run(spark, rows, min_count=4, most_words=most_words, top=3) == slow(rows, 4, 3, most_words)
     assert run(spark, rows, min_count=4, most_words=1) == []
     with pytest.raises(ValueError):
