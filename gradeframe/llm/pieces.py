@@ -286,7 +286,7 @@ class Encoder:
     """Ids of texts. Words met before are looked up; what is remembered is bounded by
     ``most`` words and forgotten when full, which changes no id."""
 
-    def __init__(self, pieces: Pieces, edges: bool = True, most: int = 400_000):
+    def __init__(self, pieces: Pieces, edges: bool = True, most: int = 200_000):
         self.pieces, self.most = pieces, most
         self.known: dict[str, bytes] = {}
         self.edges = tuple(struct.pack("<I", i) if edges else b"" for i in (pieces.begin, pieces.end))
@@ -376,7 +376,7 @@ def encoded(documents: DataFrame, pieces: Pieces, key: str = "doc_id", text: str
             cache.append(Encoder(pieces, edges))
         return [pa.array(cache[0].encode(texts), pa.binary())]
 
-    return map_texts(pairs(documents, key, text), run, "ids binary").withColumnRenamed("key", key)
+    return map_texts(pairs(documents, key, text), run, "ids binary", chunk_chars=1_000_000).withColumnRenamed("key", key)
 
 
 def decoded(rows: DataFrame, pieces: Pieces, ids: str = "ids", text: str = "text") -> DataFrame:
