@@ -220,9 +220,10 @@ def mix(
     weight over the largest one, so that a sample has the target mix in expectation;
     ``sampled`` compares it with a fixed hash of the key (of the text, for a NULL key), so
     that every run picks the same rows. A document without tokens has weight NULL in a
-    cell without tokens, and is not sampled. Rows are scanned twice and never shuffled, as
+    cell without tokens, and is not sampled. Columns of these three names are replaced. Rows are scanned twice and never shuffled, as
     long as the cells are few enough to be broadcast.
     """
+    documents = documents.drop("weight", "probability", "sampled")
     cells = documents.groupBy(*margins).agg(F.coalesce(F.sum(tokens), F.lit(0)).alias("mass"))
     cells = stored(cells, "cells")
     if targets is None:

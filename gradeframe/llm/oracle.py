@@ -51,7 +51,8 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits h ON h.r = d.r LEFT JOIN owners o ON o.r = d.r"""
 
-_SWEEPS = 8
+# As many as it takes until further ones change no digit that is compared.
+_SWEEPS = 40
 _MARGINS = ("source", "lang", "topic")
 
 

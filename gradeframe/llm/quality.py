@@ -228,8 +228,10 @@ def with_score(
 ) -> DataFrame:
     """Add the score of ``text``, 0 to 1; 0.5 throughout without a model.
 
-    One pass over the rows, nothing is shuffled. NULL texts are scored as empty ones.
+    One pass over the rows, nothing is shuffled. NULL texts are scored as empty ones. A
+    column named like the output is replaced.
     """
+    df = df.drop(output)
     if model is None:
         return df.withColumn(output, F.lit(0.5))
 

@@ -183,10 +183,12 @@ def redacted(df: DataFrame, text: str = "text", mask: str = "[SECRET]", within:
     """The same rows and columns, with every span of ``secret_spans`` in ``text`` masked.
 
     Overlapping spans become one mask. Rows without spans are as they were; a NULL text
-    stays NULL. ``df`` must not have columns named parts, row, base, spans or linked.
+    stays NULL. Columns may have any names.
     """
     columns = df.columns
-    null = df.withColumn("__null", F.col(text).isNull()).withColumnRenamed(text, "text")
+    # Helper columns and the table's own cannot clash: the latter get numbers for names.
+    null = df.toDF(*["text" if c == text else f"_{i}" for i, c in enumerate(columns)])
+    null = null.withColumn("__null", F.col("text").isNull())
     found = stored(with_parts(null, keep_text=True).withColumn("row", F.monotonically_increasing_id()), "parts")
     spans = _attach_spans(found, within)
     clean = spans.filter(F.size("spans") == 0)
@@ -207,7 +209,8 @@ def redacted(df: DataFrame, text: str = "text", mask: str = "[SECRET]", within:
 
     hidden = spans.filter(F.size("spans") > 0).mapInArrow(run, schema)
     value = F.when(~F.col("__null"), F.col("text")).alias(text)
-    return clean.unionByName(hidden).select(*[value if c == text else F.col(f"`{c}`") for c in columns])
+    rows = clean.unionByName(hidden)
+    return rows.select(*[value if c == text else F.col(f"_{i}").alias(c) for i, c in enumerate(columns)])
 
 
 ship_by_value(__name__)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import Batches, column, map_texts, ship_by_value, stored
+from .store import Batches, column, free_names, map_texts, ship_by_value, stored
 
 BITS = 64
 _HASHES_AT_ONCE = 65_536
@@ -186,13 +186,16 @@ def without_near_duplicates(
     """One row of each group of ``near_duplicates``, with the columns of ``df``.
 
     The row with the smallest key stays, NULL keys last; rows that repeat key and text
-    count once. The texts are shuffled once, to meet the list of those that stay.
+    count once. The texts are shuffled once, to meet the list of those that stay. Other
+    columns may have any names.
     """
     rows = _grouped(df, key, text, shingle, distance, blocks)
     order = F.struct(F.col("key").isNull(), "key", "__id", "__check")
     kept = rows.groupBy("root").agg(F.min(order).alias("best")).select("best.__id", "best.__check")
-    marked = df.select("*", *_identity(column(df, key), column(df, text)))
-    same = ["__id", "__check"]
+    same = free_names(df, "__id", "__check")
+    mine = _identity(column(df, key), column(df, text))
+    marked = df.select("*", *[c.alias(name) for c, name in zip(mine, same)])
+    kept = kept.toDF(*same)
     return marked.join(kept, same, "left_semi").dropDuplicates(same).drop(*same)
 
 

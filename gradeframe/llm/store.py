@@ -48,6 +48,18 @@ def small(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(kept) if size <= limit else kept
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns, lengthened until the table has none like them in any case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def column(df: DataFrame, name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return df["`" + name.replace("`", "``") + "`"]

@@ -6,6 +6,7 @@ import warnings
 import numpy as np
 import pytest
 from helpers import documents
+from pyspark.sql.functions import lit
 
 from gradeframe.llm import mixing, queries
 
@@ -137,26 +138,8 @@ def test_topics_and_tokens(spark):
     assert [r.n_tokens for r in rows] == [3, 4, 2, 1, 0, 3]
 
 
-def test_registered_query(spark):
-    rows = queries.op6_mixing(spark, SF).collect()
-    cells, sums = {}, [{}, {}, {}]
-    for r in rows:
-        cells[(r.source, r.lang, r.topic)] = cells.get((r.source, r.lang, r.topic), 0) + r.n_tokens
-    for k, m in cells.items():
-        for axis in range(3):
-            sums[axis][k[axis]] = sums[axis].get(k[axis], 0) + m
-    weights = slow_rake(cells, [{v: m**0.85 for v, m in s.items()} for s in sums], 8)
-    top = max(weights[k] / m for k, m in cells.items() if m)
-    total = sum(cells.values())
-    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
-    for r in rows:
-        key = (r.source, r.lang, r.topic)
-        assert r.weight == pytest.approx(weights[key] * total / cells[key], abs=2e-5)
-        assert r.probability == pytest.approx(weights[key] / cells[key] / top, abs=2e-5)
-
-
 def test_registered_query_is_raked_to_the_end(spark):
-    """Eight sweeps are 0.07 % off here; weights are those of as many as it takes."""
+    """Weights and probabilities are those of as many sweeps as it takes."""
     rows = queries.op6_mixing(spark, SF).collect()
     cells, sums = {}, [{}, {}, {}]
     for r in rows:
@@ -166,6 +149,19 @@ def test_registered_query_is_raked_to_the_end(spark):
             sums[axis][k[axis]] = sums[axis].get(k[axis], 0) + m
     weights = slow_rake(cells, [{v: m**0.85 for v, m in s.items()} for s in sums], 200)
     total = sum(cells.values())
+    top = max(weights[k] / m for k, m in cells.items() if m)
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
     for r in rows:
         key = (r.source, r.lang, r.topic)
         assert r.weight == pytest.approx(weights[key] * total / cells[key], abs=2e-6)
+        assert r.probability == pytest.approx(weights[key] / cells[key] / top, abs=2e-6)
+
+
+def test_columns_with_the_names_of_results(spark):
+    docs = documents(spark, ["one two three", "four five", ""])
+    plain = mixing.mix(mixing.with_margins(docs), ["source", "lang", "topic"])
+    odd = docs.withColumns({n: lit("x") for n in ("weight", "probability", "sampled", "mass", "v", "share")})
+    mixed = mixing.mix(mixing.with_margins(odd), ["source", "lang", "topic"])
+    names = ["doc_id", "weight", "probability", "sampled"]
+    assert sorted(mixed.select(*names).collect(), key=str) == sorted(plain.select(*names).collect(), key=str)
+    assert {r.mass for r in mixed.collect()} == {"x"}

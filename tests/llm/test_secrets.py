@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import hashlib
 import random
 import re
@@ -131,3 +133,14 @@ def test_registered_query(spark):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s.startswith(k) for s in expected) for k in BASE)
         assert r.base_sha256 == hashlib.sha256(",".join(expected).encode()).hexdigest()
         assert set(expected) <= set(r.spans.split(",")) | {""}
+
+
+def test_redacted_keeps_columns_of_any_name(spark):
+    docs = documents(spark, ["password = hunter2hunter2", "nothing", None])
+    names = ["parts", "row", "base", "spans", "linked", "__null", "a.b", "_0"]
+    odd = docs.withColumns({n: F.lit(7) for n in names})
+    found = secrets.redacted(odd)
+    assert found.columns == odd.columns
+    rows = {r.doc_id: r for r in found.collect()}
+    assert all(rows[i][n] == 7 for i in range(3) for n in names)
+    assert "hunter2" not in rows[0].text and rows[1].text == "nothing" and rows[2].text is None

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import random
 
 import numpy as np
@@ -148,3 +150,12 @@ def test_registered_query(spark):
     for r in rows:
         assert r.fingerprint == f"{prints[r.doc_id]:016x}"
         assert r.component_id == first[roots[prints[r.doc_id]]]
+
+
+def test_dedup_keeps_rows_whatever_the_columns_are_called(spark):
+    docs = documents(spark, [f"text number {i} about subject {i * 7}" for i in range(20)] + ["same text here"] * 3)
+    wanted = sorted(r.doc_id for r in simhash.without_near_duplicates(docs).collect())
+    odd = docs.withColumns({n: F.lit(1) for n in ("__id", "__CHECK", "root", "best", "key", "a.b")})
+    found = simhash.without_near_duplicates(odd)
+    assert found.columns == odd.columns
+    assert sorted(r.doc_id for r in found.collect()) == wanted and len(wanted) >= 1
