@@ -17,6 +17,7 @@ from .operators.joins import align
 from .operators.judge import (
     apply_judge,
     attach_verdicts,
+    batch_judge,
     judge_requests,
     read_replies,
     row_judge,
@@ -38,7 +39,7 @@ from .plans.evaluation import run_evaluation
 from .session import build_session
 from .sources.reports import write_report
 from .sources.samples import conform_samples, read_samples, write_samples
-from .streaming.scoring import read_sample_stream, start_scoring
+from .streaming.scoring import read_sample_stream, read_summary, start_scoring, start_summary
 
 __all__ = [
     "accuracy",
@@ -46,6 +47,7 @@ __all__ = [
     "apply_judge",
     "attach_verdicts",
     "average_scores",
+    "batch_judge",
     "build_session",
     "conform_samples",
     "count_by_task",
@@ -62,6 +64,7 @@ __all__ = [
     "read_replies",
     "read_sample_stream",
     "read_samples",
+    "read_summary",
     "report_cards",
     "report_results",
     "report_rows",
@@ -72,6 +75,7 @@ __all__ = [
     "score_range_violations",
     "spread",
     "start_scoring",
+    "start_summary",
     "summarize",
     "term_frequencies",
     "with_bleu",

@@ -6,7 +6,10 @@ A judge is a function from a DataFrame with ``prompt``, ``reference`` and
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from types import ModuleType
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,8 @@ from .joins import left_lookup
 from .scoring import PRED, REF, with_token_f1_and_cosine
 
 Judge = Callable[[DataFrame], DataFrame]
+Verdict = tuple[float, str, str | None]
+BatchJudge = Callable[[list[tuple[str, str, str]]], Sequence[Verdict]]
 VERDICT_COLUMNS = ("score", "reason", "raw")
 ANSWERED, NO_CONTENT, NOT_JSON = "answered", "no content", "not json"
 
@@ -57,16 +62,41 @@ def rule_judge(df: DataFrame) -> DataFrame:
     )
 
 
-def row_judge(judge: Callable[[str, str, str], tuple[float, str, str | None]]) -> Judge:
-    """A judge from a Python function of (prompt, reference, model_output).
+def batch_judge(start: Callable[[], BatchJudge], rows: int = 64) -> Judge:
+    """A judge from a function that is made once per Python worker, such as a loaded model.
 
-    It returns score, reason and the raw reply as JSON text (or None). Rows stay
-    where they are; texts cross to Python in Arrow batches.
+    ``start`` takes no arguments and returns the judge: a function of a list of at most
+    ``rows`` (prompt, reference, model_output) that returns, in this order, a (score,
+    reason, raw reply as JSON text or None) for each; another number of them fails the
+    query. A worker calls ``start`` for its first row and keeps what it returns for all its
+    tasks, of this query or a later one with the same judge. Calls see rows of one Arrow
+    batch after another, so a call may get fewer rows than ``rows``. Texts cross to
+    Python once and rows stay where they are. Where a worker is lost, another one starts.
     """
-
-    def verdicts(prompt: pd.Series, ref: pd.Series, pred: pd.Series) -> pd.DataFrame:
-        rows = [judge(*texts) for texts in zip(prompt, ref, pred)]
-        return pd.DataFrame(rows, columns=["score", "reason", "raw"])
+    if rows < 1:
+        raise ValueError("rows must be at least 1")
+    name = uuid.uuid4().hex
+
+    def started() -> BatchJudge:
+        # A worker unpickles the function anew for every task; a module outlives them.
+        kept = sys.modules.setdefault("gradeframe_judges", ModuleType("gradeframe_judges"))
+        if not hasattr(kept, name):
+            setattr(kept, name, start())
+        return getattr(kept, name)
+
+    def verdicts(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
+    ) -> Iterator[pd.DataFrame]:
+        for prompts, refs, preds in batches:
+            texts = list(zip(prompts, refs, preds))
+            found: list[Verdict] = []
+            for first in range(0, len(texts), rows):
+                asked = texts[first : first + rows]
+                given = list(started()(asked))
+                if len(given) != len(asked):
+                    raise ValueError(f"the judge gave {len(given)} verdicts for {len(asked)} rows")
+                found += given
+            yield pd.DataFrame(found, columns=["score", "reason", "raw"])
 
     def apply(df: DataFrame) -> DataFrame:
         call = F.pandas_udf(verdicts, "score double, reason string, raw string")
@@ -80,6 +110,14 @@ def row_judge(judge: Callable[[str, str, str], tuple[float, str, str | None]]) -
     return apply
 
 
+def row_judge(judge: Callable[[str, str, str], Verdict]) -> Judge:
+    """A judge from a Python function of (prompt, reference, model_output).
+
+    It returns score, reason and the raw reply as JSON text (or None).
+    """
+    return batch_judge(lambda: lambda texts: [judge(*t) for t in texts])
+
+
 def apply_judge(df: DataFrame, judge: Judge) -> DataFrame:
     """Add the verdict columns of a judge."""
     judged = judge(df)

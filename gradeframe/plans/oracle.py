@@ -283,6 +283,7 @@ _OFF = {
 ORACLE_SQL: dict[str, str] = {
     "load_samples": _SAMPLES_SQL,
     "stored_samples": _SAMPLES_SQL,
+    "document_samples": _SAMPLES_SQL,
     "wrapped_samples": _with(
         f"SELECT {_SAMPLE} FROM samples UNION ALL SELECT id || '-swapped', 'classification', prompt, "
         "model_output, reference FROM samples",
@@ -353,6 +354,9 @@ ORACLE_SQL: dict[str, str] = {
     "summary": _with(
         f"SELECT total, passed, {_round('pass_rate')} FROM summary", *_EVALUATED, _SUMMARY
     ),
+    "summary_stream": _with(
+        f"SELECT total, passed, {_round('pass_rate')} FROM summary", *_EVALUATED, _SUMMARY
+    ),
     "avg_scores": _with(
         f"SELECT metric, {_round('avg_score')} FROM ({_MEANS})", *_EVALUATED, _SUMMARY
     ),
@@ -389,6 +393,13 @@ ORACLE_SQL: dict[str, str] = {
               FROM samples)""",
         _RAW,
     ),
+    "apply_batch_judge": _with(
+        """SELECT id, round(least(a, b) / CAST(greatest(a, b, 1) AS DOUBLE), 6) AS score,
+               a || ' of ' || b AS reason, c AS raw
+        FROM (SELECT id, length(model_output) AS a, length(reference) AS b, length(prompt) AS c
+              FROM samples)""",
+        _RAW,
+    ),
     "judge_requests": _with(f"SELECT id, {_REQUEST} AS request FROM samples", _RAW),
     "judge_replies": _with(
         "SELECT id, round(score, 6) AS score, reason, status FROM verdicts", _RAW, _REPLIES

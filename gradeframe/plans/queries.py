@@ -16,7 +16,7 @@ from ..functions.text import ngrams, normalize_text, tokenize
 from ..operators import aggregates, corpus, joins, judge, report, scoring, selection
 from ..session import shared_folder
 from ..sources.samples import read_samples, write_samples
-from ..streaming.scoring import read_sample_stream, start_scoring
+from ..streaming.scoring import read_sample_stream, read_summary, start_scoring, start_summary
 from . import tables
 from .evaluation import run_evaluation
 
@@ -66,6 +66,13 @@ def stored_samples(spark: SparkSession, folder: str) -> DataFrame:
     return read_samples(spark, path).withColumn("metadata", F.to_json("metadata"))
 
 
+def document_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples written as JSON documents, which are cut to be read."""
+    path = _scratch(spark, "documents")
+    write_samples(tables.samples(spark, folder).coalesce(2), path, "json")
+    return read_samples(spark, path, "json").withColumn("metadata", F.to_json("metadata"))
+
+
 def wrapped_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Lines that each wrap a sample and its counterpart with the texts swapped."""
     path = _scratch(spark, "wrapped")
@@ -220,6 +227,17 @@ def evaluate_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(spark.read.parquet(scored))
 
 
+def summary_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary that a stream has come to after its samples, half of them sent twice."""
+    source, output, log = (_scratch(spark, name) for name in ("source", "running", "log"))
+    samples = tables.samples(spark, folder)
+    write_samples(samples, source)
+    write_samples(samples.filter(F.crc32(F.col("id").cast("binary")) % 2 == 0), source, mode="append")
+    stream = read_sample_stream(spark, source, max_files=1000, arrived="arrived")
+    start_summary(stream, output, log, replays="1 hour").awaitTermination()
+    return read_summary(spark, output).select("total", "passed", _six("pass_rate"))
+
+
 def summary(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.summarize(_results(spark, folder)).select(
         "total", "passed", _six("pass_rate")
@@ -282,6 +300,22 @@ def apply_judge(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def apply_batch_judge(spark: SparkSession, folder: str) -> DataFrame:
+    def start() -> judge.BatchJudge:
+        def compare_lengths(texts: list[tuple[str, str, str]]) -> list[tuple[float, str, str]]:
+            sizes = [(len(prompt), len(ref), len(answer)) for prompt, ref, answer in texts]
+            return [
+                (min(a, r) / max(a, r, 1), f"{a} of {r}", f'{{"prompt": {p}}}') for p, r, a in sizes
+            ]
+
+        return compare_lengths
+
+    judged = judge.apply_judge(tables.samples(spark, folder), judge.batch_judge(start, rows=100))
+    return judged.select(
+        "id", _six("score"), "reason", F.variant_get("raw", "$.prompt", "bigint").alias("raw")
+    )
+
+
 def judge_requests(spark: SparkSession, folder: str) -> DataFrame:
     return judge.judge_requests(tables.samples(spark, folder))
 
@@ -363,6 +397,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         load_samples,
         stored_samples,
+        document_samples,
         wrapped_samples,
         task_type_counts,
         normalize_tokenize,
@@ -383,6 +418,7 @@ QUERIES: dict[str, Query] = {
         rouge_l,
         evaluate,
         evaluate_stream,
+        summary_stream,
         summary,
         avg_scores,
         metric_names,
@@ -392,6 +428,7 @@ QUERIES: dict[str, Query] = {
         score_range_violations,
         rule_judge,
         apply_judge,
+        apply_batch_judge,
         judge_requests,
         judge_replies,
         attach_verdicts,

@@ -6,16 +6,15 @@ metadata). Ids need not be unique.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
 from ..operators.scoring import CLASSIFICATION, GENERATION
+from .documents import document_lines, write_documents
 
 RECORD = T.StructType(
     [
@@ -58,11 +57,11 @@ def _metadata(df: DataFrame) -> Column:
     )
 
 
-def conform_samples(df: DataFrame) -> DataFrame:
+def conform_samples(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Bring any table with an ``id`` into the sample schema.
 
     Missing or NULL texts become ``''``, missing metadata ``{}``; further columns
-    are dropped. A row without an id fails the query.
+    are dropped, but for those to ``keep``. A row without an id fails the query.
     """
 
     def text(name: str) -> Column:
@@ -85,34 +84,17 @@ def conform_samples(df: DataFrame) -> DataFrame:
         text("model_output").alias("model_output"),
         coerce_task_type(task).alias("task_type"),
         _metadata(df).alias("metadata"),
+        *keep,
     )
 
 
 def _document_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of whole-file JSON documents.
-
-    A file is read by one task and parsed once. Whether it is a list or a wrapper is told
-    from the document itself; anything after the document, a record that is no object and
-    broken JSON fail the query.
-    """
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("value").to_pylist():
-                document = json.loads(text)
-                if isinstance(document, dict):
-                    document = document.get("samples", [])
-                if not isinstance(document, list) or not all(isinstance(r, dict) for r in document):
-                    raise ValueError("an evaluation set is a list of objects, or an object with such a list as samples")
-                lines = [json.dumps(r, ensure_ascii=False) for r in document]
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["line"])
-
-    texts = spark.read.text(path, wholetext=True)
+    """The records of whole-file JSON documents, which are cut where that is possible."""
     parsed = F.from_json("line", RECORD, {"mode": "FAILFAST"})
-    return texts.mapInArrow(records, "line string").select(parsed.alias("r")).select("r.*")
+    return document_lines(spark, path).select(parsed.alias("r")).select("r.*")
 
 
-def line_records(lines: DataFrame) -> DataFrame:
+def line_records(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The records of JSON lines, read with ``LINE``.
 
     A line is a record, or a wrapper: an object with a list as ``samples`` and no ``id``.
@@ -129,16 +111,16 @@ def line_records(lines: DataFrame) -> DataFrame:
         own = F.try_variant_get("__item", f"$.{f.name}", kind)
         return F.when(F.col("__wrapper"), own).otherwise(F.col(f.name)).alias(f.name)
 
-    return rows.select(*[field(f) for f in RECORD.fields])
+    return rows.select(*[field(f) for f in RECORD.fields], *keep)
 
 
 def read_samples(spark: SparkSession, path: str, format: str = "ndjson") -> DataFrame:
     """Read an evaluation set.
 
     ``ndjson`` holds a record per line, or a wrapper ``{"samples": [...]}`` per line.
-    ``json`` is one document per file, a list of records or one wrapper; such a file is
-    read by one task, so large sets belong in ``ndjson``, ``parquet`` or ``orc``, which
-    split. A file that is not of the given format fails the query.
+    ``json`` is one document per file, a list of records or one wrapper; a large one is
+    read by many tasks (see ``document_lines``), after a first pass when this is called.
+    A file that is not of the given format fails the query.
     """
     if format == "json":
         records = _document_records(spark, path)
@@ -154,11 +136,13 @@ def write_samples(
 ) -> None:
     """Write the six sample columns, as a directory of part files.
 
-    ``read_samples`` with the same format reads them back. Whole-file ``json`` documents
-    are not written, as part files of lines would not be such documents.
+    ``read_samples`` with the same format reads them back. As ``json``, each part file is
+    a document, a list of samples.
     """
     if format == "json":
-        raise ValueError("samples are not written as json documents, but as ndjson")
+        line = F.to_json(F.struct(*SAMPLE_COLUMNS), {"ignoreNullFields": "false"})
+        write_documents(df.select(line.alias("line")), path, mode)
+        return
     writer = df.select(*SAMPLE_COLUMNS).write.mode(mode)
     if format == "ndjson":
         writer.option("ignoreNullFields", False).json(path)

@@ -1,0 +1,150 @@
+"""JSON documents that many tasks read: the records are those of json.loads."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import random
+
+import pytest
+
+from gradeframe.sources import documents
+from gradeframe.sources.documents import document_lines
+
+SPLIT = {"spark.sql.files.maxPartitionBytes": "100", "spark.sql.files.openCostInBytes": "0"}
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut every 100 bytes, so nearly every record reaches over a cut."""
+    before = {k: spark.conf.get(k) for k in SPLIT}
+    for key, value in SPLIT.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def found(spark, path):
+    return sorted(json.dumps(json.loads(r.line), sort_keys=True) for r in document_lines(spark, str(path)).collect())
+
+
+def wanted(*lists):
+    return sorted(json.dumps(r, sort_keys=True) for some in lists for r in some)
+
+
+NASTY = ["}", "{", '"', "\\", '\\"', "}]", "[{", '"}', "\n", " ", ",", "é", "中", "a" * 30, '\\\\"}', "]"]
+
+
+def records(seed, n):
+    rng = random.Random(seed)
+
+    def text():
+        return "".join(rng.choice(NASTY) for _ in range(rng.randrange(12)))
+
+    def value(depth):
+        kinds = [text, lambda: rng.randrange(99), lambda: None, lambda: True]
+        if depth:
+            kinds += [lambda: {text(): value(depth - 1) for _ in range(rng.randrange(4))}, lambda: [value(depth - 1) for _ in range(rng.randrange(4))]]
+        return rng.choice(kinds)()
+
+    return [{"id": str(i), **{text(): value(3) for _ in range(rng.randrange(4))}} for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("indent", [None, 2])
+def test_records_over_many_splits(spark, small_splits, tmp_path, seed, indent):
+    some = records(seed, 40)
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps(some, ensure_ascii=bool(seed % 2), indent=indent), encoding="utf-8")
+    lines = document_lines(spark, str(path))
+    assert documents._pieces(spark, str(path)).rdd.getNumPartitions() > 10
+    assert sorted(json.dumps(json.loads(r.line), sort_keys=True) for r in lines.collect()) == wanted(some)
+
+
+def test_wrappers_and_several_files(spark, small_splits, tmp_path):
+    one, two, three, four = (records(s, 15) for s in (5, 6, 7, 8))
+    more = {"items": [{"id": "no"}, {"a": [{}]}], "n": {"samples": [{"id": "no"}]}, "t": '"samples": ['}
+    docs = {
+        "first.json": {"samples": one, **more},
+        "last.json": {**more, "samples": two},  # read whole
+        "alone.json": {"samples": three},
+        "list.json": four,
+        "none.json": more,
+        "empty list.json": [],
+        "empty.json": {},
+        "number.json": {"samples": []},
+    }
+    for name, content in docs.items():
+        (tmp_path / name).write_text(json.dumps(content, indent=1) + "\n \n", encoding="utf-8")
+    assert found(spark, tmp_path) == wanted(one, two, three, four)
+
+
+def test_compressed_documents(spark, small_splits, tmp_path):
+    some = records(9, 30)
+    for name, content in (("l.json.gz", some), ("w.json.gz", {"samples": some})):
+        with gzip.open(tmp_path / name, "wt", encoding="utf-8") as file:
+            json.dump(content, file)
+    assert found(spark, tmp_path) == wanted(some, some)
+
+
+BROKEN = [
+    '[{"id": "a"}',
+    '[{"id": "a"}]}',
+    '[{"id": "a"}] x',
+    '[{"id": "a"}][]',
+    '[{"id": "a"} {"id": "b"}]',
+    '[{"id": "a"},]',
+    '[,{"id": "a"}]',
+    '[1, {"id": "a"}]',
+    '[{"id": "a"}, 1]',
+    '[{"id": "a"}, {"id": "b}]',
+    '[[{"id": "a"}]]',
+    '{"samples": [{"id": "a"}]',
+    '{"samples": [{"id": "a"}]}}',
+    '{"samples": [{"id": "a"}]} {"id": "b"}',
+    '{"samples": [{"id": "a"}], "samples": []}',
+    '{"samples": [{"id": "a"}], "x"}',
+    '{"samples": [{"id": "a"}, null]}',
+    '{"samples": {"id": "a"}}',
+    "3",
+]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_broken_documents_fail(spark, small_splits, tmp_path, text):
+    path = tmp_path / "b.json"
+    for padding in ("", " " * 150):
+        path.write_text(text.replace(" ", padding or " "))
+        with pytest.raises(Exception):
+            document_lines(spark, str(path)).collect()
+
+
+def test_empty_files_have_no_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    assert found(spark, tmp_path) == []
+    (tmp_path / "b.json").write_text('[{"id": "a"}]')
+    assert found(spark, tmp_path) == wanted([{"id": "a"}])
+
+
+def test_files_that_change_in_between_fail(spark, small_splits, tmp_path):
+    path = tmp_path / "c.json"
+    path.write_text(json.dumps(records(1, 40)))
+    lines = document_lines(spark, str(path))
+    path.write_text(json.dumps([{"id": "x" * 37}] * 90))
+    with pytest.raises(Exception):
+        lines.collect()
+
+
+def test_one_large_document_is_read_by_many_tasks(spark, tmp_path):
+    """8 MB in splits of 1 MB: the records of the file are spread over tasks."""
+    some = [{"id": str(i), "prompt": f'{{"x": "}}{i}"}}' * 8, "metadata": {"k": [{"n": i}]}} for i in range(60_000)]
+    path = tmp_path / "large.json"
+    path.write_text(json.dumps(some))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        lines = document_lines(spark, str(path))
+        assert found(spark, path) == wanted(some)
+        assert lines.rdd.getNumPartitions() >= 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32m")

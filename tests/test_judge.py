@@ -121,3 +121,40 @@ def test_attach_verdicts_keeps_every_sample(spark, samples):
     assert len(rows) == 12
     assert [r.score for r in rows if r.id == "n03"] == [0.9, 0.9]
     assert all(r.score is None for r in rows if r.id != "n03")
+
+
+def test_batch_judge_starts_once_per_worker(spark, samples, tmp_path):
+    """Many tasks of two queries: each worker starts the judge once, calls are bounded."""
+    log = tmp_path / "starts"
+    log.mkdir()
+
+    def start():
+        import os
+        import uuid
+
+        (log / f"{os.getpid()}-{uuid.uuid4().hex}").write_text("")
+
+        def judged(texts):
+            assert 1 <= len(texts) <= 3
+            return [(float(len(p)), f"{r}|{a}", None) for p, r, a in texts]
+
+        return judged
+
+    many = samples.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20)))).repartition(24)
+    judge = J.batch_judge(start, rows=3)
+    for _ in range(2):
+        rows = J.apply_judge(many, judge).collect()
+        assert len(rows) == 220
+        assert all(r.score == len(r.prompt) and r.reason == f"{r.reference}|{r.model_output}" for r in rows)
+    workers = [f.name.split("-")[0] for f in log.iterdir()]
+    assert len(workers) == len(set(workers)) and len(workers) < 24
+    # Another judge has a start of its own.
+    assert J.apply_judge(samples, J.batch_judge(start, rows=1)).count() == 11
+    assert J.apply_judge(samples.limit(0), judge).isEmpty()
+
+
+def test_batch_judge_checks_what_it_gets(spark, samples):
+    with pytest.raises(Exception, match="verdicts for"):
+        J.apply_judge(samples, J.batch_judge(lambda: lambda texts: [(1.0, "", None)], rows=5)).collect()
+    with pytest.raises(ValueError):
+        J.batch_judge(lambda: list, rows=0)

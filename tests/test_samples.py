@@ -111,8 +111,8 @@ def test_default_round_trip_keeps_every_row(spark, tmp_path):
     samples = conform_samples(df.coalesce(2))
     write_samples(samples, str(tmp_path / "s"))
     assert rows(read_samples(spark, str(tmp_path / "s"))) == rows(samples)
-    with pytest.raises(ValueError, match="ndjson"):
-        write_samples(samples, str(tmp_path / "j"), "json")
+    write_samples(samples, str(tmp_path / "j"), "json")
+    assert rows(read_samples(spark, str(tmp_path / "j"), "json")) == rows(samples)
 
 
 def test_json_documents_are_read_whole_or_not_at_all(spark, tmp_path):
