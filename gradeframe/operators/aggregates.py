@@ -6,11 +6,13 @@ works on a table that such an aggregate made small.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics as M
-from .scoring import METRICS, PRED, REF
+from .scoring import CLASSIFICATION, GENERATION, METRICS, METRICS_OF, PRED, REF
 
 
 def accuracy(
@@ -73,12 +75,19 @@ def average_scores(summary: DataFrame) -> DataFrame:
     return summary.select(F.explode("avg_scores").alias("metric", "avg_score"))
 
 
-def metric_names(results: DataFrame) -> DataFrame:
-    """The metrics at least one row has."""
-    present = results.agg(*[F.count(m).alias(m) for m in METRICS])
-    names = F.array_compact(
-        F.array(*[F.when(F.col(m) > 0, F.lit(m)) for m in sorted(METRICS)])
-    )
+def metric_names(rows: DataFrame) -> DataFrame:
+    """The metrics at least one row has, of samples or of results.
+
+    Which metrics a row has follows from its task type, so nothing is scored.
+    """
+    classification = F.coalesce(F.col("task_type") == CLASSIFICATION, F.lit(False))
+    occurs = {CLASSIFICATION: classification, GENERATION: ~classification}
+    present = rows.agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(task) for task, c in occurs.items()])
+
+    def has(metric: str) -> Column:
+        return reduce(Column.__or__, [F.col(task) for task, own in METRICS_OF.items() if metric in own])
+
+    names = F.array_compact(F.array(*[F.when(has(m), F.lit(m)) for m in sorted(METRICS)]))
     return present.select(F.explode(names).alias("metric"))
 
 

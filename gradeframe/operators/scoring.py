@@ -29,6 +29,10 @@ METRICS = (
     "token_f1",
     "cosine_similarity",
 )
+METRICS_OF = {
+    CLASSIFICATION: ("exact_match", "token_f1"),
+    GENERATION: ("rouge_l_f1", "rouge_l_recall", "bleu", "token_f1", "cosine_similarity"),
+}
 PRIMARY_METRIC = {CLASSIFICATION: "exact_match", GENERATION: "rouge_l_f1"}
 
 # Working columns, dropped before a result is returned.

@@ -250,7 +250,7 @@ def avg_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def metric_names(spark: SparkSession, folder: str) -> DataFrame:
-    return aggregates.metric_names(_results(spark, folder))
+    return aggregates.metric_names(tables.samples(spark, folder))
 
 
 def passed_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -156,3 +156,12 @@ def test_summary_shuffles_one_row_per_task_and_reads_no_prompts(spark):
 def test_derived_samples_use_unique_join_keys(spark):
     plan = physical(table_samples(spark, SF))
     assert "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_metric_names_score_nothing(spark, samples):
+    from plans import physical
+
+    assert "Python" not in physical(A.metric_names(samples))
+    names = {r.metric for r in A.metric_names(samples.filter("task_type = 'generation'")).collect()}
+    assert names == set(METRICS) - {"exact_match"}
+    assert A.metric_names(samples.limit(0)).isEmpty()

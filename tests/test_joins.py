@@ -18,8 +18,9 @@ def refs(spark, ids):
 def test_align_strict(spark):
     rows = joins.align(preds(spark, "abc"), refs(spark, "cab")).collect()
     assert sorted(tuple(r) for r in rows) == [(i, f"p{i}", f"r{i}") for i in "abc"]
-    with pytest.raises(ValueError, match="1 keys unmatched"):
-        joins.align(preds(spark, "ab"), refs(spark, "a"))
+    for left, right in (("ab", "a"), ("a", "ba")):
+        with pytest.raises(Exception, match="unmatched key: b"):
+            joins.align(preds(spark, left), refs(spark, right)).collect()
     with pytest.raises(ValueError):
         joins.align(preds(spark, "a"), refs(spark, "a"), how="other")
 
@@ -31,18 +32,60 @@ def test_align_matched_drops_rows_without_a_partner(spark):
 
 @pytest.mark.parametrize("how", ["strict", "matched"])
 def test_align_refuses_repeated_keys(spark, how):
-    with pytest.raises(ValueError, match="more than once"):
-        joins.align(preds(spark, "aab"), refs(spark, "ab"), how=how)
+    for left, right in (("aab", "ab"), ("ab", "aab"), ("aa", "b")):
+        with pytest.raises(Exception, match="more than once on a side: a"):
+            joins.align(preds(spark, left), refs(spark, right), how=how).collect()
 
 
 def test_align_and_null_keys(spark):
     left, right = preds(spark, ["a", None]), refs(spark, ["a", None])
-    with pytest.raises(ValueError, match="2 rows have a NULL key"):
-        joins.align(left, right)
+    with pytest.raises(Exception, match="NULL key"):
+        joins.align(left, right).collect()
     matched = joins.align(left.union(left.filter("id IS NULL")), right, how="matched")
     assert [tuple(r) for r in matched.collect()] == [("a", "pa", "ra")]
 
 
+def test_align_is_lazy_and_reads_each_side_once(spark):
+    left, right = preds(spark, "abc"), refs(spark, "cab")
+    assert jobs(spark, lambda: joins.align(left, right)) == 0
+    plan = physical(joins.align(left, right))
+    assert plan.count("Exchange") == 1 and plan.count("Scan") == 2 and "Join" not in plan
+    # The check holds even where no column but the key is asked for, or none at all.
+    for pruned in (lambda df: df.select("id").collect(), lambda df: df.count()):
+        with pytest.raises(Exception, match="unmatched key"):
+            pruned(joins.align(left, refs(spark, "ab")))
+
+
+def test_align_any_names_and_several_keys(spark):
+    left = spark.sql("SELECT 1 AS `a.b`, 'x' AS k, 5 AS `__p`, 6 AS same")
+    right = spark.sql("SELECT 'x' AS k, 1L AS `a.b`, 7 AS same")
+    joined = joins.align(left, right, on=["a.b", "k"])
+    assert joined.columns == ["a.b", "k", "__p", "same", "same"]
+    assert [tuple(r) for r in joined.collect()] == [(1, "x", 5, 6, 7)]
+    keys_only = joins.align(left.select("k"), right.select("k"), on="k")
+    assert [tuple(r) for r in keys_only.collect()] == [("x",)]
+    assert joins.align(left.limit(0), right.limit(0), on="k").isEmpty()
+
+
+def test_lookup_splits_rows_that_are_all_alike(spark):
+    """A key of 30 % of the rows, which are equal in every column."""
+    left = spark.range(20000, numPartitions=4).selectExpr(
+        "CASE WHEN id % 10 < 3 THEN 'hot' ELSE concat('k', id) END AS id", "CASE WHEN id % 10 < 3 THEN 'x' ELSE string(id) END AS t"
+    )
+    right = spark.createDataFrame([("hot", 1), ("k5", 2)], "id string, score int")
+    assert jobs(spark, lambda: joins.left_lookup(left, right)) == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.left_lookup(left, right)
+        sizes = [r["count"] for r in joined.filter("id = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 6000 and len(sizes) == 4 and max(sizes) < 3000
+        assert joined.filter("score IS NOT NULL").count() == 6001
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def jobs(spark, action):
     spark.sparkContext.setJobGroup("counted", "counted")
     try:
@@ -64,6 +107,8 @@ def test_lookup_splits_keys_of_any_share(spark):
     )
     assert jobs(spark, lambda: joins.left_lookup(left, right)) == 0
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # The partitions are small enough to be put together again, which would hide the split.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         joined = joins.left_lookup(left, right)
         plan = physical(joined)
@@ -76,6 +121,7 @@ def test_lookup_splits_keys_of_any_share(spark):
         assert len(tasks) > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_lookup_refuses_repeated_keys(spark):
