@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from .store import Batches, column, map_texts, pairs, ship_by_value, stored
-
-_WORD = r"[^\x20\x09-\x0D]+"
-
+from .store import Batches, column, pairs, ship_by_value, stored
 
 @dataclass(frozen=True)
 class Shape:
@@ -34,6 +33,11 @@ class Shape:
     def tokens(self) -> int:
         return self.classes * self.per_class
 
+    @property
+    def kind(self) -> type:
+        """What a stored token is: 16 bits as long as the edge fits."""
+        return np.uint16 if self.tokens < 1 << 16 else np.uint32
+
     @classmethod
     def of(cls, distinct: int) -> Shape:
         """The shape for so many distinct words: 3 times their sixth root in classes (32 at
@@ -43,6 +47,18 @@ class Shape:
         return cls(classes, 2 * classes, classes * classes // 4)
 
 
+class _Codes(dict):
+    """Tokens of known words; new words are numbered from ``first`` as they come."""
+
+    def __init__(self, known: dict[bytes, int], first: int):
+        super().__init__(known)
+        self.shift = first - len(known)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) + self.shift
+        return number
+
+
 @dataclass
 class Network:
     """A window network: the embeddings of ``side`` tokens on either side, one table for
@@ -71,91 +87,140 @@ class Network:
 
     def encode(self, text: str) -> np.ndarray:
         """The tokens of a text, with edges around them."""
-        known, edge, side = self.words, self.shape.tokens, self.shape.side
-        low, n = self.shape.tokens - self.shape.unknown, self.shape.unknown
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        ids = [known[w] if w in known else low + zlib.crc32(w) % n for w in words]
-        return np.array([edge] * side + ids + [edge] * side, np.int32)
+        return self.encoded([text.encode("utf-8", "surrogatepass")])[0]
+
+    def encoded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """The tokens of all texts with edges around each, and where each text starts among
+        them; then the index of the rare word at each place (-1 at others), and these words."""
+        shape, edge = self.shape, [self.shape.tokens] * self.shape.side
+        codes = _Codes(self.words, shape.tokens + 1)
+        numbers, cuts = [], [0]
+        for text in texts:
+            numbers += edge
+            numbers += map(codes.__getitem__, text.lower().split())
+            numbers += edge
+            cuts.append(len(numbers))
+        stream = np.array(numbers, np.int64)
+        new = list(codes)[len(self.words) :]
+        buckets = np.fromiter((zlib.crc32(w) % shape.unknown for w in new), np.int64, len(new))
+        rare = np.maximum(stream - shape.tokens - 1, -1)
+        at = np.flatnonzero(rare >= 0)
+        stream[at] = shape.tokens - shape.unknown + buckets[rare[at]]
+        return stream.astype(shape.kind), np.array(cuts), rare, new
+
+    def _shifts(self) -> list[int]:
+        return [*range(-self.shape.side, 0), *range(1, self.shape.side + 1)]
 
     def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
         tables, bias = self.weights[:2]
-        side = self.shape.side
         total = np.tile(bias, (len(at), 1))
-        for place, shift in enumerate([*range(-side, 0), *range(1, side + 1)]):
-            total += tables[place][stream[at + shift]]
-        return np.tanh(total)
+        for table, shift in zip(tables, self._shifts()):
+            total += np.take(table, stream[at + shift], axis=0)
+        return np.tanh(total, out=total)
 
     def log_probabilities(self, stream: np.ndarray, at: np.ndarray, back: list[np.ndarray] | None = None) -> np.ndarray:
         """log P(token | both sides) of the tokens at the given places of a stream.
 
         With ``back``, a list of arrays like the weights, the slopes of the mean loss are
-        added to it.
+        added to it. Places are worked through in the order of their tokens, so that those
+        of a class are one slice.
         """
         shape = self.shape
         _, _, class_w, class_b, word_w, word_b = self.weights
-        h = self.hidden(stream, at)
+        order = np.argsort(stream[at], kind="stable")
+        at = at[order]
         token = stream[at]
-        group, member = token // shape.per_class, token % shape.per_class
+        group, member = np.divmod(token, shape.per_class)
+        cuts = np.searchsorted(token, np.arange(shape.classes + 1) * shape.per_class)
+        h = self.hidden(stream, at)
         rows = np.arange(len(at))
-        logits = h @ class_w + class_b
-        logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits)
-        norm = p.sum(1)
-        result = logits[rows, group] - np.log(norm)
-        slope_h = None
+        # A last column of ones takes the biases in.
+        one = np.append(h, np.ones((len(at), 1), h.dtype), axis=1)
+        class_w = np.vstack([class_w, class_b])
+        word_w = np.concatenate([word_w, word_b[:, None]], axis=1)
+
+        found, p, norm = _softmax(one, class_w, rows, group)
+        slope = None
         if back is not None:
-            p /= norm[:, None]
-            p[rows, group] -= 1
-            p /= len(at)
-            back[2] += h.T @ p
-            back[3] += p.sum(0)
-            slope_h = p @ class_w.T
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(shape.classes + 1))
-        for g in range(shape.classes):
-            own = order[cuts[g] : cuts[g + 1]]
-            if not len(own):
-                continue
-            hg, here = h[own], np.arange(len(own))
-            logits = hg @ word_w[g] + word_b[g]
-            logits -= logits.max(1, keepdims=True)
-            p = np.exp(logits)
-            norm = p.sum(1)
-            result[own] += logits[here, member[own]] - np.log(norm)
+            share = h.dtype.type(1 / len(at))
+            slope = _slopes(p, norm, share, rows, group, one, class_w, back[2], back[3])
+        for g in np.flatnonzero(np.diff(cuts)):
+            own, n = slice(cuts[g], cuts[g + 1]), cuts[g + 1] - cuts[g]
+            values, p, norm = _softmax(one[own], word_w[g], rows[:n], member[own])
+            found[own] += values
             if back is not None:
-                p /= norm[:, None]
-                p[here, member[own]] -= 1
-                p /= len(at)
-                back[4][g] += hg.T @ p
-                back[5][g] += p.sum(0)
-                slope_h[own] += p @ word_w[g].T
+                slope[own] += _slopes(
+                    p, norm, share, rows[:n], member[own], one[own], word_w[g], back[4][g], back[5][g]
+                )
         if back is not None:
-            slope = slope_h * (1 - h * h)
+            slope *= 1 - h * h
             back[1] += slope.sum(0)
-            side = shape.side
-            for place, shift in enumerate([*range(-side, 0), *range(1, side + 1)]):
-                seen = stream[at + shift]
-                for d in range(shape.width):
-                    back[0][place, :, d] += np.bincount(seen, slope[:, d], shape.tokens + 1)
+            columns = np.ascontiguousarray(slope.T, np.float64)
+            for table, shift in zip(back[0], self._shifts()):
+                seen = stream[at + shift].astype(np.intp)
+                table += np.stack([np.bincount(seen, c, shape.tokens + 1) for c in columns], axis=1)
+        result = np.empty_like(found)
+        result[order] = found
         return result
 
     def train(self, streams: Iterator[np.ndarray], batch: int = 8192, rate: float = 0.1) -> int:
         """One pass of Adagrad over streams of tokens; the number of tokens predicted."""
         squares = [np.full_like(w, 1e-6) for w in self.weights]
+        back = [np.empty_like(w) for w in self.weights]
         total = 0
         for stream in streams:
             places = np.flatnonzero(stream < self.shape.tokens)
             for first in range(0, len(places), batch):
                 at = places[first : first + batch]
-                back = [np.zeros_like(w) for w in self.weights]
+                for b in back:
+                    b.fill(0)
                 self.log_probabilities(stream, at, back)
                 for w, s, b in zip(self.weights, squares, back):
                     s += b * b
-                    w -= rate * b / np.sqrt(s)
+                    b *= rate
+                    b /= np.sqrt(s)
+                    w -= b
                 total += len(at)
         return total
 
 
+# Beyond this, exp() of 32 bits could overflow in a sum.
+_SAFE = 60.0
+
+
+def _softmax(one: np.ndarray, w: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each row's log-probability of its wanted output, and all probabilities as numbers
+    and the scale of their row. No input is beyond 1, which bounds the outputs; only if
+    that is not enough is the largest of each row taken off."""
+    p = one @ w
+    if np.abs(w).sum(0).max() > _SAFE:
+        p -= p.max(1, keepdims=True)
+    found = p[rows, wanted]
+    np.exp(p, out=p)
+    norm = p @ np.ones(p.shape[1], p.dtype)
+    return found - np.log(norm), p, norm
+
+
+def _slopes(
+    p: np.ndarray,
+    norm: np.ndarray,
+    share: float,
+    rows: np.ndarray,
+    wanted: np.ndarray,
+    one: np.ndarray,
+    w: np.ndarray,
+    back_w: np.ndarray,
+    back_b: np.ndarray,
+) -> np.ndarray:
+    """Add the slopes of the mean loss, of which each row has ``share``, to those of weights and biases, and return those of the inputs."""
+    p[rows, wanted] -= norm
+    scale = (share / norm)[:, None]
+    sums = (one * scale).T @ p
+    back_w += sums[:-1]
+    back_b += sums[-1]
+    return (p @ w[:-1].T) * scale
+
+
 @dataclass
 class Tail:
     """How the probability of a bucket is shared out among the rare words in it: a word of
@@ -167,18 +232,47 @@ class Tail:
     masses: np.ndarray
 
 
-# A-Z is lowered and no other letter changed, as in the tokens, which are made of bytes.
-_CASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Distinct words that a task counts before it hands them in.
+_COUNTED = 400_000
 
 
-def _words(text: str) -> Column:
-    return F.regexp_extract_all(F.col(text), F.lit(_WORD), F.lit(0))
+def word_counts(documents: DataFrame) -> DataFrame:
+    """Rows (word, n) of all documents, A-Z lowered and no other letter changed.
 
+    Tasks count words before they are shuffled, at most so many distinct ones at a time
+    (and those of one slice of texts) in memory.
+    """
+
+    def run(batches: Batches) -> Batches:
+        counts: Counter = Counter()
+        for texts, _ in _slices(batches):
+            for text in texts:
+                counts.update(text.lower().split())
+            if len(counts) >= _COUNTED:
+                yield _counted(counts)
+                counts = Counter()
+        if counts:
+            yield _counted(counts)
+
+    return documents.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
-def word_counts(documents: DataFrame) -> DataFrame:
-    """Rows (word, n) of all documents; words are counted before they are shuffled."""
-    lowered = F.translate("word", *_CASES)
-    return documents.select(F.explode(_words("text")).alias("word")).groupBy(lowered.alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+def _counted(counts: Counter) -> pa.RecordBatch:
+    words = pa.array(list(counts), pa.binary()).cast(pa.string())
+    return pa.RecordBatch.from_arrays([words, pa.array(counts.values(), pa.int64())], names=["word", "n"])
+
+
+def _slices(batches: Batches, chunk: int = 4_000_000) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    """The texts of batches in slices of about so many bytes, each with its part of the batch."""
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary())
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = sizes[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, done + chunk)))
+            yield [t or b"" for t in texts[start:stop].to_pylist()], batch.slice(start, stop - start)
+            start = stop
 
 
 def vocabulary(documents: DataFrame, shape: Shape) -> tuple[list[bytes], np.ndarray]:
@@ -227,18 +321,59 @@ def learn(
     What is gathered grows with the number of tasks and with the network; it is summed up
     as it streams in, block by block, first within one of 16 shares of the tasks, so that
     no task holds more than one network. The driver gets one.
+
+    Texts are read twice, to count words and to write their tokens, which the rounds read.
     """
-    source = documents.select(F.coalesce(column(documents, text).cast("string"), F.lit("")).alias("text"))
-    counts = stored(word_counts(source), "words")
+    learned = _learn(documents.select(F.lit(0).alias("key"), F.coalesce(column(documents, text).cast("string"), F.lit("")).alias("text")), shape, rounds)
+    return learned and learned[:2]
+
+
+def _learn(rows: DataFrame, shape: Shape | None = None, rounds: int = 2) -> tuple[Network, Tail, DataFrame] | None:
+    """Network and tail of rows (key, text), and the stored rows of ``encode_rows``."""
+    counts = stored(word_counts(rows), "words")
     seen = counts.agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("total")).first()
     if not seen.distinct:
         return None
     shape = shape or Shape.of(seen.distinct)
     top = _most_frequent(counts, shape)
     network = Network.start(shape, *_tokens(top, seen.total, shape))
+    encoded = stored(encode_rows(rows, network), "tokens")
     for _ in range(rounds):
-        network.weights = _average(source, network)
-    return network, _tail(counts, top, shape)
+        network.weights = _average(encoded, network)
+    return network, _tail(counts, top, shape), encoded
+
+
+_ENCODED = "row bigint, key {}, tokens binary, rare array<struct<word:string,rows:array<bigint>>>"
+
+
+def encode_rows(rows: DataFrame, network: Network) -> DataFrame:
+    """Rows (row, key, tokens, rare) of rows (key, text), to be stored before they are read.
+
+    ``tokens`` are those of the text with edges around them. ``rare`` of the first row of
+    a slice of rows lists the rare words of the whole slice with the rows they occur in,
+    once for each occurrence, so that a word is shuffled once a slice; that of others is empty.
+    """
+
+    def run(batches: Batches) -> Batches:
+        for texts, part in _slices(batches):
+            stream, cuts, rare, new = network.encoded(texts)
+            data = pa.py_buffer(stream.tobytes())
+            offsets = pa.array(cuts * stream.itemsize, pa.int32())
+            tokens = pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets.buffers()[1], data])
+            at = np.flatnonzero(rare >= 0)
+            at = at[np.argsort(rare[at], kind="stable")]
+            ids = part.column("row").to_numpy()[np.searchsorted(cuts, at, "right") - 1]
+            first = np.searchsorted(rare[at], np.arange(len(new) + 1))
+            words = pa.array(new, pa.binary()).cast(pa.string())
+            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int64()))
+            listed = pa.StructArray.from_arrays([words, lists], ["word", "rows"])
+            ends = pa.array([0] + [len(new)] * len(texts), pa.int32())
+            columns = [part.column("row"), part.column("key"), tokens, pa.ListArray.from_arrays(ends, listed)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "tokens", "rare"])
+
+    key = rows.schema["key"].dataType.simpleString()
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "key", "text")
+    return numbered.mapInArrow(run, _ENCODED.format(key))
 
 
 def fit(documents: DataFrame, text: str = "text", shape: Shape | None = None, rounds: int = 2) -> Network | None:
@@ -252,16 +387,16 @@ _BLOCK = 16_384
 _SUMS = "block int, share int, tokens bigint, sums binary"
 
 
-def _average(source: DataFrame, network: Network) -> list[np.ndarray]:
+def _average(encoded: DataFrame, network: Network) -> list[np.ndarray]:
     def run(batches: Batches) -> Batches:
         own = Network(network.shape, network.words, [w.copy() for w in network.weights])
         share = zlib.crc32(b"%d" % (TaskContext.get().partitionId())) % _SHARES
 
         def streams() -> Iterator[np.ndarray]:
             for batch in batches:
-                texts = batch.column("text")
+                tokens = batch.column("tokens")
                 for at in range(0, batch.num_rows, 256):
-                    yield np.concatenate([own.encode(t) for t in texts.slice(at, 256).to_pylist()])
+                    yield np.frombuffer(b"".join(tokens.slice(at, 256).to_pylist()), own.shape.kind)
 
         n = own.train(streams())
         flat = np.concatenate([w.ravel() for w in own.weights]).astype(np.float64) * n
@@ -278,7 +413,7 @@ def _average(source: DataFrame, network: Network) -> list[np.ndarray]:
         if sums:
             yield _batch(sums, share)
 
-    within = source.mapInArrow(run, _SUMS).repartition(64, "block", "share").mapInArrow(add, _SUMS)
+    within = encoded.select("tokens").mapInArrow(run, _SUMS).repartition(64, "block", "share").mapInArrow(add, _SUMS)
     total = within.repartition(16, "block").mapInArrow(add, _SUMS).orderBy("block").collect()
     flat = np.concatenate([np.frombuffer(r.sums, np.float64) / r.tokens for r in total])
     weights, at = [], 0
@@ -308,34 +443,35 @@ def pseudo_log_likelihood(
     With the ``masses`` of a tail, a rare word has the share of its bucket that a word of
     one occurrence has, otherwise all of it.
     """
-    streams = [network.encode(t) for t in texts]
-    stream = np.concatenate(streams)
-    owner = np.repeat(np.arange(len(texts)), [len(s) for s in streams])
+    stream, cuts, _, _ = network.encoded([t.encode("utf-8", "surrogatepass") for t in texts])
+    return _sums(stream, np.diff(cuts), network, batch, masses)
+
+
+def _sums(
+    stream: np.ndarray, sizes: np.ndarray, network: Network, batch: int = 32_768, masses: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``pseudo_log_likelihood`` of a stream of texts that have so many tokens, edges included."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     places = np.flatnonzero(stream < network.shape.tokens)
-    sums = np.zeros(len(texts))
+    sums = np.zeros(len(sizes))
     for first in range(0, len(places), batch):
         at = places[first : first + batch]
-        sums += np.bincount(owner[at], network.log_probabilities(stream, at).astype(np.float64), len(texts))
+        sums += np.bincount(owner[at], network.log_probabilities(stream, at).astype(np.float64), len(sizes))
     if masses is not None:
         low = network.shape.tokens - network.shape.unknown
         rare = places[stream[places] >= low]
-        sums -= np.bincount(owner[rare], np.log1p(masses)[stream[rare] - low], len(texts))
-    return np.bincount(owner[places], minlength=len(texts)), sums
+        sums -= np.bincount(owner[rare], np.log1p(masses)[stream[rare] - low], len(sizes))
+    return np.bincount(owner[places], minlength=len(sizes)), sums
 
 
-def _occurrences(rows: DataFrame, network: Network, tail: Tail) -> DataFrame:
-    """Rows (__id, __check, extra): the log of the count of each rare word of a row, summed up.
+def _occurrences(encoded: DataFrame, tail: Tail) -> DataFrame:
+    """Rows (row, extra): the log of the count of each rare word of a row, summed up.
 
-    Words with a token are taken out first, by a broadcast of the network's size. No other
-    word has more occurrences than the least frequent of them, so the join is even.
+    No rare word has more occurrences than the least frequent of the others, so the join
+    is even.
     """
-    known = rows.sparkSession.createDataFrame([(w.decode(),) for w in network.words], "word string")
-    words = rows.select(*_ID, F.explode(_words("text")).alias("word")).withColumn("word", F.translate("word", *_CASES))
-    rare = words.join(F.broadcast(known), "word", "left_anti")
-    return rare.join(tail.words, "word").groupBy(*_ID).agg(F.sum(F.ln("n")).alias("extra"))
-
-
-_ID = ["__id", "__check"]
+    counted = encoded.select(F.inline("rare")).join(tail.words, "word")
+    return counted.select(F.ln("n").alias("log"), F.explode("rows").alias("row")).groupBy("row").agg(F.sum("log").alias("extra"))
 
 
 def scored(
@@ -352,30 +488,42 @@ def scored(
     NULL keys are kept; a text without words (NULL, empty) has 0 tokens, log_prob 0 and
     mean NULL. Texts stay where they are read; rare words are shuffled, to meet their counts.
     """
-    if network is None:
-        network, tail = learn(documents, text) or (None, None)
-    masses = None if tail is None else tail.masses
-
-    def run(texts: list[str]) -> list[pa.Array]:
-        if network is None or not texts:
-            return [pa.array([0] * len(texts), pa.int64()), pa.array([0.0] * len(texts), pa.float64())]
-        n, sums = pseudo_log_likelihood(texts, network, masses=masses)
-        return [pa.array(n, pa.int64()), pa.array(sums, pa.float64())]
-
     rows = pairs(documents, key, text)
-    if tail is not None:
-        # 96 bits that tell rows apart; rows that share them are equal and have equal scores.
-        same = "key", "text", F.col("key").isNull()
-        rows = rows.select(F.xxhash64(*same).alias("__id"), F.hash(*same).alias("__check"), "key", "text")
-    found = map_texts(rows, run, "n_tokens bigint, log_prob double")
-    if tail is not None:
-        found = stored(found, "scores")
-        copies = found.groupBy(*_ID).agg(F.count(F.lit(1)).alias("copies"))
-        extra = _occurrences(rows, network, tail).join(copies, _ID).select(*_ID, (F.col("extra") / F.col("copies")).alias("extra"))
-        total = F.col("log_prob") + F.coalesce("extra", F.lit(0.0))
-        found = found.join(extra, _ID, "left").withColumn("log_prob", total)
+    encoded = None
+    if network is None:
+        network, tail, encoded = _learn(rows) or (None, None, None)
+    if network is None:
+        found = rows.select("key", F.lit(0).cast("bigint").alias("n_tokens"), F.lit(0.0).alias("log_prob"))
+    else:
+        if encoded is None:
+            encoded = stored(encode_rows(rows, network), "tokens")
+        found = _scores(encoded, network, tail)
     mean = F.try_divide("log_prob", "n_tokens").alias("mean_log_prob")
     return found.select(F.col("key").alias(key), "n_tokens", "log_prob", mean)
 
 
+def _scores(encoded: DataFrame, network: Network, tail: Tail | None) -> DataFrame:
+    """Rows (key, n_tokens, log_prob) of stored rows of ``encode_rows``."""
+    masses = None if tail is None else tail.masses
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                tokens = part.column("tokens").to_pylist()
+                stream = np.frombuffer(b"".join(tokens), network.shape.kind)
+                sizes = np.array([len(t) for t in tokens]) // stream.itemsize
+                n, sums = _sums(stream, sizes, network, masses=masses)
+                columns = [part.column("row"), part.column("key"), pa.array(n, pa.int64()), pa.array(sums, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "n_tokens", "log_prob"])
+
+    key = encoded.schema["key"].dataType.simpleString()
+    rows = encoded.select("row", "key", "tokens")
+    found = rows.mapInArrow(run, f"row bigint, key {key}, n_tokens bigint, log_prob double")
+    if tail is None:
+        return found.drop("row")
+    total = F.col("log_prob") + F.coalesce("extra", F.lit(0.0))
+    return found.join(_occurrences(encoded, tail), "row", "left").select("key", "n_tokens", total.alias("log_prob"))
+
+
 ship_by_value(__name__)

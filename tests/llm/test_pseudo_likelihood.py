@@ -109,7 +109,8 @@ def test_averaging_weighs_by_tokens(spark):
         own = P.Network(SMALL, net.words, [w.copy() for w in net.weights])
         tokens.append(own.train(iter([own.encode(text)])))
         weights.append(own.weights)
-    for got, a, b in zip(P._average(df, net), *weights):
+    encoded = P.encode_rows(df.selectExpr("0 AS key", "text"), net)
+    for got, a, b in zip(P._average(encoded, net), *weights):
         np.testing.assert_allclose(got, (a * tokens[0] + b * tokens[1]) / sum(tokens), rtol=1e-4, atol=1e-6)
 
 
