@@ -37,7 +37,8 @@ from .operators.scoring import (
 from .operators.selection import find_sample, first_n, spread
 from .plans.evaluation import run_evaluation
 from .session import build_session
-from .sources.reports import write_report
+from .sources.reports import read_report, report_runs, write_report
+from .sources.requests import pending_requests, read_requests, write_requests
 from .sources.samples import conform_samples, read_samples, write_samples
 from .streaming.scoring import read_sample_stream, read_summary, start_scoring, start_summary
 
@@ -61,7 +62,11 @@ __all__ = [
     "label_precision_recall_f1",
     "metric_names",
     "passed_rows",
+    "pending_requests",
     "read_replies",
+    "read_report",
+    "read_requests",
+    "report_runs",
     "read_sample_stream",
     "read_samples",
     "read_summary",
@@ -86,5 +91,6 @@ __all__ = [
     "with_rouge_l",
     "with_token_f1",
     "write_report",
+    "write_requests",
     "write_samples",
 ]

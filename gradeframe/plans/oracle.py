@@ -401,6 +401,12 @@ ORACLE_SQL: dict[str, str] = {
         _RAW,
     ),
     "judge_requests": _with(f"SELECT id, {_REQUEST} AS request FROM samples", _RAW),
+    "pending_requests": _with(
+        f"SELECT id, {_REQUEST} AS request FROM samples "
+        "WHERE id NOT IN (SELECT id FROM verdicts WHERE status = 'answered')",
+        _RAW,
+        _REPLIES,
+    ),
     "judge_replies": _with(
         "SELECT id, round(score, 6) AS score, reason, status FROM verdicts", _RAW, _REPLIES
     ),

@@ -15,6 +15,8 @@ from ..functions.multisets import intersection_size
 from ..functions.text import ngrams, normalize_text, tokenize
 from ..operators import aggregates, corpus, joins, judge, report, scoring, selection
 from ..session import shared_folder
+from ..sources.reports import read_report
+from ..sources.requests import read_requests, write_requests
 from ..sources.samples import read_samples, write_samples
 from ..streaming.scoring import read_sample_stream, read_summary, start_scoring, start_summary
 from . import tables
@@ -320,6 +322,13 @@ def judge_requests(spark: SparkSession, folder: str) -> DataFrame:
     return judge.judge_requests(tables.samples(spark, folder))
 
 
+def pending_requests(spark: SparkSession, folder: str) -> DataFrame:
+    path = _scratch(spark, "requests")
+    asked = judge.judge_requests(tables.samples(spark, folder))
+    write_requests(asked, path, tables.reply_records(spark, folder), rows_per_file=1000)
+    return read_requests(spark, path)
+
+
 def judge_replies(spark: SparkSession, folder: str) -> DataFrame:
     replies = judge.read_replies(tables.reply_records(spark, folder))
     return replies.select("id", _six("score"), "reason", "status")
@@ -337,12 +346,8 @@ def report_results(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_report(spark: SparkSession, folder: str) -> DataFrame:
     path = _scratch(spark, "run")
-    run_evaluation(spark, tables.samples(spark, folder), path)
-    schema = (
-        "sample_id string, task_type string, passed boolean, scores map<string, double>, "
-        "reference string, model_output string"
-    )
-    return _flat_report(spark.read.schema(schema).json(f"{path}/report/results"))
+    run_evaluation(spark, tables.samples(spark, folder), path, run="stored")
+    return _flat_report(read_report(spark, f"{path}/report", "stored")[0])
 
 
 def _flat_report(rows: DataFrame) -> DataFrame:
@@ -430,6 +435,7 @@ QUERIES: dict[str, Query] = {
         apply_judge,
         apply_batch_judge,
         judge_requests,
+        pending_requests,
         judge_replies,
         attach_verdicts,
         report_results,
