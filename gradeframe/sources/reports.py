@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.report import report_results, report_statistics
-from ..operators.scoring import METRICS
 
 _RESULTS = (
     "sample_id string, task_type string, passed boolean, scores map<string, double>, "
@@ -18,7 +17,7 @@ _RESULTS = (
 )
 _STATISTICS = (
     "generated_at string, total bigint, passed bigint, pass_rate double, "
-    f"avg_scores struct<{', '.join(f'{m}:double' for m in METRICS)}>"
+    "avg_scores map<string, double>"
 )
 _MANIFEST = "results bigint, statistics bigint, finished_at string"
 
