@@ -34,6 +34,8 @@ SENTENCES = {
     "apache-header": "licensed under the apache license version 2 0 the license",
     "apache-comply": "you may not use this file except in compliance with the license",
     "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
+    "apache-at": "you may obtain a copy of the license at",
+    "apache-url": "http www apache org licenses license 2 0",
     "apache-basis": "unless required by applicable law or agreed to in writing software distributed under the license "
     "is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache-see": "see the license for the specific language governing permissions and limitations under the license",
@@ -48,6 +50,23 @@ SENTENCES = {
     "option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even "
     "the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl-program": "this program is free software",
+    "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as "
+    "published by the free software foundation",
+    "gnu-either-2": "either version 2 of the license or at your option any later version",
+    "gnu-either-2.1": "either version 2 1 of the license or at your option any later version",
+    "gnu-either-3": "either version 3 of the license or at your option any later version",
+    "gpl-useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gnu-even": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-library": "this library is free software",
+    "lgpl-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license "
+    "as published by the free software foundation",
+    "lgpl-free-3": "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+    "lesser general public license as published by the free software foundation either version 3 of the license or at "
+    "your option any later version",
+    "agpl-free-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+    "affero general public license as published by the free software foundation either version 3 of the license or at "
+    "your option any later version",
     "gpl-details": "see the gnu general public license for more details",
     "gpl-received": "you should have received a copy of the gnu general public license along with this program",
     "gpl-work-3": "this work is licensed under the gnu general public license version 3",
@@ -62,6 +81,15 @@ SENTENCES = {
     "and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
     "promote products derived from this software without specific prior written permission",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "cc0": "to the extent possible under law the author s have dedicated all copyright and related and neighboring "
+    "rights to this software to the public domain worldwide",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-liable": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+    "software and accompanying documentation covered by this license the software to use reproduce display distribute "
+    "execute and transmit the software and to prepare derivative works of the software and to permit third parties to "
+    "whom the software is furnished to do so all subject to the following",
     "mpl-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "cc-by": "licensed under cc by 4 0",
     "cc-by-long": "this work is licensed under a creative commons attribution 4 0 international license",
@@ -82,21 +110,34 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("mit-spdx",)),
     ("ISC", ("isc-grant",)),
     ("Apache-2.0", ("apache-header", "apache-comply", "apache-copy", "apache-basis", "apache-see")),
+    ("Apache-2.0", ("apache-header", "apache-comply", "apache-at", "apache-url", "apache-basis", "apache-see")),
     ("Apache-2.0", ("apache-header", "apache-comply")),
     ("Apache-2.0", ("apache-licensed",)),
     ("Apache-2.0", ("apache-project",)),
     ("Apache-2.0", ("apache-spdx",)),
     ("GPL-3.0", ("gpl-free-3", "gpl-hope", "gpl-details", "gpl-received")),
     ("GPL-3.0", ("gpl-free-3", "gpl-hope")),
+    ("GPL-3.0", ("gpl-free-3", "gpl-useful", "gnu-even")),
+    ("GPL-3.0", ("gpl-program", "gpl-terms", "gnu-either-3")),
     ("GPL-3.0", ("gpl-work-3",)),
     ("GPL-3.0", ("gpl-licensed-3",)),
     ("GPL-3.0", ("gpl-spdx-3",)),
     ("GPL-2.0", ("gpl-free-2", "gpl-hope", "gpl-details", "gpl-received")),
     ("GPL-2.0", ("gpl-free-2", "gpl-hope")),
+    ("GPL-2.0", ("gpl-free-2", "gpl-useful", "gnu-even")),
+    ("GPL-2.0", ("gpl-program", "gpl-terms", "gnu-either-2")),
     ("GPL-2.0", ("gpl-licensed-2",)),
+    ("LGPL-2.1", ("lgpl-library", "lgpl-terms", "gnu-either-2.1")),
+    ("LGPL-3.0", ("lgpl-library", "lgpl-terms", "gnu-either-3")),
+    ("LGPL-3.0", ("lgpl-free-3",)),
+    ("AGPL-3.0", ("agpl-free-3",)),
     ("BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary")),
     ("MPL-2.0", ("mpl-terms",)),
+    ("Unlicense", ("unlicense",)),
+    ("CC0-1.0", ("cc0",)),
+    ("Zlib", ("zlib-as-is", "zlib-liable")),
+    ("BSL-1.0", ("boost-grant",)),
     ("CC-BY-4.0", ("cc-by",)),
     ("CC-BY-4.0", ("cc-by-long",)),
     ("CC-BY-SA-4.0", ("cc-by-sa",)),
@@ -109,10 +150,13 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 INCLUDES = (("BSD-3-Clause", "BSD-2-Clause"),)
 
 # Every known sentence has one of these, so that others need not be normalised.
-TRIGGER = r"(?i)licen[sc]e|permission|warrant|conditions|liability|free software|redistribut|copyright"
-# A sentence ends at a mark before white space, and at the end of a line (as in notices) or
-# only of a paragraph (as in wrapped texts); both readings are tried.
-ENDS = (r"[.!?;]+(?:[ \t\r\n]|$)|\n", r"[.!?;]+(?:[ \t\r\n]|$)|\n[ \t\r]*\n")
+TRIGGER = r"(?i)licen[sc]e|permission|warrant|conditions|liab|free software|redistribut|copyright|public domain"
+# What a line starts with before its sentence: comment leaders, then the number of a list.
+LEADERS = r"(^|\n)[ \t]*(?:#+|//+!?|/\*+!?|\*+/?|--+|;+|%+|<!--)?[ \t]*(?:(?:[0-9]{1,2}[.)]|\([0-9a-z]{1,2}\))[ \t]+)?"
+# A sentence ends at a mark before white space, at a colon that ends a line, and at the end
+# of a line (as in notices) or only of a paragraph (as in wrapped texts); both readings are
+# tried.
+ENDS = (r"[.!?;]+(?:[ \t\r\n]|$)|\n", r"[.!?;]+(?:[ \t\r\n]|$)|:[ \t\r]*\n|\n[ \t\r]*\n")
 _NOT_WORD = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 assert all(re.search(TRIGGER, s) for s in SENTENCES.values())
@@ -125,9 +169,12 @@ def normalised(sentence: Column) -> Column:
 
 
 def identifiers(text: Column, ends: str) -> Column:
-    """ARRAY<STRING>: the identifiers of the known sentences of a text, in order."""
+    """ARRAY<STRING>: the identifiers of the known sentences of a text, in order.
+
+    Lines count without the comment leader or list number that they start with."""
     known = F.create_map(*[F.lit(v) for name, sentence in SENTENCES.items() for v in (sentence, name)])
-    likely = F.filter(F.split(text, ends), lambda s: F.regexp_like(s, F.lit(TRIGGER)))
+    bare = F.regexp_replace(text, LEADERS, "$1")
+    likely = F.filter(F.split(bare, ends), lambda s: F.regexp_like(s, F.lit(TRIGGER)))
     return F.array_compact(F.transform(likely, lambda s: F.try_element_at(known, normalised(s))))
 
 

@@ -105,9 +105,11 @@ FROM docs d JOIN rates r ON r.source IS NOT DISTINCT FROM d.source
 def _licenses() -> str:
     known = ", ".join(f"'{sentence}': '{name}'" for name, sentence in licenses.SENTENCES.items())
 
+    bare = rf"regexp_replace(coalesce(text, ''), '{licenses.LEADERS}', '\1', 'g')"
+
     def ids(ends: str) -> str:
         plain = (
-            f"list_transform(string_split_regex(coalesce(text, ''), '{ends}'), lambda s: trim(regexp_replace("
+            f"list_transform(string_split_regex({bare}, '{ends}'), lambda s: trim(regexp_replace("
             rf"{_lowered('s')}, '[^a-z0-9\x{{80}}-\x{{10FFFF}}]+', ' ', 'g')))"
         )
         return f"list_filter(list_transform({plain}, lambda s: MAP {{{known}}}[s]), lambda x: x IS NOT NULL)"

@@ -29,7 +29,7 @@ def slow(text):
     known = {v: k for k, v in licenses.SENTENCES.items()}
     readings = []
     for ends in licenses.ENDS:
-        pieces = re.split(ends, text or "")
+        pieces = re.split(ends, re.sub(licenses.LEADERS, r"\1", text or ""))
         lower = [p.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for p in pieces]
         plain = [re.sub("[^a-z0-9\x80-\U0010ffff]+", " ", p).strip(" ") for p in lower]
         readings.append([known[p] for p in plain if p in known])
@@ -73,6 +73,53 @@ def test_notices_and_texts(spark):
     assert got[7][1] == ["Apache-2.0", "MIT"] and got[8] == got[9] == ([], [])
 
 
+APACHE_HEADER = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+GPL_2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL_3 = GPL_2.replace("software; you", "software: you").replace("Foundation; either version 2", "Foundation, either version 3")
+LGPL = GPL_2.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 2", "version 2.1")
+AGPL = GPL_3.replace("GNU General", "GNU Affero General")
+HEADERS = {"Apache-2.0": APACHE_HEADER, "BSD-2-Clause": BSD, "GPL-2.0": GPL_2, "GPL-3.0": GPL_3, "LGPL-2.1": LGPL, "AGPL-3.0": AGPL, "MIT": MIT}
+
+
+def test_headers_in_comments(spark):
+    leaders = ["", "# ", "// ", " * ", "-- ", ";; ", "% "]
+    cases = [
+        (name, "\n".join((lead + line).rstrip() for line in text.split("\n"))) for name, text in HEADERS.items() for lead in leaders
+    ]
+    cases += [(n, f"/*\n{t}\n*/\nint main() {{}}") for n, t in HEADERS.items()]
+    got = scan(spark, [text for _, text in cases])
+    for i, (name, text) in enumerate(cases):
+        assert got[i] == slow(text) and got[i][1] == [name], text
+    assert got[0][0] == ["apache-header", "apache-comply", "apache-at", "apache-url", "apache-basis", "apache-see"]
+
+
 def test_rules_need_their_sentences_in_order(spark):
     grant, notice = licenses.SENTENCES["mit-grant"], licenses.SENTENCES["mit-notice"]
     bsd = [licenses.SENTENCES[f"bsd-{k}"] for k in ("use", "source", "binary", "names")]
