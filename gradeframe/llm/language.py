@@ -71,7 +71,11 @@ def split_words(texts: list[str]) -> Words:
     sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
     offsets = np.concatenate([[0], np.cumsum(sizes + 1)])
     points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = np.where(points < _PLANE, _LETTER[np.minimum(points, _PLANE - 1)], True)
+    letter = _LETTER[np.minimum(points, _PLANE - 1)]
+    beyond = np.flatnonzero(points >= _PLANE)
+    if len(beyond):
+        rare, which = np.unique(points[beyond], return_inverse=True)
+        letter[beyond] = np.fromiter((chr(i).isalpha() for i in rare), np.bool_, len(rare))[which]
     code = np.where(letter, points, 0).astype(np.uint32)
     at = np.flatnonzero(letter)
     if not len(at):
@@ -85,7 +89,9 @@ def split_words(texts: list[str]) -> Words:
     start = at[first]
     end = at[np.append(first[1:], len(at)) - 1] + 1
     text = np.searchsorted(offsets, start, "right") - 1
-    script = np.where(points[start] < _PLANE, _SCRIPT[np.minimum(points[start], _PLANE - 1)], len(SCRIPTS) - 1)
+    # Beyond the first plane, the second and third hold ideographs, the others letters of script 0.
+    ideograph = (points[start] >= 2 * _PLANE) & (points[start] < 4 * _PLANE)
+    script = np.where(points[start] < _PLANE, _SCRIPT[np.minimum(points[start], _PLANE - 1)], np.where(ideograph, len(SCRIPTS) - 1, 0))
     return Words(
         (mixed & np.uint32(_BUCKETS - 1)).astype(np.int64), first, start - offsets[text], end - offsets[text], text, script
     )

@@ -30,7 +30,7 @@ def slow_words(text):
 
 def test_words_and_offsets():
     rng = random.Random(2)
-    texts = ["".join(rng.choice("ab éİß1 \n中я-") for _ in range(rng.randint(0, 40))) for _ in range(200)] + ["", "x"]
+    texts = ["".join(rng.choice("ab éİß1 \n中я-😀𝟙𠀋𝐀") for _ in range(rng.randint(0, 40))) for _ in range(200)] + ["", "x"]
     words = L.split_words(texts)
     for i, text in enumerate(texts):
         own = words.text == i
