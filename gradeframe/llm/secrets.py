@@ -53,7 +53,7 @@ def find_parts(text: str) -> list[tuple[str, int, int]]:
 
     Sure ones are leftmost, non-overlapping matches per kind. A weak secret is a value of
     under 12 characters assigned to a key of the same names (``short``), or a long token of
-    mixed letters and digits (``opaque``); they are no parts where a sure one lies.
+    mixed letters and digits (``opaque``); one that lies wholly inside a sure one is no part.
     """
     assigned = list(_ASSIGN.finditer(text)) if "=" in text or ":" in text else []
     found = [("assign", *m.span()) for m in assigned if len(m[2]) >= 12]
@@ -64,16 +64,15 @@ def find_parts(text: str) -> list[tuple[str, int, int]]:
     if "=" in text or ":" in text:
         weak += [("user", *m.span()) for m in _USER.finditer(text)]
         weak += [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)]
-    if not weak:
-        return found
+    if not weak or not found:
+        return found + weak
     taken = sorted((start, end) for _, start, end in found)
-    kept, i = [], 0
-    reach = 0
+    kept, i, reach = [], 0, 0
     for kind, start, end in sorted(weak, key=lambda p: p[1:]):
-        while i < len(taken) and taken[i][0] < end:
+        while i < len(taken) and taken[i][0] <= start:
             reach = max(reach, taken[i][1])
             i += 1
-        if reach <= start:
+        if reach < end:
             kept.append((kind, start, end))
     return found + kept
 
@@ -110,7 +109,8 @@ def linked_parts(parts: DataFrame, row: str = "row", within: int = 200) -> DataF
 
     An interval join: a weak part counts if a part of another role lies within ``within``
     characters of it in the same scope (text between blank lines) of the same row. A weak
-    identifier or endpoint needs a secret, a weak secret needs either of the others.
+    identifier or endpoint needs a secret, a weak secret needs either of the others, or to
+    overlap a sure secret, which is then a piece of it.
     Intervals meet in bins of ``within`` characters, so that a very long text with very
     many parts is spread over tasks, and a bin holds few.
     """
@@ -127,15 +127,23 @@ def linked_parts(parts: DataFrame, row: str = "row", within: int = 200) -> DataF
         F.col(row).alias("o_row"),
         F.col("scope").alias("o_scope"),
         F.col("role").alias("o_role"),
+        F.col("sure").alias("o_sure"),
         F.col("start").alias("o_start"),
         F.col("end").alias("o_end"),
         bins(F.col("start"), F.col("end")).alias("o_bin"),
     )
+    piece = (
+        (weak["role"] == "secret")
+        & (other["o_role"] == "secret")
+        & other["o_sure"]
+        & (other["o_start"] < weak["end"])
+        & (other["o_end"] > weak["start"])
+    )
     meet = (
         (weak[row] == other["o_row"])
         & (weak["scope"] == other["o_scope"])
         & (weak["bin"] == other["o_bin"])
-        & ((weak["role"] == "secret") != (other["o_role"] == "secret"))
+        & (((weak["role"] == "secret") != (other["o_role"] == "secret")) | piece)
         & (other["o_start"] <= weak["end"] + within)
         & (other["o_end"] >= weak["start"] - within)
     )

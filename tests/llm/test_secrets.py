@@ -81,10 +81,13 @@ def brute_links(parts, within):
         if not sure
         and any(
             s == scope
-            and (secrets.ROLES[k] == "secret") != (secrets.ROLES[kind] == "secret")
+            and (
+                (secrets.ROLES[k] == "secret") != (secrets.ROLES[kind] == "secret")
+                or secrets.ROLES[kind] == "secret" and other_sure and a < end and b > start
+            )
             and a <= end + within
             and b >= start - within
-            for k, _, s, a, b in parts
+            for k, other_sure, s, a, b in parts
         )
     }
 
@@ -119,6 +122,17 @@ def test_nulls_repeats_and_masks(spark):
     assert secrets.redacted(df.filter("false")).count() == secrets.secret_spans(df.filter("false")).count() == 0
 
 
+def test_a_weak_secret_around_a_sure_one_goes_whole(spark):
+    token = "Zx9Kq_deadbeef01234567deadbeef_Q7wTail"
+    link = "https://db.example.org/x?token=abcdefghijklmnop&user=a"
+    texts = [f"a {token} b", f"go {link} with password: hunter2 now", "hex 0123456789abcdef0123 only"]
+    df = documents(spark, texts)
+    got = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert got[0] == "a [SECRET] b"
+    assert "hunter2" not in got[1] and "abcdefghijklmnop" not in got[1] and got[1].startswith("go [SECRET] with ")
+    assert got[2] == "hex [SECRET] only"
+
+
 def test_overlapping_spans_are_one_mask(spark):
     df = documents(spark, ["a token=0123456789abcdef0123 b"])
     assert secrets.redacted(df).first().text == "a [SECRET] b"
