@@ -92,17 +92,17 @@ def rarest_terms(documents: DataFrame, phrases: Phrases, lists: int = 2) -> Data
     return stored(ranked.select("window", "rank", "t.term", "t.offset"), "rarest")
 
 
-def build_index(documents: DataFrame, rarest: DataFrame, length: int) -> DataFrame:
+def build_index(documents: DataFrame, rarest: DataFrame, length: int, slop: int = 0) -> DataFrame:
     """The stored index: a posting (term, key, print, position) for every place of a term.
 
     It holds the terms that searches start from. A posting of a window's rarest term also
-    has its surroundings, ``length - 1`` words either way from word ``left`` on, which a
-    match is checked against without going back to the text.
+    has its surroundings, ``length - 1`` words either way from word ``left`` on (and
+    ``slop`` more), which a match is checked against without going back to the text.
     """
     terms = rarest.groupBy("term").agg((F.min("rank") == 0).alias("leads"))
     said = documents.select(*DOC, words(F.col("text")).alias("w")).select(*DOC, "w", F.posexplode("w").alias("position", "word"))
-    left = F.greatest(F.col("position") - F.lit(length - 1), F.lit(0))
-    around = F.slice("w", left + 1, 2 * length - 1)
+    left = F.greatest(F.col("position") - F.lit(length - 1 + slop), F.lit(0))
+    around = F.slice("w", left + 1, 2 * (length + slop) - 1)
     postings = said.select(term(F.col("word")).alias("term"), *DOC, "position", left.alias("left"), around.alias("around"))
     found = postings.join(small(terms, "index-terms"), "term")
     return stored(
@@ -116,8 +116,10 @@ def matches(index: DataFrame, rarest: DataFrame, phrases: Phrases, slop: int = 0
 
     Each posting, less the offset of its term, says where its window would start. The list
     of the rarest term is intersected with those of the next ones. ``exact`` matches have
-    the very words of the window. With ``slop``, the other terms may be up to that many
-    words off, and ``distance`` is the largest such shift: proximity matches.
+    the very words of the window. With ``slop`` (the index must be built with it), every
+    other word of the window may stand up to that many words off its place, and
+    ``distance`` is the largest such shift: proximity matches. A word that is missing that
+    near is no match. Places are those that the rarest term gives.
     """
     placed = index.join(small(rarest, "searches"), "term").withColumn("start", F.col("position") - F.col("offset"))
     # Rows for a window are needed once for every lead posting, and are at most ``length`` words.
@@ -126,7 +128,10 @@ def matches(index: DataFrame, rarest: DataFrame, phrases: Phrases, slop: int = 0
     here = F.slice("around", F.greatest(F.col("start") - F.col("left") + 1, F.lit(1)), F.size("words"))
     exact = (F.col("start") >= F.col("left")) & (here == F.col("words"))
     spot = ["window", *DOC, "start"]
-    found = leads.select(*spot, F.size("words").alias("length"), exact.alias("exact"), F.lit(0).alias("distance"))
+    distance = _distance(slop) if slop else F.lit(0)
+    found = leads.select(*spot, F.size("words").alias("length"), exact.alias("exact"), distance.alias("distance"))
+    if slop:
+        found = found.filter(F.col("distance").isNotNull())
     for rank in range(1, lists):
         near = F.sequence(F.col("start") - F.lit(slop), F.col("start") + F.lit(slop)) if slop else F.array("start")
         other = placed.filter(F.col("rank") == rank).select(
@@ -144,6 +149,22 @@ def matches(index: DataFrame, rarest: DataFrame, phrases: Phrases, slop: int = 0
     return found
 
 
+def _distance(slop: int) -> Column:
+    """How far the words of a window are off their places at most, each at its nearest
+    occurrence; NULL if one is more than ``slop`` words off."""
+
+    def shift(i: Column) -> Column:
+        here = F.col("start") - F.col("left") + i
+        hits = F.filter(
+            F.sequence(F.lit(-slop), F.lit(slop)),
+            lambda d: F.coalesce(F.get("around", here + d) == F.get("words", i), F.lit(False)),
+        )
+        return F.array_min(F.transform(hits, F.abs))
+
+    shifts = F.transform(F.sequence(F.lit(0), F.size("words") - 1), shift)
+    return F.when(~F.exists(shifts, lambda s: s.isNull()), F.array_max(shifts))
+
+
 def _exact_matches(
     docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, length: int
 ) -> tuple[DataFrame, Phrases]:

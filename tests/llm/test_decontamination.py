@@ -91,19 +91,62 @@ def test_nulls_repeated_rows_and_empty_tables(spark):
     assert D.uncontaminated(df, items.filter("false")).count() == 5
 
 
-def test_proximity(spark):
+def proximity(spark, texts, windows, leads, slop, length):
+    """(text, window, start, distance, exact) of proximity matches around the given lead terms."""
+    docs = D._documents(documents(spark, texts), "doc_id", "text")
+    phrases = D.item_windows(benchmark(spark, windows), length=length)
+    rarest = leads(docs, phrases)
+    index = D.build_index(docs, rarest, length, slop)
+    found = D.matches(index, rarest, phrases, slop=slop)
+    said = phrases.windows.select("window", "words")
+    return {(r.key, tuple(r.words), r.start, r.distance, r.exact) for r in found.join(said, "window").collect()}
+
+
+def slow_proximity(text, window, lead, slop):
+    """Each place that an occurrence of word ``lead`` of the window gives, by the definition."""
+    said, found = words(text), set()
+    for at, word in enumerate(said):
+        if word == window[lead]:
+            start, shifts = at - lead, []
+            for i, wanted in enumerate(window):
+                near = [abs(j - start - i) for j, w in enumerate(said) if w == wanted and abs(j - start - i) <= slop]
+                shifts.append(min(near, default=None))
+            if None not in shifts:
+                exact = start >= 0 and tuple(said[start : start + len(window)]) == window
+                found.add((start, max(shifts), exact))
+    return found
+
+
+def test_proximity_needs_every_word(spark):
     items = [(1, "alpha beta gamma delta")]
     texts = ["alpha beta gamma delta", "alpha big beta gamma delta", "alpha " + "x " * 9 + "beta gamma delta", "beta alpha"]
-    docs = D._documents(documents(spark, texts), "doc_id", "text")
-    phrases = D.item_windows(benchmark(spark, items))
-    rarest = D.rarest_terms(docs, phrases)
-    index = D.build_index(docs, rarest, 10)
-    found = {(r.key, r.exact, r.distance) for r in D.matches(index, rarest, phrases, slop=2).collect()}
-    # The rarest terms are delta and gamma, which stay together in the first three texts.
-    assert found == {(0, True, 0), (1, False, 0), (2, False, 0)}
-    first = spark.createDataFrame([(0, 0, "alpha", 0), (0, 1, "beta", 1)], "window bigint, rank int, term string, offset int")
-    found = {(r.key, r.exact, r.distance) for r in D.matches(D.build_index(docs, first, 10), first, phrases, slop=2).collect()}
-    assert found == {(0, True, 0), (1, False, 1), (3, False, 2)}
+    got = proximity(spark, texts, items, D.rarest_terms, 2, 10)
+    assert {(key, distance, exact) for key, _, _, distance, exact in got} == {(0, 0, True), (1, 1, False)}
+    far = ["alpha beta gamma alpha beta gamma alpha beta gamma", "zeta alpha beta gamma kappa"]
+    got = proximity(spark, far, [(1, far[1])], D.rarest_terms, 2, 10)
+    assert {key for key, *_ in got} == {1}
+
+
+def test_proximity_by_brute_force(spark):
+    rng = random.Random(8)
+    names = ["ka", "lo", "mi", "nu", "pe", "ra"]
+    windows = [tuple(rng.sample(names, rng.randint(2, 4))) for _ in range(12)]
+    windows = sorted(set(windows))
+    texts = [" ".join(rng.choices([*names, "x"], k=rng.randint(0, 25))) for _ in range(60)]
+    for slop in (1, 3):
+        seen = {}
+
+        def leads(docs, phrases):
+            rarest = D.rarest_terms(docs, phrases)
+            said = {r.window: tuple(r.words) for r in phrases.windows.collect()}
+            seen.update({said[r.window]: r.offset for r in rarest.filter("rank = 0").collect()})
+            return rarest
+
+        got = proximity(spark, texts, [(i, " ".join(w)) for i, w in enumerate(windows)], leads, slop, 4)
+        expected = {
+            (k, w, *hit) for w in windows if w in seen for k, t in enumerate(texts) for hit in slow_proximity(t, w, seen[w], slop)
+        }
+        assert got == expected and any(not exact for *_, exact in got)
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
