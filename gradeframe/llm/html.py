@@ -51,6 +51,13 @@ _DROPPED_WORDS = re.compile(
 _WRAPPERS = re.compile(
     r"(?:.*[_-])?(?:has|have|no|not|with|without|hide)[_-].*|layout[_-].*|.*[_-](?:layout|page|body)", re.I
 )
+# Words of that list that a name of several words may hold without being such a part ("market-share"),
+# unless it ends in the second kind ("legal-notice").
+_DOUBTFUL_WORDS = re.compile(r"notices?|alert|menu|share|sharing|social|related|recommend\w*", re.I)
+_SURE_ENDS = re.compile(r".*[_-](?:notices?|alert|menu)", re.I)
+_DOUBTFUL, _SURE = 1, 2
+_SENTENCE_ENDS = frozenset(".!?:;\u2026\u3002\"'\u201d\u2019)")
+_RIGHTS = re.compile(r"\W*(?:\u00a9|\(c\)|copyright\b)|.*\ball rights reserved\b", re.I | re.S)
 # What may stay open in a head.
 _HEAD = frozenset("base link meta title style script noscript template head".split())
 # An unwanted element with less plain text than this is never the article.
@@ -75,20 +82,32 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
+def _unwanted(tag: str, attributes: str, inside_article: bool) -> int:
+    """Whether an element is no part of an article: 0, ``_DOUBTFUL`` or ``_SURE``."""
     if tag in _DROPPED or tag == "header" and not inside_article:
-        return True
+        return _SURE
     if tag in _EXEMPT or not attributes:
-        return False
+        return 0
+    found = 0
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return _SURE
         if name == "role" and value.lower() in _DROPPED_ROLES:
-            return True
-        if name in ("class", "id") and any(_DROPPED_WORDS.search(w) and not _WRAPPERS.fullmatch(w) for w in value.split()):
-            return True
-    return False
+            return _SURE
+        # The id of a heading is made of its words.
+        if name == "class" or name == "id" and tag not in _HEADINGS:
+            found = max([found, *map(_judged, value.split())])
+    return found
+
+
+def _judged(name: str) -> int:
+    """What one name of a class or id says, as in ``_unwanted``."""
+    words = [w.strip("_-") for w in _DROPPED_WORDS.findall(name)]
+    if not words or _WRAPPERS.fullmatch(name):
+        return 0
+    doubtful = name not in words and not _SURE_ENDS.fullmatch(name) and all(map(_DOUBTFUL_WORDS.fullmatch, words))
+    return _DOUBTFUL if doubtful else _SURE
 
 
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?true)", re.I)
@@ -96,12 +115,18 @@ _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?tru
 
 class Dropped:
     """An unwanted element that its class, role or being a form makes one, or one inside it:
-    where it starts, its plain text, and what says that an article is in it."""
+    where it starts, its plain text and that of links, how the plain text ends, and what
+    says that an article is in it."""
+
+    __slots__ = ("at", "doubtful", "chars", "linked", "marks", "ending")
 
-    __slots__ = ("at", "chars", "marks")
+    def __init__(self, at: int, doubtful: bool, chars: int, linked: int, marks: int) -> None:
+        self.at, self.doubtful, self.ending = at, doubtful, ""
+        self.chars, self.linked, self.marks = -chars, -linked, -marks
 
-    def __init__(self, at: int, chars: int, marks: int) -> None:
-        self.at, self.chars, self.marks = at, -chars, -marks
+    def is_prose(self) -> bool:
+        """Mostly plain text, that is long or ends like a sentence."""
+        return 2 * self.linked < self.chars and (self.chars >= _LEAST or self.ending in _SENTENCE_ENDS)
 
 
 def parse(page: str) -> tuple[list[Node], list[str | None]]:
@@ -111,7 +136,9 @@ def parse(page: str) -> tuple[list[Node], list[str | None]]:
     end where HTML lets them, at the latest with the page. A form, or an element unwanted
     by class, id or role, stays if it holds most of the page's plain text (that of no link
     and no unwanted element of another kind) and either little is left
-    without it, or only inside it there is an ``article``, ``main`` or ``h1``.
+    without it, or only inside it there is an ``article``, ``main`` or ``h1``. An element
+    whose name only contains such a word among others, as "related-work" does, stays if it
+    is prose.
     """
     nodes, runs, dropped, chars, marks = _parse(page, frozenset())
     if not dropped:
@@ -121,7 +148,11 @@ def parse(page: str) -> tuple[list[Node], list[str | None]]:
     spared = frozenset(
         d.at
         for d in dropped
-        if 2 * d.chars > chars and d.chars >= _LEAST and (kept < _LEAST or d.marks and not kept_marks)
+        if d.doubtful
+        and d.is_prose()
+        or 2 * d.chars > chars
+        and d.chars >= _LEAST
+        and (kept < _LEAST or d.marks and not kept_marks)
     )
     return _parse(page, spared)[:2] if spared else (nodes, runs)
 
@@ -134,30 +165,34 @@ def _parse(page: str, spared: frozenset[int]) -> tuple[list[Node], list[str | No
     also what was dropped by class, role or as a form, and the plain text and marks of all."""
     dropped: list[Dropped] = []
     open_dropped: list[tuple[int, Dropped]] = []
-    chars = marks = 0
+    chars = linked = marks = 0
+    ending = ""  # the last plain character
+    in_link = False  # whether a link is what bars
     barred = 0  # how deep the stack was when a link or an element that always goes began
     nodes, runs = [Node("html", None, 0)], []
     stack, at, size = [nodes[0]], 0, len(page)
     skipped = 0  # how deep the stack was when an unwanted element began, 0 outside
-    articles = 0
+    articles = 0  # open articles and mains
 
     def close(depth: int) -> None:
-        nonlocal skipped, articles, barred
+        nonlocal skipped, articles, barred, in_link
         while len(stack) > depth:
             node = stack.pop()
             node.last = len(runs)
-            if node.tag == "article":
+            if node.tag in ("article", "main"):
                 articles -= 1
             if node.tag in _BLOCK and not skipped:
                 runs.append(None)
             if skipped and len(stack) < skipped:
                 skipped = 0
             if barred and len(stack) < barred:
-                barred = 0
+                barred, in_link = 0, False
             while open_dropped and len(stack) < open_dropped[-1][0]:
                 d = open_dropped.pop()[1]
                 d.chars += chars
+                d.linked += linked
                 d.marks += marks
+                d.ending = ending if d.chars else ""
 
     while at < size:
         m = _TOKEN.search(page, at)
@@ -166,8 +201,12 @@ def _parse(page: str, spared: frozenset[int]) -> tuple[list[Node], list[str | No
             close(len(stack) - 1)
         if stop > at and not skipped:
             runs.append(html.unescape(page[at:stop]))
-        if stop > at and not barred:
-            chars += len("".join(page[at:stop].split()))
+        plain = "".join(page[at:stop].split()) if stop > at and (in_link or not barred) else ""
+        if plain and barred:
+            linked += len(plain)
+        elif plain:
+            chars += len(plain)
+            ending = plain[-1]
         if not m:
             break
         at = m.end()
@@ -197,8 +236,8 @@ def _parse(page: str, spared: frozenset[int]) -> tuple[list[Node], list[str | No
                 break
             if stack[depth].tag in _KEEPS:
                 break
-        bad = not barred and m.start() not in spared and _unwanted(tag, m[3], articles > 0)
-        unwanted = bad and not skipped
+        bad = 0 if barred or m.start() in spared else _unwanted(tag, m[3], articles > 0)
+        unwanted = bool(bad) and not skipped
         if tag in _RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
@@ -212,12 +251,12 @@ def _parse(page: str, spared: frozenset[int]) -> tuple[list[Node], list[str | No
             continue
         node = Node(tag, stack[-1], len(runs))
         stack.append(node)
-        articles += tag == "article"
+        articles += tag in ("article", "main")
         if bad and (tag not in _DROPPED or tag == "form") and tag != "header" and not _HIDDEN.search(m[3]):
-            dropped.append(Dropped(m.start(), chars, marks))
+            dropped.append(Dropped(m.start(), bad == _DOUBTFUL, chars, linked, marks))
             open_dropped.append((len(stack), dropped[-1]))
         elif not barred and (bad or tag == "a"):
-            barred = len(stack)
+            barred, in_link = len(stack), not bad
         marks += tag in _MARKS and not barred
         if unwanted:
             skipped = len(stack)
@@ -285,6 +324,36 @@ def select(nodes: list[Node], runs: list[str | None]) -> Node:
     return best
 
 
+def _is_plain(node: Node) -> bool:
+    return node.chars > 0 and 2 * node.link_chars < node.chars
+
+
+def _more_articles(best: Node, nodes: list[Node]) -> list[Node]:
+    """Articles beside the chosen one, in its ``main`` or its parent, that are no teasers:
+    mostly plain text, and at least a third as much as in the chosen one."""
+    if best.tag != "article":
+        return []
+    holder = up = best.parent
+    while up:
+        holder = up if up.tag == "main" else holder
+        up = up.parent
+    found: list[Node] = []
+    for n in nodes:
+        inside = n.tag == "article" and holder and holder.first <= n.first and n.last <= holder.last
+        if not inside or best.first <= n.first < best.last or found and n.first < found[-1].last:
+            continue
+        if _is_plain(n) and 3 * n.chars >= best.chars:
+            found.append(n)
+    return found
+
+
+def _outermost(best: Node) -> Node:
+    """The element itself, or the outermost below the body that holds no other text."""
+    while best.parent and best.parent.tag not in ("html", "body") and best.parent.chars == best.chars:
+        best = best.parent
+    return best
+
+
 def _leads(best: Node, nodes: list[Node]) -> list[Node]:
     """Headings and paragraphs before the chosen element, beside it, and an ``h1`` further up."""
     if best.tag in ("html", "body", "article", "main"):
@@ -298,19 +367,41 @@ def _leads(best: Node, nodes: list[Node]) -> list[Node]:
         if n is best:
             break
         beside = around.get(id(n.parent))
-        plain = n.chars and 2 * n.link_chars < n.chars
-        if plain and (n.tag == "h1" and beside is not None or beside and (n.tag in _HEADINGS or n.tag == "p")):
+        if _is_plain(n) and (n.tag == "h1" and beside is not None or beside and (n.tag in _HEADINGS or n.tag == "p")):
             found.append(n)
     return found
 
 
+def _closings(best: Node, nodes: list[Node], runs: list[str | None]) -> list[Node]:
+    """Paragraphs after the chosen element, beside it, with the headings above them; notes
+    on rights are none, and neither are paragraphs with links directly in the body."""
+    if best.tag in ("html", "body", "article", "main"):
+        return []
+    found, headings = [], []
+    for n in nodes:
+        if n.parent is not best.parent or n.first < best.last or n is best:
+            continue
+        if n.tag in _HEADINGS and _is_plain(n):
+            headings.append(n)
+        elif n.tag in ("p", "blockquote") and _is_plain(n):
+            text = "".join(r or " " for r in runs[n.first : n.last])
+            if not _RIGHTS.match(text) and not (n.link_tags and n.parent.tag in ("html", "body")):
+                found += [*headings, n]
+            headings = []
+        elif n.tag in _BLOCK:
+            headings = []
+    return found
+
+
 def main_text(page: str) -> str:
     """The article of a page: blocks joined by line feeds, white space within one made single."""
     nodes, runs = parse(page)
     node = select(nodes, runs)
     blocks, open_block = [], []
-    lead = [r for n in _leads(node, nodes) for r in [*runs[n.first : n.last], None]]
-    for run in [*lead, *runs[node.first : node.last], None]:
+    outer = _outermost(node)
+    parts = [*_leads(outer, nodes), node, *_closings(outer, nodes, runs), *_more_articles(node, nodes)]
+    parts.sort(key=lambda n: n.first)
+    for run in (r for n in parts for r in [*runs[n.first : n.last], None]):
         if run is None:
             block = " ".join("".join(open_block).split())
             if block:

@@ -61,6 +61,41 @@ def test_heading_and_lead_beside_the_body_stay():
     assert html.main_text(page) == "\n".join(["The title", "A short lead.", *PARAGRAPHS])
 
 
+LEFT = "\n".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<main><header><h1>Headline</h1></header>{BODY}</main>", f"Headline\n{LEFT}"),
+        (f"<div><h1>T</h1><div class=body>{BODY}</div><h2>End</h2><p>A last word.</p></div>", f"T\n{LEFT}\nEnd\nA last word."),
+        (f"<div><div class=body>{BODY}</div><p>A last word.</p><p>&copy; 2020 us</p><h2>More</h2><ul><li><a href=x>y</a></ul></div>", f"{LEFT}\nA last word."),
+        (f"<body><div><div>{BODY}</div></div><p>A last word.</p><p>See <a href=x>us</a> here.</p>", f"{LEFT}\nA last word."),
+        (f"<main><article>{BODY}</article><p>x</p><article>{BODY}</article></main>", f"{LEFT}\n{LEFT}"),
+        (f"<div><article><a href=x>Teaser</a></article><article>{BODY}</article><article><p>Short one.</p></article></div>", LEFT),
+        *[
+            (f"<article>{BODY}<section {name}><h2>Part</h2><p>Its share rose to a third.</p></section></article>", f"{LEFT}\nPart\nIts share rose to a third.")
+            for name in ("id=related-work", "class='market-share'", "class='x legal-notice-history'")
+        ],
+        (f"<div><div>{BODY}<h2 id=share-prices>Prices</h2><p class=market-share>It fell.</p></div></div>", f"{LEFT}\nPrices\nIt fell."),
+        *[
+            (f"<article>{BODY}<div class={name}>{inside}</div></article>", LEFT)
+            for name, inside in (
+                ("share-buttons", "<a href=x>Share it</a> <a href=y>Post it</a>"),
+                ("share-this", "Share this article"),
+                ("related-posts", "<h3>Read on</h3><ul><li><a href=x>Another text.</a></ul>"),
+                ("legal-notice", "All of this is under the law of the land."),
+                ("cookie-notice", "We use cookies, as everybody does."),
+                ("comment-list", "What a lovely text this is."),
+            )
+        ],
+    ],
+)
+def test_all_of_the_article_and_no_furniture(page, text):
+    page = page if page.startswith("<body>") else f"<body>{NOISE}{page}{TAIL}"
+    assert html.main_text(page) == text
+
+
 def test_blocks_and_white_space():
     page = "<article><h1> A \n title</h1><p>one<b>two</b>\tthree<br>four<ul><li>x<li>y &lt;z&gt;</ul>tail<p></p></article>"
     assert html.main_text(page) == "A title\nonetwo three four\nx\ny <z>\ntail"
