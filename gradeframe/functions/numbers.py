@@ -7,6 +7,8 @@ the double instead, which differs near ties.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,14 +48,22 @@ def _in_range(c: Column, digits: int, value: Column) -> Column:
     return F.when(c.isNull() | (F.abs(c) <= F.lit(limit)), value).otherwise(error.cast("double"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def round_exact(c: ColumnOrName, digits: int) -> Column:
     """DOUBLE rounded to ``digits`` decimals.
 
     Values beyond 2**52 / 10**digits, infinities and NaN fail the query.
     """
-    c = as_column(c)
-    size = _scaled(c, digits).cast("double") / F.lit(float(10**digits))
-    return _in_range(c, digits, F.when(c < 0, -size).otherwise(size))
+
+    def rounded(c: Column) -> Column:
+        size = _scaled(c, digits).cast("double") / F.lit(float(10**digits))
+        return _in_range(c, digits, F.when(c < 0, -size).otherwise(size))
+
+    return _bound(as_column(c), rounded)
 
 
 def fixed_text(c: ColumnOrName, digits: int) -> Column:
@@ -61,13 +71,19 @@ def fixed_text(c: ColumnOrName, digits: int) -> Column:
 
     Values beyond 2**52 / 10**digits, infinities and NaN fail the query.
     """
+    scale = 10**digits
+
+    def shown(c: Column) -> Column:
+        def joined(scaled: Column) -> Column:
+            return F.concat(
+                F.when(c < 0, F.lit("-")).otherwise(F.lit("")),
+                ((scaled - scaled % scale) / scale).cast("bigint").cast("string"),
+                F.lit("."),
+                F.lpad((scaled % scale).cast("string"), digits, "0"),
+            )
+
+        return _bound(_scaled(c, digits), joined)
+
     c = as_column(c)
     # The checked value, so that what follows only meets numbers in range.
-    scaled = _scaled(_in_range(c, digits, c), digits)
-    scale = 10**digits
-    return F.concat(
-        F.when(c < 0, F.lit("-")).otherwise(F.lit("")),
-        ((scaled - scaled % scale) / scale).cast("bigint").cast("string"),
-        F.lit("."),
-        F.lpad((scaled % scale).cast("string"), digits, "0"),
-    )
+    return _bound(_in_range(c, digits, c), shown)
