@@ -114,10 +114,10 @@ def test_report_tables(results):
 
 
 def test_run_evaluation_stores_scores_and_report(spark, samples, tmp_path):
-    results, summary = run_evaluation(spark, samples, str(tmp_path / "new" / "run"))
+    results, summary = run_evaluation(spark, samples, str(tmp_path / "new" / "run"), run="first")
     assert results.count() == 11
     assert summary.first().passed == 6
-    report = tmp_path / "new" / "run" / "report"
+    report = tmp_path / "new" / "run" / "report" / "run=first"
     lines = [
         json.loads(line)
         for part in (report / "results").glob("part-*")
