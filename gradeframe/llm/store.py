@@ -40,14 +40,27 @@ def small(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Store a table whose size is not known beforehand, and mark it for a broadcast if
     its measured size allows; otherwise joins with it shuffle. The rows are the same."""
     kept = stored(df, name)
-    width = sum(
-        (F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(16))
-        for f in df.schema.fields
-    )
+    width = sum(_bytes(column(kept, f.name), f.dataType) for f in df.schema.fields)
     size = kept.agg(F.sum(F.lit(32) + width).alias("n")).first().n or 0
     return F.broadcast(kept) if size <= limit else kept
 
 
+def _bytes(c: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in a row, all it holds included."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c).cast("bigint")
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(c, F.lit(0).cast("bigint"), lambda n, e: n + _bytes(e, kind.elementType))
+    elif isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        size = _bytes(F.map_keys(c), keys) + _bytes(F.map_values(c), values)
+    elif isinstance(kind, T.StructType):
+        size = sum((_bytes(c.getField(f.name), f.dataType) for f in kind.fields), F.lit(0).cast("bigint"))
+    else:
+        return F.lit(16).cast("bigint")
+    return F.lit(16) + F.coalesce(size, F.lit(0))
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Names for helper columns, lengthened until the table has none like them in any case."""
     taken = {c.lower() for c in df.columns}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from math import comb
@@ -94,6 +95,57 @@ def test_nulls_repeats_and_clashing_names(spark):
     assert [(r.doc_id, r.n_words, r.kept) for r in rows] == [(None, 60, True)] * 2
 
 
+def slow_cutoff(good, bad, alpha, delta):
+    """The cutoff (of 200) for the steps of good and bad documents; None if none is certified."""
+    best = None
+    for c in range(200, -1, -1):
+        lost, caught = sum(s > c for s in good), sum(s > c for s in bad)
+        term, tail = (1 - alpha) ** len(good), 0.0
+        for i in range(lost + 1):
+            tail += term
+            term *= (len(good) - i) / (i + 1) * alpha / (1 - alpha)
+        if tail > delta:
+            break
+        gain = caught / max(1, len(bad)) - lost / max(1, len(good))
+        if best is None or gain > best[0]:
+            best = gain, c
+    return best and best[1]
+
+
+def test_verdicts_where_rules_reject(spark):
+    """The registered query on a table with enough labels for cutoffs, against plain Python."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text").collect()
+    good = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if r.quality is not None:
+            good[r.doc_id] = good.get(r.doc_id, False) or r.quality == 1
+    steps, base = {}, {}
+    for d in docs:
+        text = d.text or ""
+        words, chars, symbols, repeated_lines, repeated = slow(text)
+        lines = sum(1 for line in text.split("\n") if line.strip(" \t\n\x0b\x0c\r"))
+        upper = sum("A" <= c <= "Z" for c in text)
+        parts = ((symbols, chars), (repeated_lines, lines), (repeated, words), (upper, chars))
+        steps[d.doc_id] = [math.ceil(a / b * 200) if b else 0 for a, b in parts]
+        base[d.doc_id] = words < 50 or 2 * repeated > words
+    strata = {}
+    for d in docs:
+        if d.doc_id in good:
+            strata.setdefault(d.lang, ([], []))[not good[d.doc_id]].append(steps[d.doc_id])
+    chosen = {
+        lang: [slow_cutoff([s[i] for s in g], [s[i] for s in b], 0.04 / 4, 0.1 / (4 * len(strata))) for i in range(4)]
+        for lang, (g, b) in strata.items()
+    }
+    expected = {}
+    for d in docs:
+        above = [c is not None and s > c for s, c in zip(steps[d.doc_id], chosen.get(d.lang, [None] * 4))]
+        expected[d.doc_id] = not base[d.doc_id] and not any(above)
+    got = {r.doc_id: r.kept for r in queries.op2_rules(spark, folder).collect()}
+    assert got == expected
+    assert any(not base[k] and not kept for k, kept in expected.items())
+
+
 def test_registered_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = queries.op2_rules(spark, SF).collect()
