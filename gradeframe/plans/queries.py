@@ -6,6 +6,7 @@ point numbers in different orders.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 GATE_BAR = 0.25
 WEIGHTS = (0.7, 0.3)
 
+# About how much text goes into a JSON document, which is written by one task: several
+# splits of Spark's for its readers, and far less than a task can stream.
+DOCUMENT_BYTES = 256 * 1024 * 1024
+
 
 def _six(name: str | Column, alias: str | None = None) -> Column:
     column = F.col(name) if isinstance(name, str) else name
@@ -69,9 +74,11 @@ def stored_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """Samples written as JSON documents, which are cut to be read."""
+    """Samples written as JSON documents, which are cut to be read: two documents, or as
+    many as keep each to ``DOCUMENT_BYTES`` of text."""
     path = _scratch(spark, "documents")
-    write_samples(tables.samples(spark, folder).coalesce(2), path, "json")
+    n = max(2, math.ceil(tables.text_bytes(spark, folder) / DOCUMENT_BYTES))
+    write_samples(tables.samples(spark, folder).coalesce(n), path, "json")
     return read_samples(spark, path, "json").withColumn("metadata", F.to_json("metadata"))
 
 
