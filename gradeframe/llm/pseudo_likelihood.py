@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -47,16 +46,24 @@ class Shape:
         return cls(classes, 2 * classes, classes * classes // 4)
 
 
-class _Codes(dict):
-    """Tokens of known words; new words are numbered from ``first`` as they come."""
+def _utf8(texts: list[str]) -> pa.Array:
+    """Texts as Arrow has them; lone surrogates are let through."""
+    data = pa.array([t.encode("utf-8", "surrogatepass") for t in texts], pa.binary())
+    return pa.Array.from_buffers(pa.string(), len(data), data.buffers())
 
-    def __init__(self, known: dict[bytes, int], first: int):
-        super().__init__(known)
-        self.shift = first - len(known)
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) + self.shift
-        return number
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many words each text has, the words of all texts as numbers, and the distinct
+    words in the order of these numbers, A-Z lowered and no other letter changed."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.string()))))
+    words = lists.flatten()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    held = pc.greater(pc.binary_length(words), 0)
+    if not pc.all(held).as_py():  # a text without words has an empty one
+        sizes = np.bincount(pc.list_parent_indices(lists).filter(held).to_numpy(), minlength=len(lists))
+        words = words.filter(held)
+    words = words.dictionary_encode()
+    return sizes, words.indices.to_numpy(), words.dictionary
 
 
 @dataclass
@@ -87,35 +94,38 @@ class Network:
 
     def encode(self, text: str) -> np.ndarray:
         """The tokens of a text, with edges around them."""
-        return self.encoded([text.encode("utf-8", "surrogatepass")])[0]
+        return self.encoded(_utf8([text]))[0]
 
-    def encoded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
         """The tokens of all texts with edges around each, and where each text starts among
         them; then the index of the rare word at each place (-1 at others), and these words."""
-        shape, edge = self.shape, [self.shape.tokens] * self.shape.side
-        codes = _Codes(self.words, shape.tokens + 1)
-        numbers, cuts = [], [0]
-        for text in texts:
-            numbers += edge
-            numbers += map(codes.__getitem__, text.lower().split())
-            numbers += edge
-            cuts.append(len(numbers))
-        stream = np.array(numbers, np.int64)
-        new = list(codes)[len(self.words) :]
-        buckets = np.fromiter((zlib.crc32(w) % shape.unknown for w in new), np.int64, len(new))
-        rare = np.maximum(stream - shape.tokens - 1, -1)
-        at = np.flatnonzero(rare >= 0)
-        stream[at] = shape.tokens - shape.unknown + buckets[rare[at]]
-        return stream.astype(shape.kind), np.array(cuts), rare, new
+        shape = self.shape
+        sizes, codes, words = _words(texts)
+        cuts = np.append(0, np.cumsum(sizes + 2 * shape.side))
+        known = pc.index_in(words, value_set=pa.array(list(self.words), pa.binary()).cast(pa.string()))
+        token = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(token < 0)
+        rare = words.take(pa.array(new))
+        buckets = (zlib.crc32(w) % shape.unknown for w in rare.cast(pa.binary()).to_numpy(zero_copy_only=False))
+        token[new] = shape.tokens - shape.unknown + np.fromiter(buckets, np.int64, len(new))
+        index = np.full(len(words), -1)
+        index[new] = np.arange(len(new))
+        at = np.arange(len(codes)) + shape.side * (2 * np.repeat(np.arange(len(sizes)), sizes) + 1)
+        stream = np.full(cuts[-1], shape.tokens, shape.kind)
+        stream[at] = token[codes]
+        indexes = np.full(cuts[-1], -1)
+        indexes[at] = index[codes]
+        return stream, cuts, indexes, rare
 
     def _shifts(self) -> list[int]:
         return [*range(-self.shape.side, 0), *range(1, self.shape.side + 1)]
 
-    def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def hidden(self, around: list[np.ndarray]) -> np.ndarray:
+        """The hidden layer of places, given the tokens at each shift from them."""
         tables, bias = self.weights[:2]
-        total = np.tile(bias, (len(at), 1))
-        for table, shift in zip(tables, self._shifts()):
-            total += np.take(table, stream[at + shift], axis=0)
+        total = np.tile(bias, (len(around[0]), 1))
+        for table, seen in zip(tables, around):
+            total += np.take(table, seen, axis=0)
         return np.tanh(total, out=total)
 
     def log_probabilities(self, stream: np.ndarray, at: np.ndarray, back: list[np.ndarray] | None = None) -> np.ndarray:
@@ -123,7 +133,7 @@ class Network:
 
         With ``back``, a list of arrays like the weights, the slopes of the mean loss are
         added to it. Places are worked through in the order of their tokens, so that those
-        of a class are one slice.
+        of a class are one slice: products are by class, all else is for all places at once.
         """
         shape = self.shape
         _, _, class_w, class_b, word_w, word_b = self.weights
@@ -131,34 +141,48 @@ class Network:
         at = at[order]
         token = stream[at]
         group, member = np.divmod(token, shape.per_class)
-        cuts = np.searchsorted(token, np.arange(shape.classes + 1) * shape.per_class)
-        h = self.hidden(stream, at)
-        rows = np.arange(len(at))
+        cuts = np.searchsorted(token, np.arange(shape.classes + 1) * shape.per_class).tolist()
+        slices = [(g, slice(*cuts[g : g + 2])) for g in range(shape.classes) if cuts[g] < cuts[g + 1]]
+        around = [stream[at + shift].astype(np.intp) for shift in self._shifts()]
+        h = self.hidden(around)
         # A last column of ones takes the biases in.
         one = np.append(h, np.ones((len(at), 1), h.dtype), axis=1)
         class_w = np.vstack([class_w, class_b])
         word_w = np.concatenate([word_w, word_b[:, None]], axis=1)
 
-        found, p, norm = _softmax(one, class_w, rows, group)
-        slope = None
-        if back is not None:
-            share = h.dtype.type(1 / len(at))
-            slope = _slopes(p, norm, share, rows, group, one, class_w, back[2], back[3])
-        for g in np.flatnonzero(np.diff(cuts)):
-            own, n = slice(cuts[g], cuts[g + 1]), cuts[g + 1] - cuts[g]
-            values, p, norm = _softmax(one[own], word_w[g], rows[:n], member[own])
-            found[own] += values
-            if back is not None:
-                slope[own] += _slopes(
-                    p, norm, share, rows[:n], member[own], one[own], word_w[g], back[4][g], back[5][g]
-                )
+        classes = one @ class_w
+        class_found, class_norm = _softmax(classes, class_w, group, [slice(None)])
+        words = np.empty((len(at), shape.per_class), one.dtype)
+        for g, own in slices:
+            np.matmul(one[own], word_w[g], out=words[own])
+        found, norm = _softmax(words, word_w, member, [own for _, own in slices])
+        found += class_found
         if back is not None:
+            share = one.dtype.type(1 / len(at))
+            scale = _less_wanted(classes, class_norm, group, share)
+            sums = (one * scale).T @ classes
+            back[2] += sums[:-1]
+            back[3] += sums[-1]
+            slope = (classes @ class_w[:-1].T) * scale
+            scale = _less_wanted(words, norm, member, share)
+            scaled, inner = one * scale, np.empty_like(slope)
+            sums = np.zeros_like(word_w)
+            for g, own in slices:
+                p = words[own]
+                np.matmul(scaled[own].T, p, out=sums[g])
+                np.matmul(p, word_w[g, :-1].T, out=inner[own])
+            back[4] += sums[:, :-1]
+            back[5] += sums[:, -1]
+            inner *= scale
+            slope += inner
             slope *= 1 - h * h
             back[1] += slope.sum(0)
             columns = np.ascontiguousarray(slope.T, np.float64)
-            for table, shift in zip(back[0], self._shifts()):
-                seen = stream[at + shift].astype(np.intp)
-                table += np.stack([np.bincount(seen, c, shape.tokens + 1) for c in columns], axis=1)
+            sums = np.empty((shape.width, shape.tokens + 1), h.dtype)
+            for table, seen in zip(back[0], around):
+                for i, c in enumerate(columns):
+                    sums[i] = np.bincount(seen, c, shape.tokens + 1)
+                table += sums.T
         result = np.empty_like(found)
         result[order] = found
         return result
@@ -188,37 +212,30 @@ class Network:
 _SAFE = 60.0
 
 
-def _softmax(one: np.ndarray, w: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Each row's log-probability of its wanted output, and all probabilities as numbers
-    and the scale of their row. No input is beyond 1, which bounds the outputs; only if
-    that is not enough is the largest of each row taken off."""
-    p = one @ w
-    if np.abs(w).sum(0).max() > _SAFE:
+def _places(p: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted output of each row is in the rows laid out one after another."""
+    return np.arange(0, p.size, p.shape[1]) + wanted
+
+
+def _softmax(p: np.ndarray, w: np.ndarray, wanted: np.ndarray, slices: list[slice]) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's log-probability of its wanted output, and the scale of the row; the outputs
+    ``p`` become probabilities times that, which are summed up slice by slice. No input is beyond 1, which bounds the outputs;
+    only if that is not enough is the largest of each row taken off."""
+    if np.abs(w).sum(-2).max() > _SAFE:
         p -= p.max(1, keepdims=True)
-    found = p[rows, wanted]
+    found = p.ravel().take(_places(p, wanted))
     np.exp(p, out=p)
-    norm = p @ np.ones(p.shape[1], p.dtype)
-    return found - np.log(norm), p, norm
-
-
-def _slopes(
-    p: np.ndarray,
-    norm: np.ndarray,
-    share: float,
-    rows: np.ndarray,
-    wanted: np.ndarray,
-    one: np.ndarray,
-    w: np.ndarray,
-    back_w: np.ndarray,
-    back_b: np.ndarray,
-) -> np.ndarray:
-    """Add the slopes of the mean loss, of which each row has ``share``, to those of weights and biases, and return those of the inputs."""
-    p[rows, wanted] -= norm
-    scale = (share / norm)[:, None]
-    sums = (one * scale).T @ p
-    back_w += sums[:-1]
-    back_b += sums[-1]
-    return (p @ w[:-1].T) * scale
+    one, norm = np.ones(p.shape[1], p.dtype), np.empty(len(p), p.dtype)
+    for own in slices:
+        np.matmul(p[own], one, out=norm[own])
+    return found - np.log(norm), norm
+
+
+def _less_wanted(p: np.ndarray, norm: np.ndarray, wanted: np.ndarray, share: float) -> np.ndarray:
+    """Make of the probabilities of ``_softmax`` the slopes of the outputs, but for the scale
+    of each row, which is returned: the row's ``share`` of the loss over ``norm``."""
+    p.ravel()[_places(p, wanted)] -= norm
+    return (share / norm)[:, None]
 
 
 @dataclass
@@ -244,34 +261,35 @@ def word_counts(documents: DataFrame) -> DataFrame:
     """
 
     def run(batches: Batches) -> Batches:
-        counts: Counter = Counter()
+        counted = []
         for texts, _ in _slices(batches):
-            for text in texts:
-                counts.update(text.lower().split())
-            if len(counts) >= _COUNTED:
-                yield _counted(counts)
-                counts = Counter()
-        if counts:
-            yield _counted(counts)
+            _, codes, words = _words(texts)
+            n = pa.array(np.bincount(codes, minlength=len(words)))
+            counted = [_summed([*counted, pa.table([words, n], names=["word", "n"])])]
+            if counted[0].num_rows >= _COUNTED:
+                yield from counted.pop().to_batches()
+        for rest in counted:
+            yield from rest.to_batches()
 
     return documents.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    words = pa.array(list(counts), pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([words, pa.array(counts.values(), pa.int64())], names=["word", "n"])
+def _summed(counted: list[pa.Table]) -> pa.Table:
+    if len(counted) == 1:
+        return counted[0]
+    return pa.concat_tables(counted).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
 
-def _slices(batches: Batches, chunk: int = 4_000_000) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+def _slices(batches: Batches, chunk: int = 4_000_000) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
     """The texts of batches in slices of about so many bytes, each with its part of the batch."""
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        texts = pc.fill_null(batch.column("text"), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
             done = sizes[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(sizes, done + chunk)))
-            yield [t or b"" for t in texts[start:stop].to_pylist()], batch.slice(start, stop - start)
+            yield texts[start:stop], batch.slice(start, stop - start)
             start = stop
 
 
@@ -361,12 +379,12 @@ def encode_rows(rows: DataFrame, network: Network) -> DataFrame:
             offsets = pa.array(cuts * stream.itemsize, pa.int32())
             tokens = pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets.buffers()[1], data])
             at = np.flatnonzero(rare >= 0)
-            at = at[np.argsort(rare[at], kind="stable")]
-            ids = part.column("row").to_numpy()[np.searchsorted(cuts, at, "right") - 1]
-            first = np.searchsorted(rare[at], np.arange(len(new) + 1))
-            words = pa.array(new, pa.binary()).cast(pa.string())
+            which = rare[at].astype(np.int32)
+            owner = np.repeat(part.column("row").to_numpy(), np.diff(cuts))
+            ids = owner[at[np.argsort(which)]]
+            first = np.append(0, np.cumsum(np.bincount(which, minlength=len(new))))
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int64()))
-            listed = pa.StructArray.from_arrays([words, lists], ["word", "rows"])
+            listed = pa.StructArray.from_arrays([new, lists], ["word", "rows"])
             ends = pa.array([0] + [len(new)] * len(texts), pa.int32())
             columns = [part.column("row"), part.column("key"), tokens, pa.ListArray.from_arrays(ends, listed)]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "tokens", "rare"])
@@ -443,7 +461,7 @@ def pseudo_log_likelihood(
     With the ``masses`` of a tail, a rare word has the share of its bucket that a word of
     one occurrence has, otherwise all of it.
     """
-    stream, cuts, _, _ = network.encoded([t.encode("utf-8", "surrogatepass") for t in texts])
+    stream, cuts, _, _ = network.encoded(_utf8(texts))
     return _sums(stream, np.diff(cuts), network, batch, masses)
 
 
@@ -468,9 +486,9 @@ def _occurrences(encoded: DataFrame, tail: Tail) -> DataFrame:
     """Rows (row, extra): the log of the count of each rare word of a row, summed up.
 
     No rare word has more occurrences than the least frequent of the others, so the join
-    is even.
+    is even. Its tasks hold their share of the distinct words; nothing is sorted.
     """
-    counted = encoded.select(F.inline("rare")).join(tail.words, "word")
+    counted = encoded.select(F.inline("rare")).join(tail.words.hint("shuffle_hash"), "word")
     return counted.select(F.ln("n").alias("log"), F.explode("rows").alias("row")).groupBy("row").agg(F.sum("log").alias("extra"))
 
 

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import ODD, documents
 
@@ -71,6 +72,24 @@ def test_slopes():
             assert (losses[0] - losses[1]) / (2 * step) == pytest.approx(b[i], abs=1e-6)
 
 
+def test_words_are_those_of_bytes_split():
+    texts = ["", " ", "A b  a", "\ta\x0bB\x0cc\r\nd ", None, "É é\u00a0x\x1cy z\u3000", "É", "\u0130 I"]
+    sizes, codes, words = P._words(pa.array([t or "" for t in texts]))
+    expected = [(t or "").encode().lower().split() for t in texts]
+    assert sizes.tolist() == [len(e) for e in expected]
+    assert [words[i].as_py().encode() for i in codes.tolist()] == [w for e in expected for w in e]
+    assert len(set(words.to_pylist())) == len(words)
+
+
+def test_outputs_are_worked_out_at_once_not_by_class(monkeypatch):
+    """A batch has one softmax of classes and one of words, however many classes there are."""
+    calls, softmax = [], P._softmax
+    monkeypatch.setattr(P, "_softmax", lambda *a: calls.append(1) or softmax(*a))
+    net, stream = network(), np.array([12, 12, *range(12), 12, 12])
+    net.log_probabilities(stream, np.flatnonzero(stream < 12))
+    assert len(calls) == 2
+
+
 def patterned(spark, n=240):
     rng = random.Random(3)
     pairs = [("salt", "water"), ("high", "tide"), ("long", "rope"), ("deep", "harbour")]
