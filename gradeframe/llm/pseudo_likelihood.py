@@ -66,6 +66,21 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return sizes, words.indices.to_numpy(), words.dictionary
 
 
+class Scratch:
+    """Arrays that each batch overwrites, kept from batch to batch: memory that is given back
+    and asked for anew may cost a page fault every 4 kB."""
+
+    def __init__(self) -> None:
+        self._held: dict[tuple[str, np.dtype], np.ndarray] = {}
+
+    def __call__(self, name: str, kind: np.dtype | type, *shape: int) -> np.ndarray:
+        """The array of that name, with anything in it; what it held before is lost."""
+        key, size = (name, np.dtype(kind)), math.prod(shape)
+        if key not in self._held or self._held[key].size < size:
+            self._held[key] = np.empty(size, kind)
+        return self._held[key][:size].reshape(shape)
+
+
 @dataclass
 class Network:
     """A window network: the embeddings of ``side`` tokens on either side, one table for
@@ -120,22 +135,26 @@ class Network:
     def _shifts(self) -> list[int]:
         return [*range(-self.shape.side, 0), *range(1, self.shape.side + 1)]
 
-    def hidden(self, around: list[np.ndarray]) -> np.ndarray:
+    def hidden(self, around: list[np.ndarray], scratch: Scratch) -> np.ndarray:
         """The hidden layer of places, given the tokens at each shift from them."""
         tables, bias = self.weights[:2]
-        total = np.tile(bias, (len(around[0]), 1))
+        total, part = (scratch(name, bias.dtype, len(around[0]), len(bias)) for name in ("hidden", "inner"))
+        total[:] = bias
         for table, seen in zip(tables, around):
-            total += np.take(table, seen, axis=0)
+            total += np.take(table, seen, axis=0, out=part, mode="clip")
         return np.tanh(total, out=total)
 
-    def log_probabilities(self, stream: np.ndarray, at: np.ndarray, back: list[np.ndarray] | None = None) -> np.ndarray:
+    def log_probabilities(
+        self, stream: np.ndarray, at: np.ndarray, back: list[np.ndarray] | None = None, scratch: Scratch | None = None
+    ) -> np.ndarray:
         """log P(token | both sides) of the tokens at the given places of a stream.
 
         With ``back``, a list of arrays like the weights, the slopes of the mean loss are
         added to it. Places are worked through in the order of their tokens, so that those
         of a class are one slice: products are by class, all else is for all places at once.
+        Whoever works through many batches hands the same ``scratch`` to each.
         """
-        shape = self.shape
+        shape, scratch = self.shape, scratch or Scratch()
         _, _, class_w, class_b, word_w, word_b = self.weights
         order = np.argsort(stream[at], kind="stable")
         at = at[order]
@@ -143,46 +162,46 @@ class Network:
         group, member = np.divmod(token, shape.per_class)
         cuts = np.searchsorted(token, np.arange(shape.classes + 1) * shape.per_class).tolist()
         slices = [(g, slice(*cuts[g : g + 2])) for g in range(shape.classes) if cuts[g] < cuts[g + 1]]
-        around = [stream[at + shift].astype(np.intp) for shift in self._shifts()]
-        h = self.hidden(around)
+        around = list(scratch("around", np.intp, 2 * shape.side, len(at)))
+        for seen, shift in zip(around, self._shifts()):
+            np.add(at, shift, out=seen)
+            seen[:] = stream[seen]
+        h = self.hidden(around, scratch)
         # A last column of ones takes the biases in.
-        one = np.append(h, np.ones((len(at), 1), h.dtype), axis=1)
+        one = scratch("one", h.dtype, len(at), shape.width + 1)
+        one[:, :-1], one[:, -1] = h, 1
         class_w = np.vstack([class_w, class_b])
         word_w = np.concatenate([word_w, word_b[:, None]], axis=1)
 
-        classes = one @ class_w
+        classes = np.matmul(one, class_w, out=scratch("classes", h.dtype, len(at), shape.classes))
         class_found, class_norm = _softmax(classes, class_w, group, [slice(None)])
-        words = np.empty((len(at), shape.per_class), one.dtype)
+        words = scratch("words", h.dtype, len(at), shape.per_class)
         for g, own in slices:
             np.matmul(one[own], word_w[g], out=words[own])
         found, norm = _softmax(words, word_w, member, [own for _, own in slices])
         found += class_found
         if back is not None:
             share = one.dtype.type(1 / len(at))
-            scale = _less_wanted(classes, class_norm, group, share)
-            sums = (one * scale).T @ classes
+            _slopes(classes, class_norm, group, share)
+            sums = one.T @ classes
             back[2] += sums[:-1]
             back[3] += sums[-1]
-            slope = (classes @ class_w[:-1].T) * scale
-            scale = _less_wanted(words, norm, member, share)
-            scaled, inner = one * scale, np.empty_like(slope)
-            sums = np.zeros_like(word_w)
+            slope = np.matmul(classes, class_w[:-1].T, out=scratch("slope", h.dtype, *h.shape))
+            _slopes(words, norm, member, share)
+            inner = scratch("inner", h.dtype, *h.shape)
+            sums = scratch("word sums", h.dtype, *word_w.shape)
+            sums.fill(0)
             for g, own in slices:
                 p = words[own]
-                np.matmul(scaled[own].T, p, out=sums[g])
+                np.matmul(one[own].T, p, out=sums[g])
                 np.matmul(p, word_w[g, :-1].T, out=inner[own])
             back[4] += sums[:, :-1]
             back[5] += sums[:, -1]
-            inner *= scale
             slope += inner
-            slope *= 1 - h * h
-            back[1] += slope.sum(0)
-            columns = np.ascontiguousarray(slope.T, np.float64)
-            sums = np.empty((shape.width, shape.tokens + 1), h.dtype)
-            for table, seen in zip(back[0], around):
-                for i, c in enumerate(columns):
-                    sums[i] = np.bincount(seen, c, shape.tokens + 1)
-                table += sums.T
+            np.multiply(h, h, out=h)
+            slope *= np.subtract(1, h, out=h)
+            back[1] += np.ones(len(at), h.dtype) @ slope
+            _add_rows(back[0], slope, around, scratch)
         result = np.empty_like(found)
         result[order] = found
         return result
@@ -191,23 +210,33 @@ class Network:
         """One pass of Adagrad over streams of tokens; the number of tokens predicted."""
         squares = [np.full_like(w, 1e-6) for w in self.weights]
         back = [np.empty_like(w) for w in self.weights]
-        total = 0
+        # Weights are changed a part at a time, which stays in the cache for all steps.
+        parts = [
+            [x.reshape(-1)[at : at + _PART] for x in own]
+            for own in zip(self.weights, squares, back)
+            for at in range(0, own[0].size, _PART)
+        ]
+        total, scratch = 0, Scratch()
         for stream in streams:
             places = np.flatnonzero(stream < self.shape.tokens)
             for first in range(0, len(places), batch):
                 at = places[first : first + batch]
                 for b in back:
                     b.fill(0)
-                self.log_probabilities(stream, at, back)
-                for w, s, b in zip(self.weights, squares, back):
-                    s += b * b
+                self.log_probabilities(stream, at, back, scratch)
+                for w, s, b in parts:
+                    x = scratch("part", b.dtype, b.size)
+                    s += np.multiply(b, b, out=x)
                     b *= rate
-                    b /= np.sqrt(s)
+                    b /= np.sqrt(s, out=x)
                     w -= b
                 total += len(at)
         return total
 
 
+# Weights that are changed at once.
+_PART = 16_384
+
 # Beyond this, exp() of 32 bits could overflow in a sum.
 _SAFE = 60.0
 
@@ -231,11 +260,26 @@ def _softmax(p: np.ndarray, w: np.ndarray, wanted: np.ndarray, slices: list[slic
     return found - np.log(norm), norm
 
 
-def _less_wanted(p: np.ndarray, norm: np.ndarray, wanted: np.ndarray, share: float) -> np.ndarray:
-    """Make of the probabilities of ``_softmax`` the slopes of the outputs, but for the scale
-    of each row, which is returned: the row's ``share`` of the loss over ``norm``."""
-    p.ravel()[_places(p, wanted)] -= norm
-    return (share / norm)[:, None]
+def _slopes(p: np.ndarray, norm: np.ndarray, wanted: np.ndarray, share: float) -> None:
+    """Make of the probabilities of ``_softmax`` the slopes of a loss to which each row adds its ``share``."""
+    p *= (share / norm)[:, None]
+    p.ravel()[_places(p, wanted)] -= share
+
+
+def _add_rows(tables: np.ndarray, slope: np.ndarray, around: list[np.ndarray], scratch: Scratch) -> None:
+    """Add the slope of each place to the row of the token seen there, in each table."""
+    _, rows, width = tables.shape
+    if width % 2:
+        for table, seen in zip(tables, around):
+            np.add.at(table, seen, slope)
+        return
+    # Two numbers at a time, as a complex one: half as many steps.
+    kind = np.result_type(slope, np.complex64)
+    cells = np.arange(rows * width // 2).reshape(rows, -1)
+    index = scratch("cells", np.intp, len(slope), width // 2)
+    for table, seen in zip(tables, around):
+        np.take(cells, seen, axis=0, out=index, mode="clip")
+        np.add.at(table.reshape(-1).view(kind), index.reshape(-1), slope.reshape(-1).view(kind))
 
 
 @dataclass
@@ -280,7 +324,7 @@ def _summed(counted: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(counted).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
 
-def _slices(batches: Batches, chunk: int = 4_000_000) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
+def _slices(batches: Batches, chunk: int = 8_000_000) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
     """The texts of batches in slices of about so many bytes, each with its part of the batch."""
     for batch in batches:
         texts = pc.fill_null(batch.column("text"), "")
@@ -466,15 +510,21 @@ def pseudo_log_likelihood(
 
 
 def _sums(
-    stream: np.ndarray, sizes: np.ndarray, network: Network, batch: int = 32_768, masses: np.ndarray | None = None
+    stream: np.ndarray,
+    sizes: np.ndarray,
+    network: Network,
+    batch: int = 32_768,
+    masses: np.ndarray | None = None,
+    scratch: Scratch | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """``pseudo_log_likelihood`` of a stream of texts that have so many tokens, edges included."""
+    scratch = scratch or Scratch()
     owner = np.repeat(np.arange(len(sizes)), sizes)
     places = np.flatnonzero(stream < network.shape.tokens)
     sums = np.zeros(len(sizes))
     for first in range(0, len(places), batch):
         at = places[first : first + batch]
-        sums += np.bincount(owner[at], network.log_probabilities(stream, at).astype(np.float64), len(sizes))
+        sums += np.bincount(owner[at], network.log_probabilities(stream, at, scratch=scratch).astype(np.float64), len(sizes))
     if masses is not None:
         low = network.shape.tokens - network.shape.unknown
         rare = places[stream[places] >= low]
@@ -520,18 +570,23 @@ def scored(
     return found.select(F.col("key").alias(key), "n_tokens", "log_prob", mean)
 
 
+# Places that are scored at once; each is scored for itself, so many stay in the cache.
+_SCORED = 8192
+
+
 def _scores(encoded: DataFrame, network: Network, tail: Tail | None) -> DataFrame:
     """Rows (key, n_tokens, log_prob) of stored rows of ``encode_rows``."""
     masses = None if tail is None else tail.masses
 
     def run(batches: Batches) -> Batches:
+        scratch = Scratch()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 tokens = part.column("tokens").to_pylist()
                 stream = np.frombuffer(b"".join(tokens), network.shape.kind)
                 sizes = np.array([len(t) for t in tokens]) // stream.itemsize
-                n, sums = _sums(stream, sizes, network, masses=masses)
+                n, sums = _sums(stream, sizes, network, _SCORED, masses, scratch)
                 columns = [part.column("row"), part.column("key"), pa.array(n, pa.int64()), pa.array(sums, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "n_tokens", "log_prob"])
 

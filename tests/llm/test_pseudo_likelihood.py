@@ -176,6 +176,43 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert [r.log_prob for r in P.scored(df.filter("text IS NULL")).collect()] == [0.0]
 
 
+def test_batches_share_their_arrays():
+    """Training and scoring ask for no large array anew; what earlier batches left does not matter."""
+    net, rng, scratch = network(), np.random.default_rng(5), P.Scratch()
+    held = {}
+    for n in (40, 7, 40, 23):
+        stream = np.array([12, 12, *rng.integers(0, 12, n), 12, 12])
+        at, backs = np.flatnonzero(stream < 12), [[np.zeros_like(w) for w in net.weights] for _ in range(2)]
+        got, expected = (net.log_probabilities(stream, at, b, s) for b, s in zip(backs, (scratch, None)))
+        np.testing.assert_array_equal(got, expected)
+        for a, b in zip(*backs):
+            np.testing.assert_array_equal(a, b)
+        held = held or dict(scratch._held)
+        assert all(scratch._held[k] is v for k, v in held.items())
+
+
+@pytest.mark.parametrize("width", [4, 5])
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_slopes_are_added_to_the_rows_of_tokens(width, kind):
+    """Against plain Python; tokens seen often, once and not at all, tables that hold something."""
+    rng = np.random.default_rng(6)
+    tables, slope = rng.normal(size=(2, 7, width)).astype(kind), rng.normal(size=(30, width)).astype(kind)
+    around = [np.array([*rng.integers(0, 3, 29), 6]), np.array([5, *[2] * 29])]
+    expected = tables.astype(float)
+    for k, seen in enumerate(around):
+        for row, token in zip(slope, seen):
+            expected[k, token] += row
+    P._add_rows(tables, slope, around, P.Scratch())
+    np.testing.assert_allclose(tables, expected, atol=1e-5)
+
+
+def test_places_scored_at_once_do_not_matter():
+    net, texts = network(), ["the tide of salt " * 9, "", "x y unknown"]
+    scores = [P.pseudo_log_likelihood(texts, net, batch)[1] for batch in (1, 5, 8192)]
+    for s in scores:
+        np.testing.assert_allclose(s, scores[0], rtol=1e-6)
+
+
 def test_registered_query(spark):
     rows = queries.op7_pseudo_likelihood(spark, SF).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
